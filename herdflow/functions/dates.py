@@ -11,7 +11,7 @@ from herdflow.schemas import AGE_MONTH_DAYS, WEEK_THRESHOLDS
 
 def parse_dmy(c: Column | str) -> Column:
     """``D/M/YYYY`` (one or two digit day/month) -> date; invalid -> null, row kept."""
-    return F.try_to_date(strip_ws(c), F.lit("d/M/yyyy"))
+    return F.try_to_date(strip_ws(c), "d/M/yyyy")
 
 
 def file_date(name: Column | str) -> Column:
@@ -25,8 +25,8 @@ def file_date(name: Column | str) -> Column:
     pat = r"\d+-(\d{2})(\d{2})(\d{4})_\d+"
     dmy = F.concat_ws("-", F.regexp_extract(n, pat, 3), F.regexp_extract(n, pat, 2),
                       F.regexp_extract(n, pat, 1))
-    return (F.when(iso != "", F.try_to_date(iso, F.lit("yyyy-MM-dd")))
-            .when(F.regexp_extract(n, pat, 0) != "", F.try_to_date(dmy, F.lit("yyyy-MM-dd"))))
+    return (F.when(iso != "", F.try_to_date(iso, "yyyy-MM-dd"))
+            .when(F.regexp_extract(n, pat, 0) != "", F.try_to_date(dmy, "yyyy-MM-dd")))
 
 
 def year_month(d: Column | str) -> Column:

@@ -30,7 +30,7 @@ def _date_col(df: DataFrame, name: str) -> Column:
     dt = df.schema[name].dataType
     if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(name).cast("date")
-    return F.try_to_date(null_tokens(name, "conform"), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(null_tokens(name, "conform"), "yyyy-MM-dd")
 
 
 def conform(df: DataFrame, loaded_at, schema: T.StructType = MASTER_SCHEMA,

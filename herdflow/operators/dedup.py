@@ -58,5 +58,5 @@ def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
         F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("n_dup_rows"),
         F.count_if(F.col("n") > 1).alias("n_dup_keys"),
     ).select("n_rows", "n_dup_rows", "n_dup_keys",
-             F.when(F.col("n_rows") > 0, F.round(F.col("n_dup_rows") / F.col("n_rows") * 100, 2))
+             F.when(F.col("n_rows") > 0, F.col("n_dup_rows") / F.col("n_rows") * 100)
              .alias("dup_rate_pct"))

@@ -3,7 +3,9 @@ one-row results (or one row per column) reach the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdflow.functions.text import strip_ws
@@ -19,37 +21,36 @@ def expect_columns(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if c not in df.columns]
 
 
-def _per_column(df: DataFrame, stats: dict[str, list]) -> DataFrame:
-    """One aggregate producing per-column stats, unpivoted to one row per column."""
-    aggs, names = [], list(stats)
-    cols = list(next(iter(stats.values()))) if stats else []
-    for name, exprs in stats.items():
-        for c, e in zip(cols, exprs):
-            aggs.append(e.alias(f"{name}__{c}"))
+def _per_column(df: DataFrame, cols: list[str], stats: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """One aggregate computing every per-column statistic, unpivoted to one row per column."""
+    aggs = [fn(c).alias(f"{name}__{i}") for name, fn in stats.items() for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column"),
-                              *[F.col(f"`{n}__{c}`").alias(n) for n in names]) for c in cols])
+                              *[F.col(f"{name}__{i}").alias(name) for name in stats])
+                     for i, c in enumerate(cols)])
     return wide.select(F.inline(rows))
 
 
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    cols = cols or df.columns
-    return _per_column(df, {"n_null": [F.count_if(F.col(f"`{c}`").isNull()) for c in cols]}
-                       if cols else {})
+    """Per column: number of nulls."""
+    return _per_column(df, cols or df.columns, {"n_null": lambda c: F.count_if(_c(c).isNull())})
 
 
 def all_null_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Per column: non-null count and whether the column is entirely null."""
-    cols = cols or df.columns
-    out = _per_column(df, {"n_non_null": [F.count(F.col(f"`{c}`")) for c in cols]})
+    out = _per_column(df, cols or df.columns, {"n_non_null": lambda c: F.count(_c(c))})
     return out.withColumn("all_null", F.col("n_non_null") == 0)
 
 
 def profile_keys(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: nulls, literal "nan" strings (any case, stripped), data type."""
-    prof = _per_column(df, {
-        "n_null": [F.count_if(F.col(c).isNull()) for c in cols],
-        "n_nan_str": [F.count_if(F.lower(strip_ws(c)) == "nan") for c in cols],
+    prof = _per_column(df, cols, {
+        "n_null": lambda c: F.count_if(_c(c).isNull()),
+        "n_nan_str": lambda c: F.count_if(F.lower(strip_ws(_c(c))) == "nan"),
     })
     types = df.sparkSession.createDataFrame([(c, df.schema[c].dataType.simpleString()) for c in cols],
                                             "column string, dtype string")

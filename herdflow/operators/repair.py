@@ -64,7 +64,8 @@ def fill_device(df: DataFrame, defaults: dict[str, str] = SOURCE_DEVICE_DEFAULT,
         c = F.col(f"d.{k}").eqNullSafe(F.col(f"l.{k}"))
         cond = c if cond is None else cond & c
     default = F.create_map(*[x for k, v in defaults.items() for x in (F.lit(k), F.lit(v))])
-    filled = F.coalesce(F.col("l._device_fill"), default[F.col(f"d.{source_col}")], F.lit("UNKNOWN"))
+    filled = F.coalesce(F.col("l._device_fill"), F.try_element_at(default, F.col(f"d.{source_col}")),
+                        F.lit("UNKNOWN"))
     j = d.join(l, cond, "left")
     return j.select(*[(F.coalesce(F.col(f"d.{device_col}"), filled) if c == device_col else F.col(f"d.{c}")).alias(c)
                       for c in df.columns])

@@ -56,7 +56,7 @@ def blob_job(blobs: DataFrame, herd: DataFrame | None, loaded_at, master_path: s
 
 def session_rows(docs: DataFrame, device: str = "GALLAGHER_1", source: str = "GALLAGHER") -> DataFrame:
     flat = flatten_sessions(docs)
-    return (flat.withColumn("date", F.try_to_date(F.col("date"), F.lit("yyyy-MM-dd")))
+    return (flat.withColumn("date", F.try_to_date(F.col("date"), "yyyy-MM-dd"))
             .withColumn("source", F.lit(source)).withColumn("device", F.lit(device)))
 
 

@@ -20,7 +20,7 @@ def landing_buckets(df: DataFrame, op_col: str = "operationTag", created_col: st
     return (df.withColumn("kind", F.when(has_op, F.lit("operation")).otherwise(F.lit("direct")))
             .withColumn("bucket", F.when(has_op, safe_name(op, strict=True))
                         .otherwise(F.concat(F.lit("direct_"), day)))
-            .withColumn("file_date", F.try_to_date(F.substring(F.col(created_col), 1, 10), F.lit("yyyy-MM-dd"))))
+            .withColumn("file_date", F.try_to_date(F.substring(F.col(created_col), 1, 10), "yyyy-MM-dd")))
 
 
 def land_raw(df: DataFrame, path: str, device: str, id_col: str = "id", write: bool = True) -> DataFrame:
