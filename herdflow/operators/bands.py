@@ -30,7 +30,8 @@ def band_join(df: DataFrame, bands: DataFrame, cond: Column) -> DataFrame:
 def band_count(snapshot: DataFrame, bands: DataFrame, cond: Column, out: str = "baseline") -> DataFrame:
     """Headcount per band (``b_label``) on one snapshot; empty bands get 0."""
     agg = band_join(snapshot, bands, cond).groupBy("b_label").agg(F.count(F.lit(1)).alias(out))
-    return (bands.select("b_ord", "b_label").join(agg, "b_label", "left")
+    # one row per band at most: bounded by the band table, so broadcasting it is safe
+    return (bands.select("b_ord", "b_label").join(F.broadcast(agg), "b_label", "left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("bigint")))
 
 
@@ -41,7 +42,7 @@ def band_stats(df: DataFrame, bands: DataFrame, cond: Column, no_col: str = "no"
            .agg(F.countDistinct(no_col).alias("weighed"),
                 F.avg(weight_col).alias("avg_raw"),
                 F.count(F.lit(1)).alias("n_valid")))
-    return (bands.select("b_ord", "b_label").join(agg, "b_label", "left")
+    return (bands.select("b_ord", "b_label").join(F.broadcast(agg), "b_label", "left")
             .withColumn("weighed", F.coalesce("weighed", F.lit(0)).cast("bigint"))
             .withColumn("n_valid", F.coalesce("n_valid", F.lit(0)).cast("bigint")))
 
@@ -89,7 +90,8 @@ def weekly_coverage(master: DataFrame, herd: DataFrame, today: dt.date,
     stats = band_stats(period, b, _weekly_cond_weighed("age_month", "weight_kg"), no_col)
     thr = week_threshold(today)
     cov = coverage(F.col("weighed"), F.col("baseline"))
-    return (b.join(base.drop("b_ord"), "b_label").join(stats.drop("b_ord"), "b_label")
+    return (b.join(F.broadcast(base.drop("b_ord")), "b_label")
+            .join(F.broadcast(stats.drop("b_ord")), "b_label")
             .select(F.col("b_ord").alias("ord"), F.col("b_label").alias("label"),
                     "baseline", "weighed",
                     F.bround(cov, 1).alias("coverage_pct"),
@@ -135,7 +137,8 @@ def _month_period(master: DataFrame, start: dt.date, end: dt.date, no_col: str)
 def _monthly_result(b: DataFrame, base: DataFrame, stats: DataFrame) -> DataFrame:
     cov = F.bround(coverage(F.col("weighed"), F.col("baseline")), 1)
     avg = F.round("avg_raw", 1)
-    return (b.join(base.drop("b_ord"), "b_label").join(stats.drop("b_ord"), "b_label")
+    return (b.join(F.broadcast(base.drop("b_ord")), "b_label")
+            .join(F.broadcast(stats.drop("b_ord")), "b_label")
             .select(F.col("b_ord").alias("ord"), F.col("b_label").alias("label"),
                     "baseline", "weighed", cov.alias("coverage"),
                     (cov >= F.lit(MONTHLY_THRESHOLD)).alias("ok"),

@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from herdflow.functions.text import strip_ws
-from herdflow.schemas import JOIN_RATE_MIN, JOIN_RATE_MIN_ROWS
+from herdflow.schemas import JOIN_RATE_MIN, JOIN_RATE_MIN_ROWS, local_table
 
 
 def expect_non_empty(df: DataFrame) -> bool:
@@ -52,8 +53,9 @@ def profile_keys(df: DataFrame, cols: list[str]) -> DataFrame:
         "n_null": lambda c: F.count_if(_c(c).isNull()),
         "n_nan_str": lambda c: F.count_if(F.lower(strip_ws(_c(c))) == "nan"),
     })
-    types = df.sparkSession.createDataFrame([(c, df.schema[c].dataType.simpleString()) for c in cols],
-                                            "column string, dtype string")
+    types = local_table(df.sparkSession, [(c, df.schema[c].dataType.simpleString()) for c in cols],
+                        T.StructType([T.StructField("column", T.StringType()),
+                                      T.StructField("dtype", T.StringType())]))
     return prof.join(F.broadcast(types), "column")
 
 

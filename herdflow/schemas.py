@@ -153,12 +153,30 @@ MONTHLY_BAND_SCHEMA = T.StructType([
 ])
 
 
+def _sql_literal(v, type_: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {type_})"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v!r} AS {type_})"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small fixed table as an inline VALUES relation: it lives in the plan (no Python
+    RDD), carries exact size statistics and is therefore broadcast without a shuffle."""
+    cols = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    values = ", ".join("(" + ", ".join(_sql_literal(v, t) for v, (_, t) in zip(r, cols)) + ")"
+                       for r in rows)
+    names = ", ".join(f"`{n}`" for n, _ in cols)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def weekly_bands(spark: SparkSession) -> DataFrame:
     """Weekly band table with its display order (`ord`)."""
     rows = [(i, lbl, float(a), float(b), float(c), float(d), float(e), float(f))
             for i, (lbl, a, b, c, d, e, f) in enumerate(AGE_GROUPS)]
     schema = T.StructType([T.StructField("ord", T.IntegerType(), False)] + WEEKLY_BAND_SCHEMA.fields)
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)
 
 
 def monthly_bands(spark: SparkSession) -> DataFrame:
@@ -168,4 +186,4 @@ def monthly_bands(spark: SparkSession) -> DataFrame:
                      None if amin is None else float(amin), None if amax is None else float(amax),
                      lmin, lmax, dmin, dmax, float(wl), float(wh)))
     schema = T.StructType([T.StructField("ord", T.IntegerType(), False)] + MONTHLY_BAND_SCHEMA.fields)
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)
