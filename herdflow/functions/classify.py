@@ -20,3 +20,10 @@ def classify(no: Column | str, lac_no: Column | str) -> Column:
     return (F.when(unknown, F.lit("unknown"))
             .when(to_number(lac_no) >= 1, F.lit("cow"))
             .otherwise(F.lit("heifer")))
+
+
+def add_animal_type(df, no_col: str = "no", lac_col: str = "lac_no", out: str = "animal_type"):
+    """Add the class column; when either input column is missing every row is unknown."""
+    if no_col in df.columns and lac_col in df.columns:
+        return df.withColumn(out, classify(no_col, lac_col))
+    return df.withColumn(out, F.lit("unknown"))

@@ -67,30 +67,48 @@ def curve(df: DataFrame, x: str, y: str = "weight_kg", round_digits: int | None
             .groupBy(xe.alias(out_x)).agg(F.avg(y).alias(f"avg_{y}"), F.count(F.lit(1)).alias("n")))
 
 
+def _bin_index(x, lo, hi, bins: int):
+    return F.least(F.floor((x - lo) * F.lit(bins) / (hi - lo)), F.lit(bins - 1)).cast("int")
+
+
+def _widen(mn, mx):
+    """Range of the data; a single value widens it by 0.5 on each side."""
+    lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
+    hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
+    return lo, hi
+
+
 def histogram(df: DataFrame, col: str, bins: int = 20, by: str | None = None) -> DataFrame:
     """Equal-width histogram between each class's min and max (last bin closed); a single
     value widens the range by 0.5 on each side. Every bin is reported, empty ones with 0.
 
-    The per-class range is an aggregate (one row per class) joined back by equality; bins
-    are generated from that small table with `explode(sequence)`, never by a cross join.
+    With `by`, the per-class range is an aggregate (one row per class) joined back by
+    equality and the bins come from that small table with `explode(sequence)`. Without
+    `by`, the range is one scalar pair computed first and applied as literals.
     """
     x = F.col(col)
     data = df.where(x.isNotNull() & ~F.isnan(x))
     if by is None:
-        by = "_all"
-        data = data.withColumn(by, F.lit(0))
-    keys = [by]
-    rng = (data.groupBy(*keys).agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
-           .select(*keys,
-                   F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-                   F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
-    idx = F.least(F.floor((x - F.col("lo")) * F.lit(bins) / (F.col("hi") - F.col("lo"))),
-                  F.lit(bins - 1)).cast("int")
-    counts = data.join(rng, keys).groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    all_bins = rng.select(*keys, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out_keys = [] if by == "_all" else keys
-    return (all_bins.join(counts, keys + ["bin"], "left")
-            .select(*out_keys, "bin",
+        r = data.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
+        if r["mn"] is None:
+            return df.sparkSession.range(0).select(F.lit(0).alias("bin"), F.lit(0.0).alias("bin_lo"),
+                                                   F.lit(0).cast("bigint").alias("n"))
+        mn, mx = float(r["mn"]), float(r["mx"])
+        lo, hi = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
+        counts = (data.groupBy(_bin_index(x, F.lit(lo), F.lit(hi), bins).alias("bin"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+        all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+        return (all_bins.join(F.broadcast(counts), "bin", "left")     # at most `bins` rows
+                .select("bin", (F.lit(lo) + F.col("bin") * (F.lit(hi) - F.lit(lo)) / F.lit(bins)).alias("bin_lo"),
+                        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
+    mm = data.groupBy(by).agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
+    lo, hi = _widen(F.col("mn"), F.col("mx"))
+    rng = mm.select(by, lo.alias("lo"), hi.alias("hi"))
+    counts = (data.join(rng, by).groupBy(by, _bin_index(x, F.col("lo"), F.col("hi"), bins).alias("bin"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    all_bins = rng.select(by, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (all_bins.join(counts, [by, "bin"], "left")
+            .select(by, "bin",
                     (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(bins)).alias("bin_lo"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 

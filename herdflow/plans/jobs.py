@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.functions.classify import classify
+from herdflow.functions.classify import add_animal_type
 from herdflow.operators.conform import conform, drop_invalid_tags, filter_range
 from herdflow.operators.enrich import enrich
 from herdflow.operators.retention import select_for_retention
@@ -31,7 +31,7 @@ def transform_tail(rows: DataFrame, herd: DataFrame | None, loaded_at,
     """
     r = drop_invalid_tags(rows, "ear_tag")
     r = enrich(r, herd)
-    r = r.withColumn("animal_type", classify("no", "lac_no"))
+    r = add_animal_type(r)
     r = conform(r, loaded_at)
     return filter_range(r, "weight_kg", low, high)
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from herdflow.operators.dedup import dedup_latest, latest_order
 from herdflow.schemas import DEDUP_KEYS, MASTER_ORDER, RUN_LOG_SCHEMA
@@ -18,7 +19,18 @@ STAGING_DIR = "_staging"
 
 def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Month partition value (``yyyy-MM``); a null date lands in the null partition."""
-    return df.withColumn(PARTITION_COL, F.date_format(F.col(date_col), "yyyy-MM"))
+    return df.withColumn(PARTITION_COL, F.date_format(F.col(date_col).cast("date"), "yyyy-MM").cast("string"))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read the month-partitioned table with the partition column pinned to text (type
+    inference would make it VOID when only the null partition exists)."""
+    df = spark.read.parquet(path)
+    if PARTITION_COL in df.columns and not isinstance(df.schema[PARTITION_COL].dataType, T.StringType):
+        schema = T.StructType([T.StructField(PARTITION_COL, T.StringType()) if f.name == PARTITION_COL else f
+                               for f in df.schema.fields])
+        df = spark.read.schema(schema).parquet(path)
+    return df
 
 
 def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
@@ -38,7 +50,7 @@ def recover_staged(spark: SparkSession, path: str) -> bool:
     for st in fs.listStatus(root):
         stage = st.getPath().toString()
         if fs.exists(jvm.org.apache.hadoop.fs.Path(stage + "/_SUCCESS")):
-            _write_partitioned(spark.read.parquet(stage), path, "overwrite")
+            _write_partitioned(read_table(spark, stage), path, "overwrite")
             done = True
         delete_path(spark, stage)
     return done
@@ -68,7 +80,7 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
         cond = F.col(PARTITION_COL).isin(months) if months else F.lit(False)
         if None in touched:
             cond = cond | F.col(PARTITION_COL).isNull()
-        existing = spark.read.parquet(path).where(cond)
+        existing = read_table(spark, path).where(cond)
         combined = existing.unionByName(new_m.select(*existing.columns), allowMissingColumns=True)
     else:
         combined = new_m
@@ -77,17 +89,17 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
         return merged
     if not exists:
         _write_partitioned(merged, path, "overwrite")
-        return spark.read.parquet(path)
+        return read_table(spark, path)
     stage = f"{path}/{STAGING_DIR}/{uuid.uuid4().hex[:12]}"
     _write_partitioned(merged, stage, "overwrite")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        _write_partitioned(spark.read.parquet(stage), path, "overwrite")
+        _write_partitioned(read_table(spark, stage), path, "overwrite")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     delete_path(spark, stage)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
