@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,18 +12,19 @@ from herdflow.functions.numbers import decimal_comma
 from herdflow.functions.text import col_, strip_ws
 from herdflow.schemas import BLOB_HEADER_KEYWORDS
 
-_KEYWORD_RE = "|".join(BLOB_HEADER_KEYWORDS)
-
 
 def normalize_newlines(c: Column | str) -> Column:
     """Null blob -> ''; CRLF and CR -> LF."""
-    return F.regexp_replace(F.coalesce(col_(c).cast("string"), F.lit("")), r"\r\n?", "\n")
+    t = F.coalesce(col_(c).cast("string"), F.lit(""))
+    return F.replace(F.replace(t, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def is_valid_line(c: Column | str) -> Column:
     """Drop blank/short lines and lines containing a header/footer keyword anywhere."""
     c = col_(c)
-    return (F.length(strip_ws(c)) >= 2) & ~F.upper(c).rlike(_KEYWORD_RE)
+    u = F.upper(c)
+    has_kw = reduce(lambda a, b: a | b, [u.contains(k) for k in BLOB_HEADER_KEYWORDS])
+    return (F.length(strip_ws(c)) >= 2) & ~has_kw
 
 
 def line_fields(c: Column | str) -> Column:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from herdflow.functions.text import col_, strip_ws
 
@@ -40,3 +41,19 @@ def small_reject(c: Column | str, type_: str = "smallint") -> Column:
 def non_negative(c: Column | str) -> Column:
     c = col_(c)
     return F.when(c >= 0, c)
+
+
+_NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                  T.DecimalType)
+
+
+def numeric_col(df: DataFrame, name: str) -> Column:
+    """Column `name` of `df` as double: numbers are cast directly (NaN -> null), text goes
+    through `to_number`'s lexical guard."""
+    dt = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(c), c.cast("double"))
+    if isinstance(dt, _NUMERIC_TYPES):
+        return c.cast("double")
+    return to_number(c)

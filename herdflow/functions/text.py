@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from herdflow.schemas import (CONFORM_NULL_TOKENS, INVALID_TAG_TOKENS,
@@ -15,15 +15,28 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Whitespace removed by strip: blank, tab, newline, carriage return, form feed, vertical tab.
+WHITESPACE = " \t\n\r\f\x0b"
+
+
 def strip_ws(c: Column | str) -> Column:
-    """Strip leading/trailing whitespace including tabs and newlines (Spark `trim` only removes blanks)."""
-    return F.regexp_replace(col_(c).cast("string"), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace including tabs and newlines (plain `trim` only
+    removes blanks). A character-set trim, no regex."""
+    return F.trim(col_(c).cast("string"), F.lit(WHITESPACE))
+
+
+def drop_dot_zero(s: Column) -> Column:
+    """Remove one trailing ``.0``."""
+    return F.when(s.endswith(".0"), F.substr(s, F.lit(1), F.length(s) - 2)).otherwise(s)
+
+
+def drop_leading_zeros(s: Column) -> Column:
+    return F.ltrim(s, F.lit("0"))
 
 
 def clean_tag(c: Column | str) -> Column:
     """strip -> drop a trailing ``.0`` -> drop leading zeros."""
-    s = F.regexp_replace(strip_ws(c), r"\.0$", "")
-    return F.regexp_replace(s, r"^0+", "")
+    return drop_leading_zeros(drop_dot_zero(strip_ws(c)))
 
 
 def is_valid_tag(c: Column | str) -> Column:
@@ -38,10 +51,22 @@ def normalize_id(c: Column | str) -> Column:
     strip -> drop ``.0`` -> ``d.ddde+NN`` to its integer digits -> drop leading zeros.
     Null stays null. Scientific form needs a decimal point (``9e+14`` is left as is).
     """
-    s = F.regexp_replace(strip_ws(c), r"\.0$", "")
+    return sci_to_digits(drop_dot_zero(strip_ws(c)))
+
+
+def sci_to_digits(s: Column) -> Column:
+    """Second half of `normalize_id` on an already stripped, ``.0``-free value."""
     as_int = F.floor(s.try_cast("double").try_cast("decimal(38,6)")).cast("string")
-    s = F.when(s.rlike(SCI_ID_RE), as_int).otherwise(s)
-    return F.regexp_replace(s, r"^0+", "")
+    sci = F.lower(s).contains("e") & s.rlike(SCI_ID_RE)
+    return drop_leading_zeros(F.when(sci, as_int).otherwise(s))
+
+
+def with_normalized_id(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """`normalize_id` as two projections (the stripped value is computed once per row)."""
+    out = out or col
+    tmp = f"_{out}_stripped"
+    step = df.withColumn(tmp, drop_dot_zero(strip_ws(col)))
+    return step.withColumn(out, sci_to_digits(F.col(tmp))).drop(tmp)
 
 
 def null_tokens(c: Column | str, vocab: str = "conform") -> Column:

@@ -21,6 +21,7 @@ from herdflow.harness import sqlfn as q
 from herdflow.operators.dedup import dedup_latest, latest_order
 from herdflow.plans.jobs import transform_tail
 from herdflow.schemas import DEDUP_KEYS
+from herdflow.sources.scan import read_parquet
 from herdflow.sources.snapshots import load_snapshot
 
 REPORT_DAY = dt.date(2024, 1, 26)          # weekly report day: week 4, threshold 30 %
@@ -35,7 +36,7 @@ PAGE_SIZE = 100                            # records per API page
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return read_parquet(spark, f"{d}/{name}.parquet")
 
 
 # ----------------------------------------------------------------------- weigh rows

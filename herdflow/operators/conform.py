@@ -6,24 +6,12 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from herdflow.functions.numbers import non_negative, to_number, to_small
-from herdflow.functions.text import clean_tag, is_valid_tag, null_tokens, strip_ws
+from herdflow.functions.numbers import non_negative, numeric_col, to_small
+from herdflow.functions.text import (drop_dot_zero, drop_leading_zeros, is_valid_tag, null_tokens,
+                                     strip_ws)
 from herdflow.schemas import MASTER_SCHEMA
 
 NON_NEGATIVE = ("age_days", "age_month", "dim")
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-            T.DecimalType)
-
-
-def numeric_col(df: DataFrame, name: str) -> Column:
-    """Column as double with NaN -> null; text goes through the lexical guard."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, (T.FloatType, T.DoubleType)):
-        return F.when(~F.isnan(c), c.cast("double"))
-    if isinstance(dt, _NUMERIC):
-        return c.cast("double")
-    return to_number(c)
 
 
 def _date_col(df: DataFrame, name: str) -> Column:
@@ -95,8 +83,11 @@ def range_counts(df: DataFrame, col: str, low: float, high: float) -> DataFrame:
 
 
 def drop_invalid_tags(df: DataFrame, col: str = "ear_tag") -> DataFrame:
-    """Clean the tag (strip, ``.0``, leading zeros) and drop empty / placeholder tags."""
-    return df.withColumn(col, clean_tag(col)).where(is_valid_tag(col))
+    """Clean the tag (strip, ``.0``, leading zeros) and drop empty / placeholder tags.
+
+    Done in two projections so the stripped value is computed once per row."""
+    stripped = df.withColumn(col, strip_ws(col))
+    return stripped.withColumn(col, drop_leading_zeros(drop_dot_zero(F.col(col)))).where(is_valid_tag(col))
 
 
 def strip_strings(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdflow.functions.dates import age_month, day_diff
-from herdflow.functions.numbers import to_number
-from herdflow.functions.text import normalize_id
+from herdflow.functions.numbers import numeric_col
+from herdflow.functions.text import with_normalized_id
 
 HERD_OUT = ["no", "group_name", "age_days", "dim", "lac_no"]
 
@@ -36,26 +36,22 @@ def enrich(weights: DataFrame, herd: DataFrame | None, left_key: str = "ear_tag"
 
     snap = (F.col(snapshot_col).cast("date") if snapshot_col in herd.columns
             else (F.lit(today).cast("date") if today is not None else F.current_date()))
-    h = herd.select(normalize_id(right_key).alias("_hkey"),
-                    *[F.col(c) for c in HERD_OUT if c in herd.columns],
-                    snap.alias("_snap_date"))
-    w = weights.withColumn(left_key, normalize_id(left_key))
-    for c in HERD_OUT:
-        if c in w.columns:
-            w = w.drop(c)
+    keep = [c for c in HERD_OUT if c in herd.columns]
+    h = with_normalized_id(herd, right_key, "_hkey")
+    h = h.select("_hkey", *[numeric_col(h, c).alias(f"_{c}_num") if c in ("age_days", "dim")
+                            else F.col(c) for c in keep], snap.alias("_snap_date"))
+    w = with_normalized_id(weights.drop(*[c for c in HERD_OUT if c in weights.columns]), left_key)
     j = w.join(h, w[left_key] == h["_hkey"], "left")
 
-    matched = F.col("no").isNotNull() if "no" in h.columns else F.lit(False)
+    matched = F.col("no").isNotNull() if "no" in keep else F.lit(False)
     dd = day_diff("_snap_date", F.col(date_col).cast("date"))
     out = j
     for c in ("age_days", "dim"):
-        if c in h.columns:
-            out = out.withColumn(c, F.when(matched, to_number(c) - dd).otherwise(F.col(c)))
-    if "age_days" in h.columns:
-        out = out.withColumn("age_month", age_month(to_number("age_days")))
-    else:
-        out = out.withColumn("age_month", F.lit(None).cast("double"))
-    return out.drop("_hkey", "_snap_date")
+        if c in keep:
+            out = out.withColumn(c, F.when(matched, F.col(f"_{c}_num") - dd).otherwise(F.col(f"_{c}_num")))
+    out = out.withColumn("age_month", age_month("age_days") if "age_days" in keep
+                         else F.lit(None).cast("double"))
+    return out.drop("_hkey", "_snap_date", "_age_days_num", "_dim_num")
 
 
 def match_counts(df: DataFrame, no_col: str = "no") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdflow.functions.text import normalize_id, strip_ws
+from herdflow.functions.text import normalize_id, strip_ws, with_normalized_id
 
 MERGE_COLUMNS = ["no", "transp_2", "group_name", "age_days", "dim", "lac_no"]
 
@@ -55,7 +55,7 @@ def load_snapshot(df: DataFrame, as_of=None, direction: str = "backward",
     snap = snap.select(*keep)
     for c in ("transp_2", "no"):
         if c in snap.columns:
-            snap = snap.withColumn(c, normalize_id(c))
+            snap = with_normalized_id(snap, c)
     return snap
 
 
