@@ -1033,3 +1033,65 @@ def _flagship(spark, d) -> DataFrame:
 @register("weigh_job", _master_sql(_WEEKLY_SELECT, _weekly_sql_ctes(A.MONTH_START, A.REPORT_DAY)))
 def q_weigh_job(spark, d):
     return _flagship(spark, d)
+
+
+# ================================================================= more sources/sinks
+@register("read_sessions", with_ctes([_SQL_SESSION_ROWS], """
+SELECT CAST(session_id AS VARCHAR) AS session_id, session_name, date, NULLIF(time, '') AS time,
+       NULLIF(ear_tag, '') AS ear_tag, CAST(weight AS VARCHAR) AS weight, NULLIF(scan_date, '') AS scan_date
+FROM sr WHERE date >= '2024-01-08' AND date <= '2024-01-21'"""))
+def q_read_sessions(spark, d):
+    """Flattened sessions landed as text CSV partitioned by session date, read back with a
+    date window (whole date directories are pruned)."""
+    from herdflow.session import scratch_path
+    from herdflow.sources.sessions import read_sessions
+    path = scratch_path(spark, "sessions_csv")
+    flat = S.flatten_sessions(A.session_docs(spark, d))
+    text = flat.select(*[F.col(c).cast("string").alias(c) for c in flat.columns])
+    text.write.mode("overwrite").option("header", True).csv(path)
+    return read_sessions(spark, path, "2024-01-08", "2024-01-21")
+
+
+@register("landing_stats", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(DISTINCT CASE WHEN trim(op) <> '' THEN op END) AS BIGINT) AS n_operations,
+       CAST(count(*) FILTER (WHERE op IS NULL OR trim(op) = '') AS BIGINT) AS n_direct
+FROM (SELECT DISTINCT event_type, event_id // {A.BLOB_SIZE} AS b, {A.SQL_OP_TAG} AS op FROM events)""")
+def q_landing_stats(spark, d):
+    return QC.landing_stats(A.blobs(spark, d))
+
+
+@register("preview_latest", _master_sql("""
+SELECT date, device, ear_tag, no, weight_kg FROM master
+ORDER BY date DESC, device DESC, ear_tag DESC LIMIT 10"""))
+def q_preview_latest(spark, d):
+    """Latest ten weighings (a top-n report)."""
+    m = A.master(spark, d).select("date", "device", "ear_tag", "no", "weight_kg")
+    return QC.preview(m, 10, ["date", "device", "ear_tag"], tail=True)
+
+
+@register("month_meta", with_ctes([A.SQL_HERD], f"""
+SELECT * FROM (VALUES ('period', '{A.MONTH_START} → {A.MONTH_END}'), ('threshold', '30.0%'),
+                      ('produced_at', '2024-02-01 06:00:00')) t(item, value)
+UNION ALL
+SELECT 'baseline_date', coalesce(CAST(min(date) AS VARCHAR), 'N/A') FROM herd WHERE date >= DATE '{A.MONTH_START}'"""))
+def q_month_meta(spark, d):
+    return B.month_meta(A.herd_snapshots(spark, d), A.MONTH_START, A.MONTH_END, "2024-02-01 06:00:00")
+
+
+@register("blob_run", with_ctes([A.SQL_WEIGH_ROWS, A.SQL_HERD, A.SQL_ENRICHED, A.SQL_MASTER],
+                                "SELECT * FROM master"))
+def q_blob_run(spark, d):
+    """Both devices: land the fetched blobs, then replay from the landing (partition
+    pruned by device) through the transform into an upserted master."""
+    from herdflow.plans.jobs import blob_run
+    from herdflow.session import scratch_path
+    landing, master_path = scratch_path(spark, "landing"), scratch_path(spark, "master")
+    bl = A.blobs(spark, d)
+    herd = load_snapshot(A.herd_snapshots(spark, d))
+    out = None
+    for dev in ("CIMA1", "CIMA2"):
+        raw = bl.where(F.col("device") == dev).drop("device")
+        blob_run(spark, landing, dev, herd, A.LOADED_AT, None, raw=raw, mode="land")
+        out = blob_run(spark, landing, dev, herd, A.LOADED_AT, master_path, mode="replay")
+    return out.drop("loaded_at", "month")

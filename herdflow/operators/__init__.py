@@ -13,8 +13,8 @@ from herdflow.operators.dedup import (dedup_latest, duplicate_keys, duplicate_su
                                       first_per_key, latest_order)
 from herdflow.operators.enrich import enrich, match_counts
 from herdflow.operators.quality import (all_null_columns, expect_columns, expect_non_empty,
-                                        join_rate_gate, landing_stats, null_counts, probe,
-                                        profile_keys, summary)
+                                        join_rate_gate, landing_stats, null_counts, preview,
+                                        probe, profile_keys, summary)
 from herdflow.operators.repair import (fill_device, migrate_legacy, repair_class,
                                        repair_device, repair_null_counts, repair_nulls,
                                        round_age_month)
@@ -28,7 +28,7 @@ __all__ = [
     "expect_non_empty", "fill_device", "filter_range", "first_per_key", "freshness",
     "histogram", "join_rate_gate", "landing_stats", "latest_order", "match_counts",
     "migrate_legacy", "month_groups", "month_headline", "month_meta", "month_summary",
-    "monthly_by_key", "null_counts", "observe_range", "probe", "profile_keys", "range_counts",
+    "monthly_by_key", "null_counts", "observe_range", "preview", "probe", "profile_keys", "range_counts",
     "repair_class", "repair_device", "repair_null_counts", "repair_nulls", "round_age_month",
     "running_total", "select_for_retention", "summary", "top_groups", "value_counts",
     "weekly_coverage",

@@ -96,3 +96,11 @@ def landing_stats(df: DataFrame, op_col: str = "operationTag") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   F.countDistinct(F.when(~blank, F.col(op_col))).alias("n_operations"),
                   F.count_if(blank).alias("n_direct"))
+
+
+def preview(df: DataFrame, n: int = 10, order: list[str] | None = None, tail: bool = False) -> DataFrame:
+    """First (or last, ``tail=True``) `n` rows in `order` — a top-n report, planned as
+    TakeOrderedAndProject (each task keeps its own n rows)."""
+    cols = order or df.columns
+    sort = [F.col(c).desc_nulls_first() if tail else F.col(c).asc_nulls_last() for c in cols]
+    return df.orderBy(*sort).limit(n)

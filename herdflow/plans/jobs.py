@@ -17,8 +17,9 @@ from herdflow.operators.conform import conform, drop_invalid_tags, filter_range
 from herdflow.operators.enrich import enrich
 from herdflow.operators.retention import select_for_retention
 from herdflow.schemas import WEIGHT_HIGH, WEIGHT_LOW
+from herdflow.sinks.landing import land_raw
 from herdflow.sinks.master import upsert_latest
-from herdflow.sources.blobs import parse_blobs
+from herdflow.sources.blobs import parse_blobs, read_raw_blobs
 from herdflow.sources.sessions import flatten_sessions
 
 
@@ -54,6 +55,34 @@ def blob_job(blobs: DataFrame, herd: DataFrame | None, loaded_at, master_path: s
     return upsert_latest(rows, master_path, write=write)
 
 
+def blob_run(spark: SparkSession, landing_path: str, device: str, herd: DataFrame | None, loaded_at,
+             master_path: str | None, raw: DataFrame | None = None, mode: str = "full",
+             date_from=None, date_to=None, write: bool = True) -> DataFrame:
+    """One device's blob run in one of three modes.
+
+    * ``land``: land the fetched records (`raw`) and stop (download only);
+    * ``replay``: no fetch — read the landed blobs of ``[date_from, date_to]`` (partition
+      pruned) and run the transform and upsert;
+    * ``full``: land the fetched records, then transform them and upsert.
+    Returns the landed table (land) or the master / would-be master (replay, full).
+    """
+    if mode not in ("land", "replay", "full"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode in ("land", "full"):
+        if raw is None:
+            raise ValueError("land/full need the fetched records")
+        landed = land_raw(raw, landing_path, device, write=write)
+        if mode == "land":
+            return landed
+        blobs = raw.withColumn("device", F.lit(device))
+    else:
+        blobs = read_raw_blobs(spark, landing_path, date_from, date_to, [device])
+    rows = transform_tail(blob_rows(blobs), herd, loaded_at)
+    if master_path is None:
+        return rows
+    return upsert_latest(rows, master_path, write=write)
+
+
 def session_rows(docs: DataFrame, device: str = "GALLAGHER_1", source: str = "GALLAGHER") -> DataFrame:
     flat = flatten_sessions(docs)
     return (flat.withColumn("date", F.try_to_date(F.col("date"), "yyyy-MM-dd"))

@@ -2,8 +2,9 @@
 
 from herdflow.sources.blobs import explode_lines, parse_blobs, read_raw_blobs, read_raw_csv
 from herdflow.sources.master import load_window, read_master, tag_and_union
+from herdflow.sources.scan import read_parquet, spread
 from herdflow.sources.sessions import (deletable, flatten_envelope, flatten_sessions,
-                                       new_sessions, parse_envelope)
+                                       new_sessions, parse_envelope, read_sessions)
 from herdflow.sources.snapshots import (apply_header_mapping, asof_join, load_snapshot,
                                         pick_snapshot, resolve_herd, resolve_snapshot_date,
                                         snapshot_date)
@@ -12,5 +13,6 @@ __all__ = [
     "apply_header_mapping", "asof_join", "deletable", "explode_lines", "flatten_envelope",
     "flatten_sessions", "load_snapshot", "load_window", "new_sessions", "parse_blobs",
     "parse_envelope", "pick_snapshot", "read_master", "read_raw_blobs", "read_raw_csv",
-    "resolve_herd", "resolve_snapshot_date", "snapshot_date", "tag_and_union",
+    "read_parquet", "read_sessions", "resolve_herd", "resolve_snapshot_date", "snapshot_date",
+    "spread", "tag_and_union",
 ]

@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 from herdflow.functions.text import session_id
 
+SESSION_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
+                                   ["session_id", "session_name", "date", "time", "ear_tag", "weight",
+                                    "scan_date"]])
+
 
 def flatten_sessions(df: DataFrame, id_col: str = "session_id") -> DataFrame:
     """Session document -> one row per animal.
@@ -65,3 +69,17 @@ def deletable(listing: DataFrame, landed: DataFrame, href_col: str = "href",
     lst = listing.withColumn("session_id", session_id(href_col)).where(F.col("session_id").isNotNull())
     ids = landed.select(F.col(landed_id_col).cast("bigint").alias("session_id")).distinct()
     return lst.join(ids, "session_id", "left_semi")
+
+
+def read_sessions(spark, path: str, date_from=None, date_to=None,
+                  schema: T.StructType = SESSION_CSV_SCHEMA) -> DataFrame:
+    """Landed session CSVs (all text) with ``date_from <= date <= date_to`` compared as
+    ``YYYY-MM-DD`` text. Empty fields read as null (as a text reader treats a missing
+    value). Files whose name starts with ``_`` or ``.`` are skipped by the reader; with a
+    layout partitioned by date the window prunes whole directories."""
+    df = spark.read.schema(schema).option("header", True).csv(path)
+    if date_from is not None:
+        df = df.where(F.col("date") >= F.lit(str(date_from)))
+    if date_to is not None:
+        df = df.where(F.col("date") <= F.lit(str(date_to)))
+    return df
