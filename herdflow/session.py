@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # A window / aggregate gets its own exchange on *all* its keys instead of reusing a
+    # join's partitioning on a subset (e.g. the tag): keep-latest then always trims each map
+    # task to one row per key before the shuffle, so a hot tag cannot land in one task.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
 }
 
 

@@ -56,41 +56,64 @@ def recover_staged(spark: SparkSession, path: str) -> bool:
     return done
 
 
+def staged_partitions(spark: SparkSession, path: str, col: str = PARTITION_COL) -> list:
+    """Partition values present under a partitioned folder, from the file listing only
+    (no data is read). The null partition is returned as None."""
+    values = set()
+    for f in spark.read.parquet(path).inputFiles():
+        for part in f.split("/"):
+            if part.startswith(col + "="):
+                v = part[len(col) + 1:]
+                values.add(None if v == "__HIVE_DEFAULT_PARTITION__" else v)
+    return sorted(values, key=lambda v: (v is None, v))
+
+
 def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
                   order: list[Column] | None = None, write: bool = True) -> DataFrame:
     """existing ∪ new -> keep the latest row per key -> replace only the touched months.
 
-    * Only the month partitions present in `new` are read back (partition pruning) and
+    * The incoming batch is computed once: it is written to a staging folder next to the
+      table (partitioned by month), and the touched months are read from that folder's
+      listing, so the upstream transform never runs twice.
+    * Only the touched month partitions of the table are read (partition pruning) and
       rewritten (dynamic partition overwrite); other months are never touched.
     * The key contains `date`, so the dedup never needs rows from other months.
-    * The merged months are first written to a staging folder next to the table (cuts
-      the lineage: an executor lost during the overwrite recomputes from the stage, not
-      from the table being replaced); a crash between stage and overwrite is finished by
-      `recover_staged` on the next run.
+    * The merged months are staged too before the overwrite (lineage cut: a lost executor
+      recomputes from the stage, not from the table being replaced); a crash between stage
+      and overwrite is finished by `recover_staged` on the next run.
     * ``write=False`` is the dry run: returns the would-be merged months lazily.
     """
     spark = new.sparkSession
     order = order if order is not None else latest_order()
     new_m = with_month(new)
     exists = path_exists(spark, path)
-    if exists:
-        recover_staged(spark, path)
-        touched = [r[0] for r in new_m.select(PARTITION_COL).distinct().collect()]
-        months = [m for m in touched if m is not None]
-        cond = F.col(PARTITION_COL).isin(months) if months else F.lit(False)
-        if None in touched:
-            cond = cond | F.col(PARTITION_COL).isNull()
-        existing = read_table(spark, path).where(cond)
-        combined = existing.unionByName(new_m.select(*existing.columns), allowMissingColumns=True)
+    if not exists:
+        merged = dedup_latest(new_m, keys, order)
+        if not write:
+            return merged
+        _write_partitioned(merged, path, "overwrite")
+        return read_table(spark, path)
+    recover_staged(spark, path)
+    run = uuid.uuid4().hex[:12]
+    if write:
+        batch_path = f"{path}/{STAGING_DIR}_in/{run}"
+        new_m.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(batch_path)
+        batch = read_table(spark, batch_path)
+        touched = staged_partitions(spark, batch_path)
     else:
-        combined = new_m
+        batch = new_m
+        touched = [r[0] for r in new_m.select(PARTITION_COL).distinct().collect()]
+    months = [m for m in touched if m is not None]
+    cond = F.col(PARTITION_COL).isin(months) if months else F.lit(False)
+    if None in touched:
+        cond = cond | F.col(PARTITION_COL).isNull()
+    existing = read_table(spark, path).where(cond)
+    combined = existing.unionByName(batch.select(*[c for c in existing.columns if c in batch.columns]),
+                                    allowMissingColumns=True)
     merged = dedup_latest(combined, keys, order)
     if not write:
         return merged
-    if not exists:
-        _write_partitioned(merged, path, "overwrite")
-        return read_table(spark, path)
-    stage = f"{path}/{STAGING_DIR}/{uuid.uuid4().hex[:12]}"
+    stage = f"{path}/{STAGING_DIR}/{run}"
     _write_partitioned(merged, stage, "overwrite")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -99,6 +122,7 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     delete_path(spark, stage)
+    delete_path(spark, batch_path)
     return read_table(spark, path)
 
 
