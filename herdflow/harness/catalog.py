@@ -761,7 +761,7 @@ def q_histogram(spark, d):
 
 
 @register("freshness", _master_sql(f"""
-SELECT max(date) AS last_date, date_diff('day', max(date), DATE '{A.FRESHNESS_DAY}') AS gap_days,
+SELECT max(date) AS last_date, CAST(date_diff('day', max(date), DATE '{A.FRESHNESS_DAY}') AS INTEGER) AS gap_days,
        coalesce(date_diff('day', max(date), DATE '{A.FRESHNESS_DAY}') > 7, true) AS alert
 FROM master"""))
 def q_freshness(spark, d):
@@ -992,15 +992,16 @@ def q_stream_upsert(spark, d):
 SELECT CAST(ts AS DATE) AS day, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL""")
 def q_stream_daily_counts(spark, d):
     from herdflow.session import scratch_path
-    from herdflow.streaming.streams import daily_counts_stream, ingest_stream, upsert_counts_batch
+    from herdflow.streaming.streams import (daily_counts_stream, ingest_stream, read_latest,
+                                            versioned_batch_writer)
     root = scratch_path(spark, "stream")
     schema = A.table(spark, d, "events").schema
     s = ingest_stream(spark, f"{d}/events*.parquet", schema)
     counts = daily_counts_stream(s, "ts", ["event_type"])
     out = f"{root}/counts"
-    (counts.writeStream.outputMode("update").foreachBatch(upsert_counts_batch(out, ["day", "event_type"]))
+    (counts.writeStream.outputMode("update").foreachBatch(versioned_batch_writer(out))
      .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(out).select("day", "event_type", "n")
+    return read_latest(spark, out, ["day", "event_type"]).select("day", "event_type", "n")
 
 
 # ================================================================= jobs (composed plans)

@@ -39,25 +39,24 @@ def daily_counts_stream(df: DataFrame, ts_col: str, by: list[str], lateness: str
             .select(F.col("w.start").cast("date").alias("day"), *by, "n"))
 
 
-def upsert_counts_batch(path: str, keys: list[str]):
-    """foreachBatch body for an update-mode aggregate: merge the updated rows into `path`
-    keeping the newest value per key (the batch id orders versions)."""
+def versioned_batch_writer(path: str):
+    """foreachBatch body for an update-mode aggregate: the updated rows of micro-batch N
+    go to partition ``epoch=N`` (dynamic overwrite, so a replayed batch rewrites only its
+    own partition). Nothing is read back or rewritten, so a crash at any point leaves the
+    table consistent; `read_latest` gives the current value per key."""
     def _fn(batch: DataFrame, epoch: int) -> None:
-        upd = batch.withColumn("_epoch", F.lit(epoch).cast("bigint"))
-        spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(path)
-            allrows = old.unionByName(upd)
-        except Exception:  # noqa: BLE001 - first batch: nothing written yet
-            allrows = upd
-        merged = dedup_latest(allrows, keys, [F.col("_epoch").desc()])
-        # written to a versioned table first: the target is read by this very plan
-        tmp = f"{path}_v{epoch}"
-        merged.write.mode("overwrite").parquet(tmp)
-        spark.read.parquet(tmp).write.mode("overwrite").parquet(path)
+        (batch.withColumn("epoch", F.lit(epoch).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("epoch").parquet(path))
     return _fn
 
 
+def read_latest(spark, path: str, keys: list[str]) -> DataFrame:
+    """Current value per key of a `versioned_batch_writer` table (newest epoch wins)."""
+    df = spark.read.parquet(path)
+    return dedup_latest(df, keys, [F.col("epoch").desc()]).drop("epoch")
+
+
 def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: list[str] | None = None,
                   loaded_at_from_batch: bool = True) -> StreamingQuery:
     """Streaming master upsert: every micro-batch goes through `upsert_latest`.

@@ -35,3 +35,20 @@ def test_each_file_read_once(spark):
     for _ in range(2):
         run_available(ingest_stream(spark, src, schema).withColumn("n", F.lit(1)), out, ck)
     assert spark.read.parquet(out).count() == 1
+
+
+def test_daily_counts_update_mode_versioned_sink(spark):
+    from herdflow.streaming.streams import daily_counts_stream, read_latest, versioned_batch_writer
+    root = scratch_path(spark, "t-stream")
+    src, out, ck = f"{root}/in", f"{root}/out", f"{root}/ck"
+    day = dt.datetime(2024, 1, 20, 10)
+    _land(spark, src, [(1, day, 1.0), (2, day, 1.0)])
+    schema = spark.read.parquet(src).schema
+    for rows in ([], [(3, day, 1.0), (4, day + dt.timedelta(days=1), 1.0)]):
+        if rows:
+            _land(spark, src, rows)
+        counts = daily_counts_stream(ingest_stream(spark, src, schema).withColumn("k", F.lit("a")), "ts", ["k"])
+        (counts.writeStream.outputMode("update").foreachBatch(versioned_batch_writer(out))
+         .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    got = {(r["day"], r["n"]) for r in read_latest(spark, out, ["day", "k"]).collect()}
+    assert got == {(dt.date(2024, 1, 20), 3), (dt.date(2024, 1, 21), 1)}
