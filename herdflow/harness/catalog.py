@@ -1096,3 +1096,70 @@ def q_blob_run(spark, d):
         blob_run(spark, landing, dev, herd, A.LOADED_AT, None, raw=raw, mode="land")
         out = blob_run(spark, landing, dev, herd, A.LOADED_AT, master_path, mode="replay")
     return out.drop("loaded_at", "month")
+
+
+@register("export_csv", _master_sql("SELECT * FROM master"))
+def q_export_csv(spark, d):
+    """Master exported as CSV with header (ordered by the master order), read back typed."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.master import export_csv
+    m = A.master(spark, d).drop("loaded_at")
+    path = scratch_path(spark, "export")
+    export_csv(m, path, order=["date", "device", "ear_tag"])
+    return spark.read.schema(m.schema).option("header", True).csv(path)
+
+
+_HEADER_ALIAS = {"EarTag": "Transponder"}
+_HEADER_SNAKE = {"Cow No": "no", "Transponder": "transp_2", "Group": "group_name", "Age Days": "age_days"}
+
+
+@register("header_mapping", f"""
+WITH x AS (
+  SELECT CASE WHEN c_acctbal >= 0 THEN '00' || CAST(c_custkey + 100000 AS VARCHAR) || '.0' END AS cow_no,
+         printf('%.6e', CAST(c_custkey AS DOUBLE)) AS ear_tag, c_mktsegment AS grp,
+         CAST(CAST(floor(abs(c_acctbal)) AS INTEGER) % 1100 AS VARCHAR) AS age_days
+  FROM customer)
+SELECT {q.normalize_id('cow_no')} AS no, {q.normalize_id('ear_tag')} AS transp_2, grp AS group_name,
+       age_days, DATE '{A.SNAP_BASE}' AS date
+FROM x""")
+def q_header_mapping(spark, d):
+    """Customers as an all-text registry extract with spreadsheet-style headers."""
+    from herdflow.sources.snapshots import apply_header_mapping
+    c = A.table(spark, d, "customer")
+    text = c.select(
+        F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("00"), (F.col("c_custkey") + 100000).cast("string"),
+                                                 F.lit(".0"))).alias(" Cow No "),
+        F.format_string("%.6e", F.col("c_custkey").cast("double")).alias("EarTag"),
+        F.col("c_mktsegment").alias("Group"),
+        (F.floor(F.abs(F.col("c_acctbal"))).cast("int") % 1100).cast("string").alias("Age Days"),
+        F.col("c_name").alias("junk"))
+    return apply_header_mapping(text, _HEADER_ALIAS, _HEADER_SNAKE, ["Cow No", "Transponder"], A.SNAP_BASE)
+
+
+@register("read_master_window", with_ctes([_SQL_BATCHES], """
+SELECT date, ear_tag, device, time, weight_kg FROM b
+WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+QUALIFY row_number() OVER (PARTITION BY date, ear_tag, device
+                           ORDER BY loaded_at DESC, time DESC, weight_kg DESC) = 1"""))
+def q_read_master_window(spark, d):
+    """Two batches upserted, then a date window read from the month-partitioned master."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.master import upsert_latest
+    from herdflow.sources.master import read_master
+    path = scratch_path(spark, "master")
+    b1, b2 = _batches(spark, d)
+    upsert_latest(b1, path)
+    upsert_latest(b2, path)
+    return read_master(spark, path, "2024-01-10", "2024-01-20", weighed_only=True) \
+        .select("date", "ear_tag", "device", "time", "weight_kg")
+
+
+@register("land_sessions", with_ctes([A.SQL_LISTING], """
+SELECT href, name, createdAt, animalCount, substr(createdAt, 1, 10) AS session_date FROM listing"""))
+def q_land_sessions(spark, d):
+    """Session listing (empty sessions included) and their animals landed by session date."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.landing import land_sessions
+    root = scratch_path(spark, "sessions")
+    land_sessions(A.session_listing(spark, d), S.flatten_sessions(A.session_docs(spark, d)), root)
+    return spark.read.parquet(f"{root}/sessions").select("href", "name", "createdAt", "animalCount", "session_date")

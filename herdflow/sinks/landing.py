@@ -46,15 +46,22 @@ def land_raw(df: DataFrame, path: str, device: str, id_col: str = "id", write: b
     merged = dedup_latest(combined, ["device", "file_date", "bucket", id_col], [F.col("_seq").desc()]).drop("_seq")
     if not write:
         return merged
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.sortWithinPartitions("device", "file_date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("device", "file_date").parquet(path))
     return spark.read.parquet(path)
 
 
 def land_sessions(sessions: DataFrame, animals: DataFrame, path: str) -> None:
     """Append new sessions: the listing (including empty sessions, so they are not fetched
-    again) and their animal rows, both partitioned by session date."""
+    again) and their animal rows. Both are partitioned by session *month* (the day stays a
+    column): a daily partition of a small listing would only produce many tiny folders.
+    Rows are sorted by partition inside each task, so a task writes one file per month."""
     (sessions.withColumn("session_date", F.substring("createdAt", 1, 10))
-     .write.mode("append").partitionBy("session_date").parquet(f"{path}/sessions"))
+     .withColumn("session_month", F.substring("createdAt", 1, 7))
+     .sortWithinPartitions("session_month")
+     .write.mode("append").partitionBy("session_month").parquet(f"{path}/sessions"))
     (animals.withColumn("session_date", F.col("date"))
-     .write.mode("append").partitionBy("session_date").parquet(f"{path}/animals"))
+     .withColumn("session_month", F.substring(F.col("date").cast("string"), 1, 7))
+     .sortWithinPartitions("session_month")
+     .write.mode("append").partitionBy("session_month").parquet(f"{path}/animals"))
