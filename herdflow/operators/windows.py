@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from herdflow.session import shared_dir
+
 
 def running_total(df: DataFrame, order: list[Column | str], value: str, out: str = "before",
                   partitions: int | None = None) -> DataFrame:
@@ -20,6 +22,7 @@ def running_total(df: DataFrame, order: list[Column | str], value: str, out: str
          is bounded by the partition count).
     """
     spark = df.sparkSession
+    shared_dir(spark)                       # the checkpoint goes to the shared folder
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     staged = (df.repartitionByRange(n, *cols)
