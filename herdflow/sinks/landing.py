@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from herdflow.functions.text import safe_name
 from herdflow.operators.dedup import dedup_latest
-from herdflow.session import path_exists
+from herdflow.session import delete_path, path_exists
+from herdflow.sinks.master import staged_partitions
 
 
 def landing_buckets(df: DataFrame, op_col: str = "operationTag", created_col: str = "createdAt") -> DataFrame:
@@ -23,33 +28,65 @@ def landing_buckets(df: DataFrame, op_col: str = "operationTag", created_col: st
             .withColumn("file_date", F.try_to_date(F.substring(F.col(created_col), 1, 10), "yyyy-MM-dd")))
 
 
+def _read_landing(spark, path: str) -> DataFrame:
+    """Landed table with `file_date` pinned to date (inference would make it VOID when only
+    the null partition exists)."""
+    df = spark.read.parquet(path)
+    if "file_date" in df.columns and not isinstance(df.schema["file_date"].dataType, T.DateType):
+        schema = T.StructType([T.StructField("file_date", T.DateType()) if f.name == "file_date" else f
+                               for f in df.schema.fields])
+        df = spark.read.schema(schema).parquet(path)
+    return df
+
+
 def land_raw(df: DataFrame, path: str, device: str, id_col: str = "id", write: bool = True) -> DataFrame:
     """Land one device's raw records partitioned by (device, file_date).
 
     existing ∪ new of the touched partitions, keep the last row per (bucket, id) — new
-    rows win — then dynamic partition overwrite. Ids are compared as text.
+    rows win — then dynamic partition overwrite. Ids are compared as text. As in the
+    master upsert, the incoming batch is staged once (computed once, touched dates read
+    from the staged folder listing) and the merged partitions are staged before they
+    replace the landed ones, so the table is never read and rewritten by the same job.
     """
     spark = df.sparkSession
     new = (landing_buckets(df.withColumn(id_col, F.col(id_col).cast("string")))
            .withColumn("device", F.lit(device)).withColumn("_seq", F.lit(1)))
-    if path_exists(spark, path):
-        touched = [r[0] for r in new.select("file_date").distinct().collect()]
-        dates = [d for d in touched if d is not None]
-        cond = F.col("file_date").isin(dates) if dates else F.lit(False)
-        if None in touched:
-            cond = cond | F.col("file_date").isNull()
-        old = (spark.read.parquet(path).where((F.col("device") == device) & cond)
-               .withColumn("_seq", F.lit(0)))
-        combined = old.unionByName(new, allowMissingColumns=True)
+    keys = ["device", "file_date", "bucket", id_col]
+    if not path_exists(spark, path):
+        merged = dedup_latest(new, keys, [F.col("_seq").desc()]).drop("_seq")
+        if not write:
+            return merged
+        (merged.sortWithinPartitions("device", "file_date")
+         .write.mode("overwrite").partitionBy("device", "file_date").parquet(path))
+        return _read_landing(spark, path)
+    run = uuid.uuid4().hex[:12]
+    if write:
+        batch_path = f"{path}/_staging_in/{run}"
+        new.write.mode("overwrite").partitionBy("file_date").parquet(batch_path)
+        batch = _read_landing(spark, batch_path)
+        touched = staged_partitions(spark, batch_path, "file_date")
+        touched = [None if t is None else dt.date.fromisoformat(t) for t in touched]
     else:
-        combined = new
-    merged = dedup_latest(combined, ["device", "file_date", "bucket", id_col], [F.col("_seq").desc()]).drop("_seq")
+        batch = new
+        touched = [r[0] for r in new.select("file_date").distinct().collect()]
+    dates = [d for d in touched if d is not None]
+    cond = F.col("file_date").isin(dates) if dates else F.lit(False)
+    if None in touched:
+        cond = cond | F.col("file_date").isNull()
+    old = (_read_landing(spark, path).where((F.col("device") == device) & cond)
+           .withColumn("_seq", F.lit(0)))
+    merged = dedup_latest(old.unionByName(batch, allowMissingColumns=True), keys,
+                          [F.col("_seq").desc()]).drop("_seq")
     if not write:
         return merged
-    (merged.sortWithinPartitions("device", "file_date")
+    stage = f"{path}/_staging/{run}"
+    merged.write.mode("overwrite").partitionBy("device", "file_date").parquet(stage)
+    (_read_landing(spark, stage).sortWithinPartitions("device", "file_date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("device", "file_date").parquet(path))
-    return spark.read.parquet(path)
+    delete_path(spark, stage)
+    delete_path(spark, batch_path)
+    return _read_landing(spark, path)
 
 
 def land_sessions(sessions: DataFrame, animals: DataFrame, path: str) -> None:
