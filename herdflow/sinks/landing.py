@@ -63,7 +63,7 @@ def land_raw(df: DataFrame, path: str, device: str, id_col: str = "id", write: b
     if write:
         batch_path = f"{path}/_staging_in/{run}"
         new.write.mode("overwrite").partitionBy("file_date").parquet(batch_path)
-        batch = _read_landing(spark, batch_path)
+        batch = spark.read.schema(new.schema).parquet(batch_path)     # known schema: may be empty
         touched = staged_partitions(spark, batch_path, "file_date")
         touched = [None if t is None else dt.date.fromisoformat(t) for t in touched]
     else:
@@ -81,7 +81,7 @@ def land_raw(df: DataFrame, path: str, device: str, id_col: str = "id", write: b
         return merged
     stage = f"{path}/_staging/{run}"
     merged.write.mode("overwrite").partitionBy("device", "file_date").parquet(stage)
-    (_read_landing(spark, stage).sortWithinPartitions("device", "file_date")
+    (spark.read.schema(merged.schema).parquet(stage).sortWithinPartitions("device", "file_date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("device", "file_date").parquet(path))
     delete_path(spark, stage)

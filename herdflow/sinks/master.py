@@ -60,6 +60,11 @@ def staged_partitions(spark: SparkSession, path: str, col: str = PARTITION_COL)
     """Partition values present under a partitioned folder, from the file listing only
     (no data is read). The null partition is returned as None."""
     values = set()
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not any(st.getPath().getName().startswith(col + "=") for st in fs.listStatus(root)):
+        return []
     for f in spark.read.parquet(path).inputFiles():
         for part in f.split("/"):
             if part.startswith(col + "="):
@@ -98,7 +103,7 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
     if write:
         batch_path = f"{path}/{STAGING_DIR}_in/{run}"
         new_m.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(batch_path)
-        batch = read_table(spark, batch_path)
+        batch = spark.read.schema(new_m.schema).parquet(batch_path)   # known schema: may be empty
         touched = staged_partitions(spark, batch_path)
     else:
         batch = new_m
@@ -118,7 +123,7 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        _write_partitioned(read_table(spark, stage), path, "overwrite")
+        _write_partitioned(spark.read.schema(merged.schema).parquet(stage), path, "overwrite")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     delete_path(spark, stage)

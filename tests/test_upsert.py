@@ -71,3 +71,21 @@ def test_reads_only_touched_months(spark):
     assert "PartitionFilters: [isnotnull(month" in plan and "2024-03" in plan
     assert merged.count() == 2
     assert merged.select(F.countDistinct("month")).first()[0] == 1
+
+
+def test_empty_batch_changes_nothing(spark):
+    path = scratch_path(spark, "t-master")
+    t1 = dt.datetime(2024, 2, 1)
+    upsert_latest(_df(spark, [(dt.date(2024, 1, 5), "1", "A", "07:00", 1.0, t1)]), path)
+    out = upsert_latest(_df(spark, []), path)
+    assert [r["weight_kg"] for r in out.collect()] == [1.0]
+
+
+def test_empty_landing_batch(spark):
+    from herdflow.sinks.landing import land_raw
+    path = scratch_path(spark, "t-landing")
+    raw = spark.createDataFrame([("1", "OP1", "2024-05-02T07:00:00", "x")],
+                                "id string, operationTag string, createdAt string, file string")
+    land_raw(raw, path, "CIMA1")
+    out = land_raw(raw.where("false"), path, "CIMA1")
+    assert out.count() == 1
