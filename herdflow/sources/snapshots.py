@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdflow.functions.text import normalize_id, strip_ws, with_normalized_id
+from herdflow.functions.text import normalize_id, with_normalized_id
 
 MERGE_COLUMNS = ["no", "transp_2", "group_name", "age_days", "dim", "lac_no"]
 
@@ -115,7 +115,3 @@ def asof_join(fact: DataFrame, snaps: DataFrame, key: str, fact_date: str, snap_
               .join(resolved, [key, "_fact_day"], "left"))
     return joined.select(*fact.columns, *[F.col("_asof")[prefix + c].alias(prefix + c) for c in payload])
 
-
-def trimmed_headers(df: DataFrame) -> DataFrame:
-    """Strip whitespace around every string value (header-mapped extracts are all text)."""
-    return df.select(*[strip_ws(c).alias(c) for c in df.columns])

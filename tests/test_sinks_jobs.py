@@ -3,7 +3,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from herdflow.operators.conform import observe_range
 from herdflow.operators.quality import (expect_columns, expect_non_empty, join_rate_gate, preview,
