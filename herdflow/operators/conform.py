@@ -89,6 +89,3 @@ def drop_invalid_tags(df: DataFrame, col: str = "ear_tag") -> DataFrame:
     stripped = df.withColumn(col, strip_ws(col))
     return stripped.withColumn(col, drop_leading_zeros(drop_dot_zero(F.col(col)))).where(is_valid_tag(col))
 
-
-def strip_strings(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: strip_ws(c) for c in cols if c in df.columns})

@@ -7,7 +7,6 @@ is the case in tests and local runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -96,6 +95,3 @@ def delete_path(spark: SparkSession, path: str) -> None:
     if fs.exists(p):
         fs.delete(p, True)
 
-
-def is_local_dir(path: str) -> bool:
-    return os.path.isdir(local_path(path))
