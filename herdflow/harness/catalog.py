@@ -1163,3 +1163,23 @@ def q_land_sessions(spark, d):
     root = scratch_path(spark, "sessions")
     land_sessions(A.session_listing(spark, d), S.flatten_sessions(A.session_docs(spark, d)), root)
     return spark.read.parquet(f"{root}/sessions").select("href", "name", "createdAt", "animalCount", "session_date")
+
+
+@register("weight_histogram", _master_sql("SELECT * FROM wh", ["""r AS (
+  SELECT animal_type, CASE WHEN min(weight_kg) = max(weight_kg) THEN min(weight_kg) - 0.5 ELSE min(weight_kg) END AS lo,
+         CASE WHEN min(weight_kg) = max(weight_kg) THEN max(weight_kg) + 0.5 ELSE max(weight_kg) END AS hi
+  FROM master WHERE animal_type IN ('cow', 'heifer') AND weight_kg IS NOT NULL GROUP BY animal_type),
+c AS (
+  SELECT m.animal_type, CAST(least(floor((m.weight_kg - r.lo) * 20 / (r.hi - r.lo)), 19) AS INTEGER) AS bin,
+         count(*) AS n
+  FROM master m JOIN r ON m.animal_type = r.animal_type
+  WHERE m.weight_kg IS NOT NULL GROUP BY ALL),
+b AS (SELECT animal_type, lo, hi, unnest(range(0, 20)) AS bin FROM r),
+wh AS (
+  SELECT b.animal_type, CAST(b.bin AS INTEGER) AS bin, b.lo + b.bin * (b.hi - b.lo) / 20 AS bin_lo,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n
+  FROM b LEFT JOIN c ON b.animal_type = c.animal_type AND b.bin = c.bin)"""]))
+def q_weight_histogram(spark, d):
+    """Daily-report weight histogram per class (cow / heifer) over the whole master."""
+    m = A.master(spark, d).where(F.col("animal_type").isin("cow", "heifer"))
+    return AG.histogram(m, "weight_kg", 20, by="animal_type")

@@ -52,3 +52,24 @@ def test_daily_counts_update_mode_versioned_sink(spark):
          .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
     got = {(r["day"], r["n"]) for r in read_latest(spark, out, ["day", "k"]).collect()}
     assert got == {(dt.date(2024, 1, 20), 3), (dt.date(2024, 1, 21), 1)}
+
+
+def test_upsert_stream_keeps_latest_and_rerun_is_noop(spark):
+    from herdflow.sinks.master import read_table
+    from herdflow.streaming.streams import upsert_stream
+    root = scratch_path(spark, "t-stream")
+    src, master, ck = f"{root}/in", f"{root}/master", f"{root}/ck"
+    day = dt.datetime(2024, 1, 20, 7)
+    schema = "id long, ts timestamp_ntz, v double"
+
+    def rows(s):
+        return s.select(F.lit("A").alias("device"), F.to_date("ts").alias("date"),
+                        F.date_format("ts", "HH:mm").alias("time"), F.col("id").cast("string").alias("ear_tag"),
+                        F.col("v").alias("weight_kg"))
+    _land(spark, src, [(1, day, 100.0), (2, day, 200.0)])
+    upsert_stream(rows(ingest_stream(spark, src, spark.read.parquet(src).schema)), master, ck).awaitTermination()
+    _land(spark, src, [(1, day, 150.0)])                     # later batch wins for tag 1
+    for _ in range(2):                                        # second run finds nothing new
+        upsert_stream(rows(ingest_stream(spark, src, spark.read.parquet(src).schema)), master, ck).awaitTermination()
+    got = {r["ear_tag"]: r["weight_kg"] for r in read_table(spark, master).collect()}
+    assert got == {"1": 150.0, "2": 200.0}
