@@ -1095,7 +1095,7 @@ def q_blob_run(spark, d):
         raw = bl.where(F.col("device") == dev).drop("device")
         blob_run(spark, landing, dev, herd, A.LOADED_AT, None, raw=raw, mode="land")
         out = blob_run(spark, landing, dev, herd, A.LOADED_AT, master_path, mode="replay")
-    return out.drop("loaded_at", "month")
+    return out.drop("loaded_at", "day")
 
 
 @register("export_csv", _master_sql("SELECT * FROM master"))
@@ -1142,7 +1142,7 @@ WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
 QUALIFY row_number() OVER (PARTITION BY date, ear_tag, device
                            ORDER BY loaded_at DESC, time DESC, weight_kg DESC) = 1"""))
 def q_read_master_window(spark, d):
-    """Two batches upserted, then a date window read from the month-partitioned master."""
+    """Two batches upserted, then a date window read from the day-partitioned master."""
     from herdflow.session import scratch_path
     from herdflow.sinks.master import upsert_latest
     from herdflow.sources.master import read_master

@@ -1,4 +1,4 @@
-"""Master upsert (keep latest per key, month-partitioned), exports, month bundle, run log."""
+"""Master upsert (keep latest per key, day-partitioned), exports, month bundle, run log."""
 
 from __future__ import annotations
 
@@ -13,17 +13,19 @@ from herdflow.operators.dedup import dedup_latest, latest_order
 from herdflow.schemas import DEDUP_KEYS, MASTER_ORDER, RUN_LOG_SCHEMA
 from herdflow.session import delete_path, path_exists
 
-PARTITION_COL = "month"
+# Day partitions: a run rewrites only the days its batch touches (the re-fetch window),
+# and a month report prunes by a range on the same column.
+PARTITION_COL = "day"
 STAGING_DIR = "_staging"
 
 
-def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """Month partition value (``yyyy-MM``); a null date lands in the null partition."""
-    return df.withColumn(PARTITION_COL, F.date_format(F.col(date_col).cast("date"), "yyyy-MM").cast("string"))
+def with_partition(df: DataFrame, date_col: str = "date") -> DataFrame:
+    """Day partition value (``yyyy-MM-dd`` text); a null date lands in the null partition."""
+    return df.withColumn(PARTITION_COL, F.date_format(F.col(date_col).cast("date"), "yyyy-MM-dd").cast("string"))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read the month-partitioned table with the partition column pinned to text (type
+    """Read the day-partitioned table with the partition column pinned to text (type
     inference would make it VOID when only the null partition exists)."""
     df = spark.read.parquet(path)
     if PARTITION_COL in df.columns and not isinstance(df.schema[PARTITION_COL].dataType, T.StringType):
@@ -75,22 +77,23 @@ def staged_partitions(spark: SparkSession, path: str, col: str = PARTITION_COL)
 
 def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
                   order: list[Column] | None = None, write: bool = True) -> DataFrame:
-    """existing ∪ new -> keep the latest row per key -> replace only the touched months.
+    """existing ∪ new -> keep the latest row per key -> replace only the touched days.
 
     * The incoming batch is computed once: it is written to a staging folder next to the
-      table (partitioned by month), and the touched months are read from that folder's
+      table (partitioned by day), and the touched days are read from that folder's
       listing, so the upstream transform never runs twice.
-    * Only the touched month partitions of the table are read (partition pruning) and
-      rewritten (dynamic partition overwrite); other months are never touched.
-    * The key contains `date`, so the dedup never needs rows from other months.
-    * The merged months are staged too before the overwrite (lineage cut: a lost executor
+    * Only the touched day partitions of the table are read (partition pruning) and
+      rewritten (dynamic partition overwrite); other days are never touched — a daily run
+      with a 7-day re-fetch window rewrites about 9 days, not whole months.
+    * The key contains `date`, so the dedup never needs rows from other days.
+    * The merged days are staged too before the overwrite (lineage cut: a lost executor
       recomputes from the stage, not from the table being replaced); a crash between stage
       and overwrite is finished by `recover_staged` on the next run.
-    * ``write=False`` is the dry run: returns the would-be merged months lazily.
+    * ``write=False`` is the dry run: returns the would-be merged days lazily.
     """
     spark = new.sparkSession
     order = order if order is not None else latest_order()
-    new_m = with_month(new)
+    new_m = with_partition(new)
     exists = path_exists(spark, path)
     if not exists:
         merged = dedup_latest(new_m, keys, order)
@@ -108,8 +111,8 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
     else:
         batch = new_m
         touched = [r[0] for r in new_m.select(PARTITION_COL).distinct().collect()]
-    months = [m for m in touched if m is not None]
-    cond = F.col(PARTITION_COL).isin(months) if months else F.lit(False)
+    days = [m for m in touched if m is not None]
+    cond = F.col(PARTITION_COL).isin(days) if days else F.lit(False)
     if None in touched:
         cond = cond | F.col(PARTITION_COL).isNull()
     existing = read_table(spark, path).where(cond)

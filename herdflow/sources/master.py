@@ -13,14 +13,15 @@ from herdflow.schemas import REFETCH_DAYS_BACK, REFETCH_DAYS_FORWARD
 def read_master(spark: SparkSession, path: str, start=None, end=None,
                 weighed_only: bool = False) -> DataFrame:
     """Master scan. ``start``/``end`` bound ``date`` (inclusive) and, through the derived
-    ``month`` partition column, prune whole month directories."""
-    df = spark.read.parquet(path)
+    ``day`` partition column, prune whole day directories."""
+    from herdflow.sinks.master import read_table      # partition column pinned to text
+    df = read_table(spark, path)
     if start is not None:
         s = F.lit(start).cast("date")
-        df = df.where((F.col("date") >= s) & (F.col("month") >= F.date_format(s, "yyyy-MM")))
+        df = df.where((F.col("date") >= s) & (F.col("day") >= F.date_format(s, "yyyy-MM-dd")))
     if end is not None:
         e = F.lit(end).cast("date")
-        df = df.where((F.col("date") <= e) & (F.col("month") <= F.date_format(e, "yyyy-MM")))
+        df = df.where((F.col("date") <= e) & (F.col("day") <= F.date_format(e, "yyyy-MM-dd")))
     if weighed_only:
         df = df.where(F.col("weight_kg").isNotNull())
     return df

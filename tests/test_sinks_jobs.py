@@ -52,7 +52,7 @@ def test_read_master_prunes_months(spark):
     df = read_master(spark, path, "2024-05-01", "2024-05-31", weighed_only=True)
     assert df.count() == 3
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan
 
 
 def test_header_mapping_and_source_precedence(spark):

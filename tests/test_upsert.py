@@ -1,4 +1,4 @@
-"""Keep-latest master upsert (K3, W1, U1) on a month-partitioned table."""
+"""Keep-latest master upsert (K3, W1, U1) on a day-partitioned table."""
 import datetime as dt
 import os
 
@@ -20,13 +20,13 @@ def test_latest_batch_wins_and_other_months_untouched(spark):
     t1, t2 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
     upsert_latest(_df(spark, [(dt.date(2024, 1, 5), "1", "A", "07:00", 400.0, t1),
                               (dt.date(2024, 2, 5), "1", "A", "07:00", 410.0, t1)]), path)
-    jan = [f for f in os.listdir(path.replace("file:", "") + "/month=2024-01") if f.endswith(".parquet")]
+    jan = [f for f in os.listdir(path.replace("file:", "") + "/day=2024-01-05") if f.endswith(".parquet")]
     out = upsert_latest(_df(spark, [(dt.date(2024, 2, 5), "1", "A", "08:00", 420.0, t2),
                                     (dt.date(2024, 2, 6), "2", "A", "08:00", 430.0, t2)]), path)
     got = {(r["date"], r["ear_tag"]): r["weight_kg"] for r in out.collect()}
     assert got == {(dt.date(2024, 1, 5), "1"): 400.0, (dt.date(2024, 2, 5), "1"): 420.0,
                    (dt.date(2024, 2, 6), "2"): 430.0}
-    jan_after = [f for f in os.listdir(path.replace("file:", "") + "/month=2024-01") if f.endswith(".parquet")]
+    jan_after = [f for f in os.listdir(path.replace("file:", "") + "/day=2024-01-05") if f.endswith(".parquet")]
     assert jan == jan_after            # the January partition was not rewritten
     assert not os.path.exists(path.replace("file:", "") + "/_staging") or \
         not os.listdir(path.replace("file:", "") + "/_staging")
@@ -62,15 +62,15 @@ def test_dry_run_writes_nothing(spark):
     assert out.count() == 1 and not os.path.exists(path.replace("file:", ""))
 
 
-def test_reads_only_touched_months(spark):
+def test_reads_only_touched_days(spark):
     path = scratch_path(spark, "t-master")
     t1 = dt.datetime(2024, 2, 1)
     upsert_latest(_df(spark, [(dt.date(2024, m, 5), "1", "A", "07:00", 1.0, t1) for m in (1, 2, 3)]), path)
-    merged = upsert_latest(_df(spark, [(dt.date(2024, 3, 9), "1", "A", "07:00", 1.0, t1)]), path, write=False)
+    merged = upsert_latest(_df(spark, [(dt.date(2024, 3, 5), "2", "A", "07:00", 1.0, t1)]), path, write=False)
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan and "2024-03" in plan
-    assert merged.count() == 2
-    assert merged.select(F.countDistinct("month")).first()[0] == 1
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-03-05" in plan
+    assert merged.count() == 2          # the existing row of that day + the new one, nothing else
+    assert merged.select(F.countDistinct("day")).first()[0] == 1
 
 
 def test_empty_batch_changes_nothing(spark):
