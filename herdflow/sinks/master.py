@@ -40,19 +40,53 @@ def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
      .write.mode(mode).partitionBy(PARTITION_COL).parquet(path))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def swap_partitions(spark: SparkSession, stage: str, path: str, col: str = PARTITION_COL) -> list[str]:
+    """Move every ``col=value`` folder of a complete stage into the table, replacing the
+    table's folder of the same value (delete, then rename). Data is written once (into the
+    stage); the swap is metadata work. Returns the swapped folder names."""
+    jvm, fs = _fs(spark, stage)
+    done = []
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage)):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(col + "=")):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        if fs.exists(target):
+            fs.delete(target, True)
+        if not fs.rename(st.getPath(), target):
+            raise RuntimeError(f"could not move {st.getPath()} to {target}")
+        done.append(name)
+    return done
+
+
+COMMITTED = "_COMMITTED"
+
+
+def mark_committed(spark: SparkSession, stage: str) -> None:
+    """Completion marker of a stage, written after its job has finished (independent of
+    whether the output committer writes ``_SUCCESS``); readers skip ``_`` files."""
+    jvm, fs = _fs(spark, stage)
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{stage}/{COMMITTED}"), True).close()
+
+
 def recover_staged(spark: SparkSession, path: str) -> bool:
-    """Finish an upsert that crashed after staging: re-apply a complete stage."""
+    """Finish an upsert that stopped after staging: a complete stage (marked
+    ``_COMMITTED``) is swapped in (again); an incomplete one is discarded."""
     stage_root = f"{path}/{STAGING_DIR}"
     if not path_exists(spark, stage_root):
         return False
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(stage_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    jvm, fs = _fs(spark, stage_root)
     done = False
-    for st in fs.listStatus(root):
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage_root)):
         stage = st.getPath().toString()
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(stage + "/_SUCCESS")):
-            _write_partitioned(read_table(spark, stage), path, "overwrite")
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{stage}/{COMMITTED}")):
+            swap_partitions(spark, stage, path)
             done = True
         delete_path(spark, stage)
     return done
@@ -83,12 +117,13 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
       table (partitioned by day), and the touched days are read from that folder's
       listing, so the upstream transform never runs twice.
     * Only the touched day partitions of the table are read (partition pruning) and
-      rewritten (dynamic partition overwrite); other days are never touched — a daily run
-      with a 7-day re-fetch window rewrites about 9 days, not whole months.
+      replaced; other days are never touched — a daily run with a 7-day re-fetch window
+      replaces about 9 day folders, not whole months.
     * The key contains `date`, so the dedup never needs rows from other days.
-    * The merged days are staged too before the overwrite (lineage cut: a lost executor
-      recomputes from the stage, not from the table being replaced); a crash between stage
-      and overwrite is finished by `recover_staged` on the next run.
+    * The merged days are written once, into a stage in the table's own layout, and then
+      swapped in folder by folder (delete + rename: no second copy of the data). The table
+      is never read and written by the same job; a run that stops during the swap is
+      finished by `recover_staged` on the next run (the stage stays until the swap is done).
     * ``write=False`` is the dry run: returns the would-be merged days lazily.
     """
     spark = new.sparkSession
@@ -123,12 +158,8 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
         return merged
     stage = f"{path}/{STAGING_DIR}/{run}"
     _write_partitioned(merged, stage, "overwrite")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        _write_partitioned(spark.read.schema(merged.schema).parquet(stage), path, "overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    mark_committed(spark, stage)
+    swap_partitions(spark, stage, path)
     delete_path(spark, stage)
     delete_path(spark, batch_path)
     return read_table(spark, path)

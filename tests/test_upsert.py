@@ -89,3 +89,20 @@ def test_empty_landing_batch(spark):
     land_raw(raw, path, "CIMA1")
     out = land_raw(raw.where("false"), path, "CIMA1")
     assert out.count() == 1
+
+
+def test_interrupted_swap_is_finished_next_run(spark):
+    from herdflow.sinks.master import (_write_partitioned, mark_committed, recover_staged, read_table,
+                                       with_partition)
+    path = scratch_path(spark, "t-master")
+    t1, t2 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
+    upsert_latest(_df(spark, [(dt.date(2024, 1, 5), "1", "A", "07:00", 1.0, t1)]), path)
+    # a completed stage left behind by a run that stopped before swapping it in
+    _write_partitioned(with_partition(_df(spark, [(dt.date(2024, 1, 5), "1", "A", "07:00", 9.0, t2)])),
+                       f"{path}/_staging/crashed", "overwrite")
+    mark_committed(spark, f"{path}/_staging/crashed")
+    _write_partitioned(with_partition(_df(spark, [(dt.date(2024, 1, 5), "1", "A", "07:00", 5.0, t2)])),
+                       f"{path}/_staging/unfinished", "overwrite")       # never marked: discarded
+    assert recover_staged(spark, path)
+    assert [r["weight_kg"] for r in read_table(spark, path).collect()] == [9.0]
+    assert not recover_staged(spark, path)
