@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from herdflow.llm import packing
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
+#: The same vocabulary as a ranks file, and its special string.
+BYTE_BPE_RANKS, BYTE_BPE_SPECIAL = "byte_bpe_50k.tiktoken", {"<|endoftext|>": 50256}
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +21,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(document_pieces(table(spark, sf_dir, "documents")), capacity=2048)
+
+
+def document_pieces(docs: DataFrame) -> DataFrame:
+    """The documents' pieces of at most 2048 ids by the byte-level vocabulary, end id 0."""
+    return packing.pieces(docs, public_tokenizers.path(BYTE_BPE_RANKS), BYTE_BPE_SPECIAL, capacity=2048, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_best_fit_packing": op2_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
