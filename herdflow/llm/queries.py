@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from herdflow.llm import packing
+from herdflow.llm import mixing, packing
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -31,9 +32,20 @@ def document_pieces(docs: DataFrame) -> DataFrame:
     return packing.pieces(docs, public_tokenizers.path(BYTE_BPE_RANKS), BYTE_BPE_SPECIAL, capacity=2048, end_id=0)
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 5, 2, 1 and 150% of all words."""
+    docs = table(spark, sf_dir, "documents")
+    mix = mixing.plan_mix(docs, weights=(5, 2, 1), share=1.5, cap=2.0)
+    if mix is None:
+        return docs.selectExpr("doc_id", "0L size", "0L source_size", "0D target", "0L taken")
+    return mixing.mix_report(mix).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken",
+                                         "copies", "shards")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op9_mix_sources": op9_mix_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {}
