@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import mixing, packing
+from herdflow.llm import line_dedup, mixing, packing
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -32,6 +32,11 @@ def document_pieces(docs: DataFrame) -> DataFrame:
     return packing.pieces(docs, public_tokenizers.path(BYTE_BPE_RANKS), BYTE_BPE_SPECIAL, capacity=2048, end_id=0)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds, dropped from every document."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents")).drop("keep_bitmap")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 5, 2, 1 and 150% of all words."""
     docs = table(spark, sf_dir, "documents")
@@ -45,7 +50,27 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Lines as the contract splits and keys them; white space and letters are ASCII only.
+_LINE_SQL = """
+WITH lines AS (
+  SELECT doc_id, n_lines, pos, parts[pos] AS line,
+         translate(regexp_replace(parts[pos], '^[ \\x09-\\x0D]+|[ \\x09-\\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM (SELECT doc_id, len(parts) AS n_lines, parts, unnest(range(1, len(parts) + 1)) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+), firsts AS (
+  SELECT line_key, min(doc_id) AS first_doc FROM lines WHERE length(line_key) >= 10
+  GROUP BY line_key HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT l.*, coalesce(l.doc_id <> f.first_doc, false) AS dropped FROM lines l LEFT JOIN firsts f USING (line_key)
+)
+SELECT doc_id, CAST(max(n_lines) AS BIGINT) AS n_lines, CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_line_dedup": _LINE_SQL}
