@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import line_dedup, mixing, packing
+from herdflow.llm import line_dedup, mixing, packing, toxicity
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -32,6 +32,12 @@ def document_pieces(docs: DataFrame) -> DataFrame:
     return packing.pieces(docs, public_tokenizers.path(BYTE_BPE_RANKS), BYTE_BPE_SPECIAL, capacity=2048, end_id=0)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds, dropped from every document."""
     return line_dedup.line_report(table(spark, sf_dir, "documents")).drop("keep_bitmap")
@@ -50,6 +56,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
 }
