@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import line_dedup, mixing, packing, toxicity
+from herdflow.llm import line_dedup, mixing, nearest, packing, toxicity
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -53,12 +53,18 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          "copies", "shards")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every vector whose id is divisible by 20."""
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
+    "op10_nearest": op10_nearest,
 }
 
 #: Lines as the contract splits and keys them; white space and letters are ASCII only.
