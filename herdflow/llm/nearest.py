@@ -44,7 +44,7 @@ def matrix(col: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-            degree: int = 32, build_beam: int = 64, beam: int = 128, shard_rows: int = 50_000) -> DataFrame:
+            degree: int = 32, build_beam: int = 64, beam: int = 192, shard_rows: int = 50_000) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each query row, itself excluded."""
     vec = F.col(vec_col).cast("array<double>")
     good = rows.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec"), is_query.alias("query"))
