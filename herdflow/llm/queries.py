@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import line_dedup, mixing, nearest, packing, toxicity
+from herdflow.llm import line_dedup, mixing, near_dup, nearest, packing, toxicity
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -38,6 +38,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over all documents: four-word shingles, similarity of 0.8 or more."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80).drop("cls")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds, dropped from every document."""
     return line_dedup.line_report(table(spark, sf_dir, "documents")).drop("keep_bitmap")
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_toxicity": op4_toxicity,
+    "op6_near_dedup": op6_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_nearest": op10_nearest,
