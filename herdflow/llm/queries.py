@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import line_dedup, mixing, near_dup, nearest, packing, toxicity
+from herdflow.llm import fingerprints, line_dedup, mixing, near_dup, nearest, packing, toxicity
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -32,6 +32,11 @@ def document_pieces(docs: DataFrame) -> DataFrame:
     return packing.pieces(docs, public_tokenizers.path(BYTE_BPE_RANKS), BYTE_BPE_SPECIAL, capacity=2048, end_id=0)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with likenesses."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +71,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op6_near_dedup": op6_near_dedup,
     "op8_line_dedup": op8_line_dedup,
