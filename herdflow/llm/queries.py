@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import fingerprints, line_dedup, mixing, near_dup, nearest, packing, toxicity
+from herdflow.llm import fingerprints, line_dedup, mixing, near_dup, nearest, packing, site_style, toxicity
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -43,6 +43,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return site_style.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over all documents: four-word shingles, similarity of 0.8 or more."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80).drop("cls")
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
+    "op5_main_text": op5_main_text,
     "op6_near_dedup": op6_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
