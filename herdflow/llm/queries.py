@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import fingerprints, line_dedup, mixing, near_dup, nearest, packing, site_style, toxicity
+from herdflow.llm import fingerprints, licenses, line_dedup, mixing, near_dup, nearest, packing, site_style, toxicity
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -53,6 +53,11 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80).drop("cls")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices that the documents hold."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds, dropped from every document."""
     return line_dedup.line_report(table(spark, sf_dir, "documents")).drop("keep_bitmap")
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_main_text": op5_main_text,
     "op6_near_dedup": op6_near_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_nearest": op10_nearest,
@@ -104,4 +110,4 @@ SELECT doc_id, CAST(max(n_lines) AS BIGINT) AS n_lines, CAST(count(*) FILTER (dr
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_line_dedup": _LINE_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_license_scan": licenses.scan_sql(), "op8_line_dedup": _LINE_SQL}
