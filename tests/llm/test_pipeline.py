@@ -1,0 +1,97 @@
+import hashlib
+import sys
+from collections import Counter, defaultdict
+
+import pytest
+
+import corpus_pipeline
+from corpus_pipeline import STAGES, run
+from herdflow.llm import toxicity
+
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
+from test_line_dedup import plain as plain_lines  # noqa: E402
+from test_mixing import WORD, plain_targets  # noqa: E402
+from test_near_dup import brute as plain_groups  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    """Every stage's input and output rows at sf0.01, written and read again as the runs do."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = [docs]
+    for name, stage in STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, out[-1], sf).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return out
+
+
+def rows(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def test_columns_stay_until_the_last(steps):
+    for df in steps[1:-1]:
+        assert df.dtypes == steps[0].dtypes
+        assert df.filter("n_chars <> length(text)").count() == 0
+
+
+def test_toxic_documents_go(spark, steps):
+    docs = steps[0]
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    scorer = toxicity.Scorer(toxicity.fit(docs, labels))
+    assert sorted(rows(steps[1])) == sorted((d, t) for d, t in rows(docs) if scorer(t) < 0.3)
+    bad = {r.doc_id for r in labels.collect() if r.toxic}
+    clean = {r.doc_id for r in labels.collect() if not r.toxic}
+    kept = {d for d, _ in rows(steps[1])}
+    assert len(bad & kept) <= 0.3 * len(bad) and len(clean & kept) >= 0.97 * len(clean)
+
+
+def test_lines(steps):
+    assert sorted(rows(steps[2])) == sorted((d, t) for d, _, _, t in plain_lines(rows(steps[1])))
+
+
+def test_groups_keep_one(steps):
+    docs = rows(steps[2])
+    found = plain_groups(docs, 5)
+    assert sorted(rows(steps[3])) == sorted((d, t) for d, t in docs if found[d][2])
+
+
+def test_mixed_to_targets(steps):
+    docs = steps[3].collect()
+    size = {r.doc_id: len(WORD.findall(r.text or "")) for r in docs}
+    of = {r.doc_id: r.source for r in docs}
+    total, taken = Counter(), Counter()
+    for d, s in of.items():
+        total[s] += size[d]
+    drawn = Counter(r.doc_id for r in steps[4].collect())
+    assert set(drawn) <= set(of) and max(drawn.values()) <= 2
+    for d, n in drawn.items():
+        taken[of[d]] += n * size[d]
+    for s, t in plain_targets(dict(total)).items():
+        assert abs(taken[s] - t) <= max(size[d] for d in of if of[d] == s)
+
+
+def test_packed_whole(steps):
+    pieces = steps[5].collect()
+    per = defaultdict(list)
+    for r in pieces:
+        per[r.sequence_id].append((r.offset, r.length))
+    for p in per.values():
+        at = 0
+        for off, n in sorted(p):
+            assert off == at
+            at += n
+        assert at <= 2048
+    assert Counter(r.doc_id for r in pieces if r.piece == 0) == Counter(r.doc_id for r in steps[4].collect())
+
+
+def test_run_gives_the_same_and_takes_empty_input(spark, steps, tmp_path):
+    got = run(spark, "/root/testdata/sf0.01")
+    key = lambda df: sorted(hashlib.md5(repr((r.doc_id, r.piece, r.start, r.length, r.ids_crc32)).encode()).hexdigest() for r in df.collect())
+    assert key(got) == key(steps[5])
+    steps[0].limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet("/root/testdata/sf0.01/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    assert run(spark, str(tmp_path)).count() == 0
+    assert corpus_pipeline.ORACLE_SQL is None
