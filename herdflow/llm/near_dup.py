@@ -157,10 +157,10 @@ PAIRS = "a long, b long"
 
 
 class Rows:
-    """Complete region blocks of sorted (level, tree, region, block, cls, comp, sketch, side) rows."""
+    """Complete region blocks of sorted (level, tree, region, block, cls, comp, sketch, side[, shingles]) rows."""
 
     def __init__(self, t: pa.Table, keys: np.ndarray, cuts: np.ndarray):
-        self.keys, self.cuts = keys, cuts
+        self.t, self.keys, self.cuts = t, keys, cuts
         self.cls, self.comp, self.side = (t.column(i).to_numpy() for i in (4, 5, 7))
         self.sk = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint16).reshape(-1, SKETCH)
 
@@ -170,6 +170,10 @@ class Rows:
             if hi - lo >= least_rows:
                 yield tuple(self.keys[lo]), slice(lo, hi)
 
+    def sets(self, at: slice) -> list[np.ndarray]:
+        """The shingle sets of a block's rows."""
+        return [np.frombuffer(v.as_buffer(), np.uint64) for v in self.t.column(8).slice(at.start, at.stop - at.start)]
+
     def twos(self) -> np.ndarray:
         """First rows of the blocks of two rows."""
         return self.cuts[:-1][np.diff(self.cuts) == 2]
@@ -224,12 +228,34 @@ def spanning_pairs(rows: DataFrame, least: int) -> DataFrame:
     return rows.mapInArrow(run, PAIRS).distinct()
 
 
-def crossing_pairs(rows: DataFrame, least: int) -> DataFrame:
-    """Second round: pairs of different components that the sketch doesn't rule out."""
+class Joined:
+    """Components that links of one region have joined."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def find(self, c: int) -> int:
+        while c in self.up:
+            c = self.up[c]
+        return c
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+
+
+def crossing_links(rows: DataFrame, least: int, percent: int) -> DataFrame:
+    """Second round: links between different components of a region, confirmed on the whole sets.
+
+    Every pair of different components that the sketch doesn't rule out is confirmed, nearest
+    first, unless links found in the region have joined the two by then.
+    """
     orders = tree_orders()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_ in complete(batches):
+            links: list[tuple[int, int]] = []
             for g, at in rows_.groups(2):
                 cls, comp, sk, side = rows_.cls[at], rows_.comp[at], rows_.sk[at], rows_.side[at]
                 if side.any():                # a block of a wide region: its second side against its first
@@ -241,20 +267,28 @@ def crossing_pairs(rows: DataFrame, least: int) -> DataFrame:
                     main = of == count.argmax()
                     x_all = np.flatnonzero(~main)
                     y_all = np.concatenate([np.flatnonzero(main), x_all])
+                joined = Joined()
+                sets = rows_.sets(at)
                 for i in range(0, len(x_all), 64):
                     x = x_all[i:i + 64]
-                    ok = (matches(sk, x, y_all) >= least) & (comp[x][:, None] != comp[y_all][None, :])
+                    same = matches(sk, x, y_all)
+                    ok = (same >= least) & (comp[x][:, None] != comp[y_all][None, :])
                     if main is not None:      # each pair once
                         ok &= main[y_all][None, :] | (y_all[None, :] > x[:, None])
                     r, c = np.nonzero(ok)
-                    p, q = x[r], y_all[c]
+                    order = np.argsort(-same[r, c], kind="stable")
+                    p, q = x[r[order]], y_all[c[order]]
                     # a pair that an earlier tree of the level brings together is left to that tree
                     new = np.ones(len(p), bool)
                     for t in range(int(g[1])) if main is not None else ():
                         prefix = orders[t][:LEVELS[g[0]][1]]
                         new &= ~(sk[p][:, prefix] == sk[q][:, prefix]).all(axis=1)
-                    if new.any():
-                        yield pairs_table(list(zip(cls[p[new]].tolist(), cls[q[new]].tolist(), strict=True)))
+                    for a, b in zip(p[new].tolist(), q[new].tolist(), strict=True):
+                        if joined.find(int(comp[a])) != joined.find(int(comp[b])) and similar(sets[a], sets[b], percent):
+                            joined.join(int(comp[a]), int(comp[b]))
+                            links.append((int(cls[a]), int(cls[b])))
+            if links:
+                yield pairs_table(links)
 
     return rows.mapInArrow(run, PAIRS).distinct()
 
@@ -262,9 +296,11 @@ def crossing_pairs(rows: DataFrame, least: int) -> DataFrame:
 KEY = ["level", "tree", "region", "block"]
 
 
-def with_sketch(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Region rows (with comp and side) and their sketches, each region block together in one partition."""
+def with_sketch(rows: DataFrame, nodes: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """Region rows (with comp and side) and their sketches and sets, each region block together in one partition."""
     t = rows.join(nodes.select("cls", "sketch"), "cls").select(*KEY, "cls", "comp", "sketch", "side")
+    if sets is not None:
+        t = t.join(sets, "cls").select(*t.columns, "shingles")
     return t.repartition(*KEY).sortWithinPartitions(*KEY)
 
 
@@ -311,7 +347,11 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("__doc"), F.col(text_col).alias("__text"))
-    return wanted.join(texts, F.col("doc") == F.col("__doc")).select("cls", "__text").mapInArrow(run, schema)
+    found = wanted.join(texts, F.col("doc") == F.col("__doc")).select("cls", "__text").mapInArrow(run, schema)
+    found = staged(found, "sets")
+    if found.groupBy("cls").count().filter("count > 1").isEmpty():
+        return found
+    return staged(found.dropDuplicates(["cls"]), "sets")       # rows that stand in the table several times
 
 
 def shared(x: np.ndarray, y: np.ndarray) -> int:
@@ -323,6 +363,14 @@ def shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share `percent` hundredths of their union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = shared(x, y)
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach `percent` hundredths of similarity."""
     one = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
@@ -332,9 +380,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             keep = []
             for x, y in zip(b.column(2), b.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = 0 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) else shared(x, y)
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), percent))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return two.mapInArrow(run, PAIRS).distinct()
@@ -351,14 +397,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     first = staged(spanning_pairs(with_sketch(found.select(*KEY, "cls", F.col("cls").alias("comp"), F.lit(0).alias("side")), nodes), least), "first-pairs")
 
     touched = first.select(F.col("a").alias("cls")).unionAll(first.select("b")).distinct()
-    sets = staged(class_sets(docs, nodes.join(touched, "cls", "left_semi").select("cls", "doc"), k, id_col, text_col), "sets")
+    sets = class_sets(docs, nodes.join(touched, "cls", "left_semi").select("cls", "doc"), k, id_col, text_col)
     links = staged(confirmed(first, sets, percent), "first-links")
     comps = staged(components(links), "components")
 
     # second round, over classes that some region's estimate brought near another one
-    second = crossing_pairs(with_sketch(second_rows(found, touched, comps, region_rows), nodes), least)
-    second = staged(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
-    more = staged(confirmed(second, sets, percent), "second-links")
+    crossing = with_sketch(second_rows(found, touched, comps, region_rows), nodes, sets)
+    more = staged(crossing_links(crossing, least, percent), "second-links")
     comps = staged(components(links.unionAll(more)), "components")
 
     # the smallest id of each component
