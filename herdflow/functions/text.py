@@ -15,8 +15,9 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Whitespace removed by strip: blank, tab, newline, carriage return, form feed, vertical tab.
-WHITESPACE = " \t\n\r\f\x0b"
+# Whitespace removed by strip: the ASCII blanks and separators, and Unicode's blanks.
+WHITESPACE = (" \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+              "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip_ws(c: Column | str) -> Column:
@@ -26,8 +27,8 @@ def strip_ws(c: Column | str) -> Column:
 
 
 def drop_dot_zero(s: Column) -> Column:
-    """Remove one trailing ``.0``."""
-    return F.when(s.endswith(".0"), F.substr(s, F.lit(1), F.length(s) - 2)).otherwise(s)
+    """Remove one trailing ``.0`` (the input is named once, so nested calls stay small)."""
+    return F.regexp_replace(s, r"\.0\z", "")
 
 
 def drop_leading_zeros(s: Column) -> Column:
@@ -57,16 +58,19 @@ def normalize_id(c: Column | str) -> Column:
 def sci_to_digits(s: Column) -> Column:
     """Second half of `normalize_id` on an already stripped, ``.0``-free value."""
     as_int = F.floor(s.try_cast("double").try_cast("decimal(38,6)")).cast("string")
-    sci = F.lower(s).contains("e") & s.rlike(SCI_ID_RE)
-    return drop_leading_zeros(F.when(sci, as_int).otherwise(s))
+    return drop_leading_zeros(F.when(s.rlike(SCI_ID_RE), as_int).otherwise(s))
+
+
+#: Column metadata of a value that `with_normalized_id` has made.
+NORMALIZED = {"normalized_id": True}
 
 
 def with_normalized_id(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """`normalize_id` as two projections (the stripped value is computed once per row)."""
+    """`normalize_id` of a column; the result is marked, and a marked column is taken as it is."""
     out = out or col
-    tmp = f"_{out}_stripped"
-    step = df.withColumn(tmp, drop_dot_zero(strip_ws(col)))
-    return step.withColumn(out, sci_to_digits(F.col(tmp))).drop(tmp)
+    done = col in df.columns and df.schema[col].metadata.get("normalized_id")
+    value = F.col(col) if done else normalize_id(col)
+    return df.withColumn(out, value.alias(out, metadata=NORMALIZED))
 
 
 def null_tokens(c: Column | str, vocab: str = "conform") -> Column:

@@ -35,21 +35,6 @@ SESSION_SIZE = 50                          # events per weigh session document
 PAGE_SIZE = 100                            # records per API page
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _reuse(fn):
-    """Build an analog's plan once per (application, input folder) and hand out the same
-    DataFrame afterwards. Only the lazy plan is shared; every query still executes it."""
-    def wrapper(spark: SparkSession, d: str) -> DataFrame:
-        key = (fn.__name__, spark.sparkContext.applicationId, d)
-        if key not in _PLANS:
-            _PLANS[key] = fn(spark, d)
-        return _PLANS[key]
-    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
-    return wrapper
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{d}/{name}.parquet")
 
@@ -71,7 +56,6 @@ SQL_TAG = ("CASE WHEN event_type = 'click' THEN '000' || CAST(user_id AS VARCHAR
 SQL_DEVICE = "CASE WHEN event_type IN ('click', 'view') THEN 'CIMA1' ELSE 'CIMA2' END"
 
 
-@_reuse
 def weigh_rows(spark: SparkSession, d: str) -> DataFrame:
     """One weigh row per event; 'error' events carry no tag (as a line without ``TR:``)."""
     e = table(spark, d, "events")
@@ -91,7 +75,6 @@ SQL_WEIGH_ROWS = f"""wr AS (
 
 
 # --------------------------------------------------------------------------- blobs
-@_reuse
 def blobs(spark: SparkSession, d: str) -> DataFrame:
     """Landed text blobs: one per (event type, block of 64 event ids), with a header,
     footers, a short line and a blank line; CIMA2 blobs use CRLF line ends; 'signup'
@@ -131,7 +114,6 @@ SQL_OP_TAG = ("CASE WHEN event_type = 'signup' THEN '' "
 
 
 # ----------------------------------------------------------------------------- herd
-@_reuse
 def herd_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Three dated snapshots of the customers as herd rows (transp_2 in mixed formats,
     a null herd number for negative balances, ages shifted by the snapshot offset)."""
@@ -181,7 +163,6 @@ herd AS (
 
 
 # --------------------------------------------------------------------------- master
-@_reuse
 def enriched_rows(spark: SparkSession, d: str) -> DataFrame:
     """Weigh rows with clean tags, enriched with the latest herd snapshot (no conform)."""
     from herdflow.operators.conform import drop_invalid_tags
@@ -190,7 +171,6 @@ def enriched_rows(spark: SparkSession, d: str) -> DataFrame:
                   load_snapshot(herd_snapshots(spark, d)))
 
 
-@_reuse
 def master(spark: SparkSession, d: str) -> DataFrame:
     """Weigh master: tail of the weigh job on the latest snapshot, then keep-latest."""
     rows = transform_tail(weigh_rows(spark, d), load_snapshot(herd_snapshots(spark, d)), LOADED_AT)
@@ -232,7 +212,6 @@ MASTER_CTES = [SQL_WEIGH_ROWS, SQL_HERD, SQL_ENRICHED, SQL_MASTER]
 
 
 # ------------------------------------------------------------------ sessions/listing
-@_reuse
 def session_docs(spark: SparkSession, d: str) -> DataFrame:
     """Weigh-session documents as landed JSON text, parsed back with the document schema.
 
@@ -264,7 +243,6 @@ SQL_SESSION_ID = (f"(event_id // {SESSION_SIZE}) * 10 + CASE event_type WHEN 'cl
                   "WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END")
 
 
-@_reuse
 def session_listing(spark: SparkSession, d: str) -> DataFrame:
     """Orders as an upstream session listing: href ends in the order key (pending orders
     get a non-numeric suffix), animalCount = number of line items."""
@@ -278,7 +256,6 @@ def session_listing(spark: SparkSession, d: str) -> DataFrame:
                     F.coalesce(F.col("animalCount"), F.lit(0)).cast("bigint").alias("animalCount")))
 
 
-@_reuse
 def landed_sessions(spark: SparkSession, d: str) -> DataFrame:
     """Landed session ids: orders having at least one finished line."""
     li = table(spark, d, "lineitem")
@@ -300,7 +277,6 @@ landed AS (SELECT DISTINCT l_orderkey AS session_id FROM lineitem WHERE l_linest
 
 
 # ---------------------------------------------------------------------- legacy master
-@_reuse
 def legacy_master(spark: SparkSession, d: str) -> DataFrame:
     """An older master straight from events: null devices for low readings, mixed
     sources, placeholder strings, legacy classes and negative ages."""

@@ -975,7 +975,7 @@ SELECT date, ear_tag, device, time, weight_kg FROM b
 QUALIFY row_number() OVER (PARTITION BY date, ear_tag, device
                            ORDER BY epoch DESC, time DESC, weight_kg DESC) = 1"""))
 def q_stream_upsert(spark, d):
-    from herdflow.streaming.streams import ingest_stream, upsert_stream
+    from herdflow.streaming.streams import FILE_TIME, ingest_stream, upsert_stream
     root, b1, b2 = _stream_input(spark, d)
     src, master_path, ck = f"{root}/in", f"{root}/master", f"{root}/ck"
     for i, b in enumerate((b1, b2)):
@@ -983,7 +983,7 @@ def q_stream_upsert(spark, d):
         s = ingest_stream(spark, src, b.schema)
         rows = s.select(F.lit("PTM").alias("source"), F.col("event_type").alias("device"),
                         F.to_date("ts").alias("date"), F.date_format("ts", "HH:mm").alias("time"),
-                        F.col("user_id").cast("string").alias("ear_tag"), F.col("value").alias("weight_kg"))
+                        F.col("user_id").cast("string").alias("ear_tag"), F.col("value").alias("weight_kg"), FILE_TIME)
         upsert_stream(rows, master_path, ck).awaitTermination()
     return spark.read.parquet(master_path).select("date", "ear_tag", "device", "time", "weight_kg")
 

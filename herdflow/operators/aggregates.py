@@ -78,12 +78,16 @@ def _widen(mn, mx):
     return lo, hi
 
 
+#: Classes whose ranges are broadcast; more of them are joined.
+MAX_CLASSES = 10_000
+
+
 def histogram(df: DataFrame, col: str, bins: int = 20, by: str | None = None) -> DataFrame:
     """Equal-width histogram between each class's min and max (last bin closed); a single
     value widens the range by 0.5 on each side. Every bin is reported, empty ones with 0.
 
-    With `by`, the per-class range is an aggregate (one row per class) joined back by
-    equality and the bins come from that small table with `explode(sequence)`. Without
+    With `by`, the per-class range is an aggregate (one row per class, the null class
+    included) joined back by null-safe equality and the bins come from that small table with `explode(sequence)`. Without
     `by`, the range is one scalar pair computed first and applied as literals.
     """
     x = F.col(col)
@@ -103,11 +107,14 @@ def histogram(df: DataFrame, col: str, bins: int = 20, by: str | None = None) ->
                         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
     mm = data.groupBy(by).agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
     lo, hi = _widen(F.col("mn"), F.col("mx"))
-    rng = mm.select(by, lo.alias("lo"), hi.alias("hi"))
-    counts = (data.join(rng, by).groupBy(by, _bin_index(x, F.col("lo"), F.col("hi"), bins).alias("bin"))
+    rng = mm.select(F.col(by).alias("_class"), lo.alias("lo"), hi.alias("hi"))
+    # one row per class: sent to the executors when that is few, else an ordinary join
+    few = rng.limit(MAX_CLASSES + 1).count() <= MAX_CLASSES
+    counts = (data.join(F.broadcast(rng) if few else rng, F.col(by).eqNullSafe(F.col("_class")))
+              .groupBy("_class", _bin_index(x, F.col("lo"), F.col("hi"), bins).alias("_bin"))
               .agg(F.count(F.lit(1)).alias("n")))
-    all_bins = rng.select(by, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (all_bins.join(counts, [by, "bin"], "left")
+    all_bins = rng.select(F.col("_class").alias(by), "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (all_bins.join(counts, F.col(by).eqNullSafe(F.col("_class")) & (F.col("bin") == F.col("_bin")), "left")
             .select(by, "bin",
                     (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(bins)).alias("bin_lo"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))

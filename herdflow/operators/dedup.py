@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_order(loaded_at: str = "loaded_at", tiebreak: tuple[str, ...] = ("time", "weight_kg")) -> list[Column]:
+TIEBREAK = ("time", "weight_kg")
+#: Columns that two herd rows of one tag can differ in.
+HERD_TIEBREAK = ("no", "group_name", "lac_no", "age_days", "dim", "animal_type")
+
+
+def latest_order(loaded_at: str = "loaded_at", tiebreak: tuple[str, ...] = TIEBREAK) -> list[Column]:
     """Master order for keep-latest: newest load first, a null load time counts as newest
     (it sorts last in an ascending sort and the last row is kept); ties broken by the
     tiebreak columns descending so the survivor is deterministic."""

@@ -86,7 +86,7 @@ def probe(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         try:
             rows.append((name, p, spark.read.parquet(p).count(), None))
         except Exception as e:  # noqa: BLE001 - a probe reports, it does not raise
-            rows.append((name, p, None, str(e).splitlines()[0][:200]))
+            rows.append((name, p, None, str(e)))
     return spark.createDataFrame(rows, "name string, path string, n_rows bigint, error string")
 
 

@@ -113,5 +113,5 @@ def daily_run(spark: SparkSession, steps: list[tuple[str, Callable[[], object]]]
             fn()
             out.append((name, "completed", round(time.time() - t0, 2), ""))
         except Exception as e:  # noqa: BLE001 - one job failing must not stop the run
-            out.append((name, "failed", round(time.time() - t0, 2), str(e).splitlines()[0][:300]))
+            out.append((name, "failed", round(time.time() - t0, 2), str(e) or type(e).__name__))
     return spark.createDataFrame(out, "job string, status string, seconds double, msg string")

@@ -1,12 +1,13 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` (or the context's
-checkpoint directory) names; a local folder is only created when neither is set, which
-is the case in tests and local runs.
+checkpoint directory) names. A local folder is only created for a local master; any other
+session without the setting is refused, since executors could not see such a folder.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,16 +46,19 @@ def build_session(master: str = "local[*]", app: str = "herdflow",
 
 
 def apply_job_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings operators rely on (safe on an existing session)."""
+    """Set the runtime SQL settings operators rely on; a setting that the session was
+    created with stays as it is."""
+    given = spark.sparkContext.getConf()
     for k, v in DEFAULT_CONF.items():
-        spark.conf.set(k, v)
+        if not given.contains(k):
+            spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch folder (checkpoint directory).
 
-    Read from the session; only when nothing is configured (tests, local runs) a
-    local folder is created and registered as the checkpoint directory.
+    Read from the session. Where nothing is configured, a local master (tests, local
+    runs) gets a temporary folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -62,6 +66,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="herdflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

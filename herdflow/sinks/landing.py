@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from herdflow.functions.text import safe_name
 from herdflow.operators.dedup import dedup_latest
-from herdflow.session import delete_path, path_exists
-from herdflow.sinks.master import staged_partitions
+from herdflow.session import delete_path
+from herdflow.sinks.master import STAGING_DIR, _fs, has_data, mark_committed, recover_staged, swap_partitions, writing
 
 
 def landing_buckets(df: DataFrame, op_col: str = "operationTag", created_col: str = "createdAt") -> DataFrame:
@@ -28,77 +28,120 @@ def landing_buckets(df: DataFrame, op_col: str = "operationTag", created_col: st
             .withColumn("file_date", F.try_to_date(F.substring(F.col(created_col), 1, 10), "yyyy-MM-dd")))
 
 
-def _read_landing(spark, path: str) -> DataFrame:
-    """Landed table with `file_date` pinned to date (inference would make it VOID when only
-    the null partition exists)."""
-    df = spark.read.parquet(path)
-    if "file_date" in df.columns and not isinstance(df.schema["file_date"].dataType, T.DateType):
-        schema = T.StructType([T.StructField("file_date", T.DateType()) if f.name == "file_date" else f
-                               for f in df.schema.fields])
-        df = spark.read.schema(schema).parquet(path)
-    return df
+def _pinned(spark: SparkSession, path: str, **kinds: T.DataType) -> DataFrame:
+    """Landed table with its partition columns pinned to their types (inference would make
+    one VOID when only the null partition exists)."""
+    df = spark.read.option("mergeSchema", "true").parquet(path)
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in df.schema.fields])
+    return df if schema == df.schema else spark.read.schema(schema).parquet(path)
+
+
+def replace_by_id(new: DataFrame, path: str, col: str, kind: T.DataType, ids: list[str], write: bool = True) -> DataFrame:
+    """Put `new` into a table partitioned by `col`, replacing every landed row that shares its
+    `ids` (null-safe), whichever partition it is in. Landing the same rows again changes nothing.
+
+    The batch is staged once. Partitions that hold its rows, or rows it replaces, are merged
+    into a marked stage and swapped in; the next run finishes a swap that stopped. One run
+    writes at a time. ``write=False`` returns the would-be partitions and changes nothing.
+    """
+    spark = new.sparkSession
+
+    def merged(batch: DataFrame, touched: list) -> DataFrame:
+        if not has_data(spark, path, col):
+            return batch
+        cond = F.col(col).isin([t for t in touched if t is not None])
+        cond = cond | F.col(col).isNull() if None in touched else cond
+        old = _pinned(spark, path, **{col: kind}).where(cond)
+        return _without(old, batch, ids).unionByName(batch, allowMissingColumns=True)
+
+    def touched_by(batch: DataFrame) -> list:
+        days = batch.select(F.col(col).cast("string").alias("v"))
+        if has_data(spark, path, col):
+            old = _pinned(spark, path, **{col: kind})
+            days = days.unionAll(old.join(batch.select(*[F.col(c).alias("_n_" + c) for c in ids]),
+                                          _same(ids), "left_semi").select(F.col(col).cast("string").alias("v")))
+        return [r["v"] for r in days.distinct().collect()]       # one row per partition
+
+    if not write:
+        return merged(new, touched_by(new))
+    jvm, fs = _fs(spark, path)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
+    with writing(spark, path):
+        delete_path(spark, f"{path}/_staging_in")
+        recover_staged(spark, path, col)
+        run = uuid.uuid4().hex[:12]
+        batch_path, stage = f"{path}/_staging_in/{run}", f"{path}/{STAGING_DIR}/{run}"
+        new.write.parquet(batch_path)
+        batch = spark.read.schema(new.schema).parquet(batch_path)
+        touched = touched_by(batch)
+        if touched:
+            merged(batch, touched).hint("rebalance", col).sortWithinPartitions(col).write.partitionBy(col).parquet(stage)
+            for v in touched:                  # a partition without rows left is replaced by an empty folder
+                name = "__HIVE_DEFAULT_PARTITION__" if v is None else v
+                fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{stage}/{col}={name}"))
+            mark_committed(spark, stage)
+            swap_partitions(spark, stage, path, col)
+            delete_path(spark, stage)
+        delete_path(spark, f"{path}/_staging_in")
+    return _pinned(spark, path, **{col: kind}) if has_data(spark, path, col) else new.limit(0)
+
+
+def _same(ids: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_n_" + c)) for c in ids])
+
+
+def _without(old: DataFrame, batch: DataFrame, ids: list[str]) -> DataFrame:
+    return old.join(batch.select(*[F.col(c).alias("_n_" + c) for c in ids]), _same(ids), "left_anti")
 
 
 def land_raw(df: DataFrame, path: str, device: str, id_col: str = "id", write: bool = True) -> DataFrame:
-    """Land one device's raw records partitioned by (device, file_date).
+    """Land one device's raw records under ``device=<device>/file_date=<day>``.
 
-    existing ∪ new of the touched partitions, keep the last row per (bucket, id) — new
-    rows win — then dynamic partition overwrite. Ids are compared as text. As in the
-    master upsert, the incoming batch is staged once (computed once, touched dates read
-    from the staged folder listing) and the merged partitions are staged before they
-    replace the landed ones, so the table is never read and rewritten by the same job.
+    One row per (bucket, id): a record that is sent again replaces the landed one, also when
+    its day has changed; of equal ids in one batch the one created last stays. Ids are
+    compared as text.
     """
     spark = df.sparkSession
-    new = (landing_buckets(df.withColumn(id_col, F.col(id_col).cast("string")))
-           .withColumn("device", F.lit(device)).withColumn("_seq", F.lit(1)))
-    keys = ["device", "file_date", "bucket", id_col]
-    if not path_exists(spark, path):
-        merged = dedup_latest(new, keys, [F.col("_seq").desc()]).drop("_seq")
-        if not write:
-            return merged
-        (merged.sortWithinPartitions("device", "file_date")
-         .write.mode("overwrite").partitionBy("device", "file_date").parquet(path))
-        return _read_landing(spark, path)
-    run = uuid.uuid4().hex[:12]
-    if write:
-        batch_path = f"{path}/_staging_in/{run}"
-        new.write.mode("overwrite").partitionBy("file_date").parquet(batch_path)
-        batch = spark.read.schema(new.schema).parquet(batch_path)     # known schema: may be empty
-        touched = staged_partitions(spark, batch_path, "file_date")
-        touched = [None if t is None else dt.date.fromisoformat(t) for t in touched]
+    new = landing_buckets(df.withColumn(id_col, F.col(id_col).cast("string")))
+    rest = sorted(c for c in df.columns if c != "createdAt" and df.schema[c].dataType.simpleString() in ("string", "bigint", "int"))
+    new = dedup_latest(new, ["bucket", id_col], [F.col("createdAt").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in rest]])
+    out = replace_by_id(new, f"{path}/device={device}", "file_date", T.DateType(), ["bucket", id_col], write)
+    if write and has_data(spark, f"{path}/device={device}", "file_date"):
+        return _pinned(spark, path, file_date=T.DateType())
+    return out.withColumn("device", F.lit(device))
+
+
+def landing_outcomes(df: DataFrame, path: str, device: str, id_col: str = "id") -> DataFrame:
+    """What landing `df` would do, per bucket: n_rows received, n_new ids, n_landed ids that are
+    there already, and the outcome (``written``: a new bucket, ``appended``: new ids for a
+    landed bucket, ``skipped``: nothing new). Call it before `land_raw`."""
+    spark = df.sparkSession
+    new = landing_buckets(df.withColumn(id_col, F.col(id_col).cast("string")))
+    got = new.groupBy("bucket", id_col).agg(F.count(F.lit(1)).alias("n"))
+    sub = f"{path}/device={device}"
+    if has_data(spark, sub, "file_date"):
+        old = _pinned(spark, sub, file_date=T.DateType()).select("bucket", id_col).distinct()
     else:
-        batch = new
-        touched = [r[0] for r in new.select("file_date").distinct().collect()]
-    dates = [d for d in touched if d is not None]
-    cond = F.col("file_date").isin(dates) if dates else F.lit(False)
-    if None in touched:
-        cond = cond | F.col("file_date").isNull()
-    old = (_read_landing(spark, path).where((F.col("device") == device) & cond)
-           .withColumn("_seq", F.lit(0)))
-    merged = dedup_latest(old.unionByName(batch, allowMissingColumns=True), keys,
-                          [F.col("_seq").desc()]).drop("_seq")
-    if not write:
-        return merged
-    stage = f"{path}/_staging/{run}"
-    merged.write.mode("overwrite").partitionBy("device", "file_date").parquet(stage)
-    (spark.read.schema(merged.schema).parquet(stage).sortWithinPartitions("device", "file_date")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("device", "file_date").parquet(path))
-    delete_path(spark, stage)
-    delete_path(spark, batch_path)
-    return _read_landing(spark, path)
-
-
-def land_sessions(sessions: DataFrame, animals: DataFrame, path: str) -> None:
-    """Append new sessions: the listing (including empty sessions, so they are not fetched
-    again) and their animal rows. Both are partitioned by session *month* (the day stays a
-    column): a daily partition of a small listing would only produce many tiny folders.
-    Rows are sorted by partition inside each task, so a task writes one file per month."""
-    (sessions.withColumn("session_date", F.substring("createdAt", 1, 10))
-     .withColumn("session_month", F.substring("createdAt", 1, 7))
-     .sortWithinPartitions("session_month")
-     .write.mode("append").partitionBy("session_month").parquet(f"{path}/sessions"))
-    (animals.withColumn("session_date", F.col("date"))
-     .withColumn("session_month", F.substring(F.col("date").cast("string"), 1, 7))
-     .sortWithinPartitions("session_month")
-     .write.mode("append").partitionBy("session_month").parquet(f"{path}/animals"))
+        old = got.select("bucket", id_col).limit(0)
+    ids = old.withColumnsRenamed({"bucket": "_n_bucket", id_col: "_n_" + id_col}).withColumn("_there", F.lit(True))
+    known = old.select(F.col("bucket").alias("_b")).distinct().withColumn("_old", F.lit(True))
+    j = got.join(ids, _same(["bucket", id_col]), "left").join(known, F.col("bucket") == F.col("_b"), "left")
+    out = j.groupBy("bucket").agg(F.sum("n").alias("n_rows"), F.count_if(F.col("_there").isNull()).alias("n_new"),
+                                  F.count_if(F.col("_there").isNotNull()).alias("n_landed"), F.max("_old").alias("_old"))
+    outcome = (F.when(F.col("_old").isNull(), F.lit("written")).when(F.col("n_new") > 0, F.lit("appended")).otherwise(F.lit("skipped")))
+    return out.select("bucket", "n_rows", "n_new", "n_landed", outcome.alias("outcome"))
+
+
+def land_sessions(sessions: DataFrame, animals: DataFrame, path: str, write: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Land the session listing (including empty sessions, so they are not fetched again) and
+    the sessions' animal rows; returns both tables. A session that is landed again replaces its
+    own rows. Both are partitioned by session *month* (the day stays a column): a daily
+    partition of a small listing would only produce many tiny folders. Animals go first, so a
+    run that stops between the two fetches the sessions again. ``write=False`` changes nothing."""
+    a = (animals.withColumn("session_date", F.col("date"))
+         .withColumn("session_month", F.substring(F.col("date").cast("string"), 1, 7)))
+    s = (sessions.withColumn("session_date", F.substring("createdAt", 1, 10))
+         .withColumn("session_month", F.substring("createdAt", 1, 7)))
+    kind = T.StringType()
+    landed = replace_by_id(a, f"{path}/animals", "session_month", kind, ["session_id"], write)
+    return replace_by_id(s, f"{path}/sessions", "session_month", kind, ["href"], write), landed

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import time
 import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from herdflow.operators.dedup import dedup_latest, latest_order
+from herdflow.operators.dedup import HERD_TIEBREAK, TIEBREAK, dedup_latest, latest_order
 from herdflow.schemas import DEDUP_KEYS, MASTER_ORDER, RUN_LOG_SCHEMA
 from herdflow.session import delete_path, path_exists
 
@@ -27,7 +31,7 @@ def with_partition(df: DataFrame, date_col: str = "date") -> DataFrame:
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read the day-partitioned table with the partition column pinned to text (type
     inference would make it VOID when only the null partition exists)."""
-    df = spark.read.parquet(path)
+    df = spark.read.option("mergeSchema", "true").parquet(path)      # days may differ in columns
     if PARTITION_COL in df.columns and not isinstance(df.schema[PARTITION_COL].dataType, T.StringType):
         schema = T.StructType([T.StructField(PARTITION_COL, T.StringType()) if f.name == PARTITION_COL else f
                                for f in df.schema.fields])
@@ -35,9 +39,45 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
-    (df.sortWithinPartitions(PARTITION_COL, *MASTER_ORDER)
-     .write.mode(mode).partitionBy(PARTITION_COL).parquet(path))
+def _write_partitioned(df: DataFrame, path: str) -> None:
+    """One task writes few days and a day comes from few tasks: rows are rebalanced by day
+    (a large day is split by size, small ones share a task) and sorted before the write."""
+    order = [c for c in MASTER_ORDER if c in df.columns]
+    (df.hint("rebalance", PARTITION_COL).sortWithinPartitions(PARTITION_COL, *order)
+     .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path))
+
+
+def has_data(spark: SparkSession, path: str, col: str = PARTITION_COL) -> bool:
+    """Whether the folder holds partitions of the table (an empty folder, or one with
+    markers or stages only, counts as no table)."""
+    if not path_exists(spark, path):
+        return False
+    jvm, fs = _fs(spark, path)
+    return any(st.isDirectory() and st.getPath().getName().startswith(col + "=")
+               for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)))
+
+
+LOCK = "_LOCK"
+LOCK_SECONDS = 6 * 3600
+
+
+@contextlib.contextmanager
+def writing(spark: SparkSession, path: str) -> Iterator[None]:
+    """One writer at a time: an exclusively created lock file in the table's folder.
+
+    A second writer gets an error and has changed nothing. The lock of a run that died is
+    taken over after `LOCK_SECONDS`.
+    """
+    jvm, fs = _fs(spark, path)
+    lock = jvm.org.apache.hadoop.fs.Path(f"{path}/{LOCK}")
+    if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > LOCK_SECONDS:
+        fs.delete(lock, False)
+    if not fs.createNewFile(lock):
+        raise RuntimeError(f"another run is writing to {path}")
+    try:
+        yield
+    finally:
+        fs.delete(lock, False)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -51,18 +91,19 @@ def swap_partitions(spark: SparkSession, stage: str, path: str, col: str = PARTI
     table's folder of the same value (delete, then rename). Data is written once (into the
     stage); the swap is metadata work. Returns the swapped folder names."""
     jvm, fs = _fs(spark, stage)
-    done = []
-    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage)):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith(col + "=")):
-            continue
-        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    folders = [st.getPath() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage))
+               if st.isDirectory() and st.getPath().getName().startswith(col + "=")]
+
+    def move(source) -> str:
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{source.getName()}")
         if fs.exists(target):
             fs.delete(target, True)
-        if not fs.rename(st.getPath(), target):
-            raise RuntimeError(f"could not move {st.getPath()} to {target}")
-        done.append(name)
-    return done
+        if not fs.rename(source, target):
+            raise RuntimeError(f"could not move {source} to {target}")
+        return source.getName()
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(move, folders))
 
 
 COMMITTED = "_COMMITTED"
@@ -75,7 +116,7 @@ def mark_committed(spark: SparkSession, stage: str) -> None:
     fs.create(jvm.org.apache.hadoop.fs.Path(f"{stage}/{COMMITTED}"), True).close()
 
 
-def recover_staged(spark: SparkSession, path: str) -> bool:
+def recover_staged(spark: SparkSession, path: str, col: str = PARTITION_COL) -> bool:
     """Finish an upsert that stopped after staging: a complete stage (marked
     ``_COMMITTED``) is swapped in (again); an incomplete one is discarded."""
     stage_root = f"{path}/{STAGING_DIR}"
@@ -86,31 +127,33 @@ def recover_staged(spark: SparkSession, path: str) -> bool:
     for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage_root)):
         stage = st.getPath().toString()
         if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{stage}/{COMMITTED}")):
-            swap_partitions(spark, stage, path)
+            swap_partitions(spark, stage, path, col)
             done = True
         delete_path(spark, stage)
     return done
 
 
 def staged_partitions(spark: SparkSession, path: str, col: str = PARTITION_COL) -> list:
-    """Partition values present under a partitioned folder, from the file listing only
+    """Partition values present under a partitioned folder, from one listing of its root
     (no data is read). The null partition is returned as None."""
-    values = set()
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not any(st.getPath().getName().startswith(col + "=") for st in fs.listStatus(root)):
-        return []
-    for f in spark.read.parquet(path).inputFiles():
-        for part in f.split("/"):
-            if part.startswith(col + "="):
-                v = part[len(col) + 1:]
-                values.add(None if v == "__HIVE_DEFAULT_PARTITION__" else v)
-    return sorted(values, key=lambda v: (v is None, v))
+    jvm, fs = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)) if st.isDirectory()]
+    values = {n[len(col) + 1:] for n in names if n.startswith(col + "=")}
+    return sorted((None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values), key=lambda v: (v is None, v))
+
+
+def master_order(df: DataFrame) -> list[Column]:
+    """Newest load first; ties are settled by all columns that rows of one key can differ in
+    (two herd rows of one tag, for instance), so the survivor doesn't depend on row order."""
+    if "loaded_at" not in df.columns:
+        df = df.withColumn("loaded_at", F.lit(None))
+    rest = [c for c in HERD_TIEBREAK if c in df.columns]
+    more = sorted(c for c in df.columns if c not in (*DEDUP_KEYS, *TIEBREAK, *rest, "loaded_at", PARTITION_COL))
+    return latest_order(tiebreak=tuple(c for c in (*TIEBREAK, *rest, *more) if c in df.columns))
 
 
 def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
-                  order: list[Column] | None = None, write: bool = True) -> DataFrame:
+                  order: list[Column] | None = None, write: bool = True, date_col: str = "date") -> DataFrame:
     """existing ∪ new -> keep the latest row per key -> replace only the touched days.
 
     * The incoming batch is computed once: it is written to a staging folder next to the
@@ -119,65 +162,76 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
     * Only the touched day partitions of the table are read (partition pruning) and
       replaced; other days are never touched — a daily run with a 7-day re-fetch window
       replaces about 9 day folders, not whole months.
-    * The key contains `date`, so the dedup never needs rows from other days.
+    * `keys` must contain the date: only then does the dedup need no rows of other days.
+    * Columns of either side stay; rows without them get nulls.
     * The merged days are written once, into a stage in the table's own layout, and then
-      swapped in folder by folder (delete + rename: no second copy of the data). The table
-      is never read and written by the same job; a run that stops during the swap is
-      finished by `recover_staged` on the next run (the stage stays until the swap is done).
-    * ``write=False`` is the dry run: returns the would-be merged days lazily.
+      swapped in folder by folder (delete + rename: no second copy of the data). A first
+      load goes the same way. The table is never read and written by the same job; a run
+      that stops during the swap is finished by `recover_staged` on the next run (the stage
+      stays until the swap is done).
+    * One run writes at a time (`writing`).
+    * ``write=False`` is the dry run: returns the would-be merged days lazily and changes
+      nothing, stages of stopped runs included.
     """
+    if date_col not in keys:
+        raise ValueError(f"the keys must contain {date_col!r}: days are replaced one by one")
     spark = new.sparkSession
-    order = order if order is not None else latest_order()
-    new_m = with_partition(new)
-    exists = path_exists(spark, path)
-    if not exists:
-        merged = dedup_latest(new_m, keys, order)
-        if not write:
-            return merged
-        _write_partitioned(merged, path, "overwrite")
-        return read_table(spark, path)
-    recover_staged(spark, path)
-    run = uuid.uuid4().hex[:12]
-    if write:
+    new_m = with_partition(new, date_col)
+    if not write:
+        touched = [r[0] for r in new_m.select(PARTITION_COL).distinct().collect()] if has_data(spark, path) else []
+        return _merged(spark, path, new_m, touched, keys, order)
+    jvm, fs = _fs(spark, path)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
+    with writing(spark, path):
+        delete_path(spark, f"{path}/{STAGING_DIR}_in")          # batches of stopped runs
+        recover_staged(spark, path)
+        run = uuid.uuid4().hex[:12]
         batch_path = f"{path}/{STAGING_DIR}_in/{run}"
-        new_m.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(batch_path)
+        new_m.hint("rebalance", PARTITION_COL).write.partitionBy(PARTITION_COL).parquet(batch_path)
         batch = spark.read.schema(new_m.schema).parquet(batch_path)   # known schema: may be empty
         touched = staged_partitions(spark, batch_path)
-    else:
-        batch = new_m
-        touched = [r[0] for r in new_m.select(PARTITION_COL).distinct().collect()]
-    days = [m for m in touched if m is not None]
-    cond = F.col(PARTITION_COL).isin(days) if days else F.lit(False)
-    if None in touched:
-        cond = cond | F.col(PARTITION_COL).isNull()
-    existing = read_table(spark, path).where(cond)
-    combined = existing.unionByName(batch.select(*[c for c in existing.columns if c in batch.columns]),
-                                    allowMissingColumns=True)
-    merged = dedup_latest(combined, keys, order)
-    if not write:
-        return merged
-    stage = f"{path}/{STAGING_DIR}/{run}"
-    _write_partitioned(merged, stage, "overwrite")
-    mark_committed(spark, stage)
-    swap_partitions(spark, stage, path)
-    delete_path(spark, stage)
-    delete_path(spark, batch_path)
-    return read_table(spark, path)
-
-
-def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """CSV export with header; the commit protocol makes it all-or-nothing."""
+        if touched:
+            stage = f"{path}/{STAGING_DIR}/{run}"
+            _write_partitioned(_merged(spark, path, batch, touched, keys, order), stage)
+            mark_committed(spark, stage)
+            swap_partitions(spark, stage, path)
+            delete_path(spark, stage)
+        delete_path(spark, f"{path}/{STAGING_DIR}_in")
+    return read_table(spark, path) if has_data(spark, path) else new_m.limit(0)
+
+
+def _merged(spark: SparkSession, path: str, batch: DataFrame, touched: list, keys: list[str],
+            order: list[Column] | None) -> DataFrame:
+    """The touched days with the batch merged in."""
+    combined = batch
+    if has_data(spark, path):
+        cond = F.col(PARTITION_COL).isin([m for m in touched if m is not None])
+        if None in touched:
+            cond = cond | F.col(PARTITION_COL).isNull()
+        existing = read_table(spark, path).where(cond)
+        combined = existing.unionByName(batch, allowMissingColumns=True)
+    order = order if order is not None else master_order(combined)
+    if "loaded_at" in combined.columns:
+        return dedup_latest(combined, keys, order)
+    return dedup_latest(combined.withColumn("loaded_at", F.lit(None)), keys, order).drop("loaded_at")
+
+
+def export_csv(df: DataFrame, path: str, order: list[str] | None = None, write: bool = True) -> DataFrame:
+    """CSV export with header; the commit protocol makes it all-or-nothing. Returns the rows
+    in their order; ``write=False`` writes nothing."""
     out = df.orderBy(*order) if order else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    if write:
+        out.write.mode("overwrite").option("header", True).csv(path)
+    return out
 
 
-def write_month_bundle(frames: dict[str, DataFrame], path: str, month: str) -> str:
+def write_month_bundle(frames: dict[str, DataFrame], path: str, month: str, write: bool = True) -> str:
     """Write each named frame to ``path/month=YYYYMM/<name>`` (same month overwrites).
 
     Returns the name of the import file: ``clean_re_outlier`` unless it is empty, then
-    ``clean_csv``.
+    ``clean_csv``. ``write=False`` writes nothing.
     """
-    for name, df in frames.items():
+    for name, df in frames.items() if write else ():
         df.write.mode("overwrite").parquet(f"{path}/month={month}/{name}")
     clean = frames.get("clean_re_outlier")
     return "clean_re_outlier" if clean is not None and not clean.isEmpty() else "clean_csv"

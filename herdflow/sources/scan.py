@@ -1,45 +1,10 @@
-"""Scan helpers."""
+"""Scan helper."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# (application id, path) -> (input splits, input bytes); the input tables are immutable.
-_INPUT: dict[tuple[str, str], tuple[int, int]] = {}
 
-
-def spread(df: DataFrame, min_partitions: int | None = None, splits: int | None = None,
-           size_bytes: int | None = None) -> DataFrame:
-    """Give a scan at least `min_partitions` partitions (default: the default parallelism).
-
-    A large input already has many file splits and is returned unchanged; a small lookup
-    table (below ``herdflow.scan.spreadMinBytes``, default 1 MB) is left alone as well.
-    Only an input big enough to matter but stored as one or two splits (a single file with
-    one row group) is redistributed, so its row-level work is not done by one task.
-    """
-    spark = df.sparkSession
-    if spark.conf.get("herdflow.scan.spread", "true") != "true":
-        return df
-    if size_bytes is not None and size_bytes < int(spark.conf.get("herdflow.scan.spreadMinBytes", str(1 << 20))):
-        return df
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    n = splits if splits is not None else df.rdd.getNumPartitions()
-    return df if n >= target else df.repartition(target)
-
-
-def _input_size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """Parquet scan, spread over the cluster when the input is tiny in splits but not in
-    size (split count and size looked up once per table)."""
-    df = spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _INPUT:
-        _INPUT[key] = (df.rdd.getNumPartitions(), _input_size(spark, path))
-    splits, size = _INPUT[key]
-    return spread(df, min_partitions, splits, size)
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan as Spark splits it (``spark.sql.files.maxPartitionBytes``)."""
+    return spark.read.parquet(path)

@@ -100,7 +100,7 @@ def asof_join(fact: DataFrame, snaps: DataFrame, key: str, fact_date: str, snap_
     """
     s = snaps.select(F.col(key).alias("_k"), F.col(snap_date).cast("date").alias("_d"),
                      F.struct(*[F.col(c).alias(prefix + c) for c in payload]).alias("_p"),
-                     F.lit(0).alias("_side"))
+                     F.lit(0).alias("_side")).where(F.col("_k").isNotNull() & F.col("_d").isNotNull())
     need = (fact.select(F.col(key).alias("_k"), F.col(fact_date).cast("date").alias("_d"))
             .where(F.col("_k").isNotNull() & F.col("_d").isNotNull()).distinct()
             .select("_k", "_d", F.lit(None).cast(s.schema["_p"].dataType).alias("_p"),

@@ -12,13 +12,17 @@ from herdflow.operators.dedup import dedup_latest
 from herdflow.sinks.master import upsert_latest
 
 
+FILE_TIME = "_file_time"
+
+
 def ingest_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Each landed file is read exactly once (the file source remembers it in the checkpoint)."""
+    """Each landed file is read exactly once (the file source remembers it in the checkpoint).
+    `FILE_TIME` is the time the row's file was written."""
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    return r.load(path).withColumn(FILE_TIME, F.col("_metadata.file_modification_time"))
 
 
 def event_time(df: DataFrame, ts_col: str) -> DataFrame:
@@ -58,16 +62,20 @@ def read_latest(spark, path: str, keys: list[str]) -> DataFrame:
 
 
 def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: list[str] | None = None,
-                  loaded_at_from_batch: bool = True) -> StreamingQuery:
+                  file_time: str = FILE_TIME) -> StreamingQuery:
     """Streaming master upsert: every micro-batch goes through `upsert_latest`.
 
-    ``loaded_at`` is derived from the batch id (not the clock), so a replayed batch
-    produces the same rows and the sink stays idempotent.
+    ``loaded_at`` is the time the row's file was written (`file_time`, where the stream
+    carries it), so a replayed batch gives the same rows, a new checkpoint doesn't start
+    again from an old time, and rows of a later file win over rows that a batch job loaded
+    before. A null file time leaves the row's own ``loaded_at``.
     """
     def _batch(batch: DataFrame, epoch: int) -> None:
         b = batch
-        if loaded_at_from_batch:
-            b = b.withColumn("loaded_at", F.timestamp_seconds(F.lit(epoch).cast("bigint")))
+        if file_time in b.columns:
+            own = F.col("loaded_at") if "loaded_at" in b.columns else F.lit(None)
+            kind = b.schema["loaded_at"].dataType if "loaded_at" in b.columns else T.TimestampType()
+            b = b.withColumn("loaded_at", F.coalesce(F.col(file_time).cast(kind), own)).drop(file_time)
         if keys is None:
             upsert_latest(b, path)
         else:

@@ -1,4 +1,4 @@
-"""Animal class truth table (C9), modelled on the original classifier tests."""
+"""Animal class truth table."""
 import math
 
 import pytest

@@ -14,19 +14,19 @@ def _norm(spark, values):
 
 
 def test_leading_zeros(spark):
-    assert _clean(spark, ["0064001234"]) == ["64001234"]
+    assert _clean(spark, ["000370550"]) == ["370550"]
 
 
 def test_dot_zero(spark):
-    assert _clean(spark, ["607300.0"]) == ["607300"]
+    assert _clean(spark, ["81200.0", "5.00"]) == ["81200", "5.00"]
 
 
 def test_whitespace_and_tabs(spark):
-    assert _clean(spark, ["  64001234  ", "\t64001234\n"]) == ["64001234", "64001234"]
+    assert _clean(spark, [" 77 ", "\t78\n", "\u00a079\u00a0"]) == ["77", "78", "79"]
 
 
 def test_long_tag_unchanged(spark):
-    assert _clean(spark, ["64001234567890"]) == ["64001234567890"]
+    assert _clean(spark, ["415000000123456"]) == ["415000000123456"]
 
 
 def test_zero_becomes_empty(spark):
@@ -40,9 +40,9 @@ def test_invalid_rows_dropped(spark):
     assert out == ["123"]
 
 
-def test_normalize_documented_cases(spark):
-    assert _norm(spark, ["0982091074767472", "982091074767528.0", "9.82091074767472e+14"]) == \
-        ["982091074767472", "982091074767528", "982091074767472"]
+def test_normalize_forms_of_one_id(spark):
+    assert _norm(spark, ["0415000000123", "415000000124.0", "4.15000000123e+11"]) == \
+        ["415000000123", "415000000124", "415000000123"]
 
 
 def test_normalize_needs_decimal_point_and_keeps_null(spark):

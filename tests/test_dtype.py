@@ -10,11 +10,11 @@ from herdflow.schemas import MASTER_COLUMNS
 SCHEMA = ("source string, device string, date string, time string, no string, ear_tag string, "
           "group_name string, animal_type string, weight double, age_month double, age_days int, "
           "dim int, lac_no int, operation_tag string, stt string")
-ROW = ("PTM", "CIMA1", "2024-05-01", "07:00", "1001", "64001234", "M1", "cow", 500.0, 24.0, 730, 45, 2, "OP", "1")
+ROW = ("PTM", "SCALE9", "2022-09-10", "18:42", "88", "370550012", "Dry", "cow", 611.5, 46.0, 1400, 56, 3, "EVE", "7")
 
 
 def _conf(spark, rows, schema=SCHEMA):
-    return conform(spark.createDataFrame(rows, schema), "2024-06-01 10:00:00")
+    return conform(spark.createDataFrame(rows, schema), "2022-09-11 04:30:00")
 
 
 def test_rename_order_and_extras(spark):
@@ -22,7 +22,7 @@ def test_rename_order_and_extras(spark):
     assert out.columns == MASTER_COLUMNS
     assert "operation_tag" not in out.columns and "stt" not in out.columns
     r = out.first()
-    assert r["weight_kg"] == 500.0 and r["loaded_at"] == dt.datetime(2024, 6, 1, 10, 0)
+    assert r["weight_kg"] == 611.5 and r["loaded_at"] == dt.datetime(2022, 9, 11, 4, 30)
 
 
 def test_types(spark):

@@ -147,8 +147,10 @@ def test_reports(spark):
 def test_daily_run_continues_after_failure(spark):
     def boom():
         raise RuntimeError("upstream down\nmore")
-    st = {r["job"]: (r["status"], r["msg"]) for r in daily_run(spark, [("a", boom), ("b", lambda: 1)]).collect()}
-    assert st == {"a": ("failed", "upstream down"), "b": ("completed", "")}
+    def silent():
+        raise ValueError
+    st = {r["job"]: (r["status"], r["msg"]) for r in daily_run(spark, [("a", boom), ("s", silent), ("b", lambda: 1)]).collect()}
+    assert st == {"a": ("failed", "upstream down\nmore"), "s": ("failed", "ValueError"), "b": ("completed", "")}
 
 
 def test_blob_run_modes(spark):

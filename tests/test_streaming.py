@@ -56,7 +56,7 @@ def test_daily_counts_update_mode_versioned_sink(spark):
 
 def test_upsert_stream_keeps_latest_and_rerun_is_noop(spark):
     from herdflow.sinks.master import read_table
-    from herdflow.streaming.streams import upsert_stream
+    from herdflow.streaming.streams import FILE_TIME, upsert_stream
     root = scratch_path(spark, "t-stream")
     src, master, ck = f"{root}/in", f"{root}/master", f"{root}/ck"
     day = dt.datetime(2024, 1, 20, 7)
@@ -65,7 +65,7 @@ def test_upsert_stream_keeps_latest_and_rerun_is_noop(spark):
     def rows(s):
         return s.select(F.lit("A").alias("device"), F.to_date("ts").alias("date"),
                         F.date_format("ts", "HH:mm").alias("time"), F.col("id").cast("string").alias("ear_tag"),
-                        F.col("v").alias("weight_kg"))
+                        F.col("v").alias("weight_kg"), FILE_TIME)
     _land(spark, src, [(1, day, 100.0), (2, day, 200.0)])
     upsert_stream(rows(ingest_stream(spark, src, spark.read.parquet(src).schema)), master, ck).awaitTermination()
     _land(spark, src, [(1, day, 150.0)])                     # later batch wins for tag 1
