@@ -110,4 +110,25 @@ SELECT doc_id, CAST(max(n_lines) AS BIGINT) AS n_lines, CAST(count(*) FILTER (dr
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_license_scan": licenses.scan_sql(), "op8_line_dedup": _LINE_SQL}
+#: All pairs that share a shingle, and the components of the links.
+_NEAR_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ \\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(4, len(w)) - 1), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.other FROM reach r JOIN links l ON l.a = r.doc_id
+)
+SELECT r.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_near_dedup": _NEAR_SQL, "op7_license_scan": licenses.scan_sql(), "op8_line_dedup": _LINE_SQL}
