@@ -25,7 +25,7 @@ from herdflow.operators import repair as R
 from herdflow.operators.conform import conform, filter_range, range_counts
 from herdflow.operators.enrich import match_counts
 from herdflow.operators.retention import select_for_retention
-from herdflow.plans.jobs import blob_rows, session_rows, transform_tail
+from herdflow.plans.jobs import blob_rows, transform_tail
 from herdflow.schemas import DEDUP_KEYS
 from herdflow.sources import sessions as S
 from herdflow.sources.blobs import parse_blobs, read_raw_blobs
@@ -1006,9 +1006,10 @@ def q_stream_daily_counts(spark, d):
 
 # ================================================================= jobs (composed plans)
 def _session_master(spark, d) -> DataFrame:
-    rows = session_rows(A.session_docs(spark, d))
-    tail = transform_tail(rows, load_snapshot(A.herd_snapshots(spark, d)), A.LOADED_AT)
-    return D.dedup_latest(tail, DEDUP_KEYS, D.latest_order())
+    from herdflow.plans.jobs import session_job
+    from herdflow.session import scratch_path
+    herd = load_snapshot(A.herd_snapshots(spark, d))
+    return session_job(A.session_docs(spark, d), herd, A.LOADED_AT, scratch_path(spark, "master")).drop("day")
 
 
 _SQL_SESSION_WR = """wr AS (
@@ -1049,7 +1050,7 @@ def q_read_sessions(spark, d):
     path = scratch_path(spark, "sessions_csv")
     flat = S.flatten_sessions(A.session_docs(spark, d))
     text = flat.select(*[F.col(c).cast("string").alias(c) for c in flat.columns])
-    text.write.mode("overwrite").option("header", True).csv(path)
+    text.write.mode("overwrite").option("header", True).partitionBy("date").csv(path)
     return read_sessions(spark, path, "2024-01-08", "2024-01-21")
 
 
@@ -1183,3 +1184,168 @@ def q_weight_histogram(spark, d):
     """Daily-report weight histogram per class (cow / heifer) over the whole master."""
     m = A.master(spark, d).where(F.col("animal_type").isin("cow", "heifer"))
     return AG.histogram(m, "weight_kg", 20, by="animal_type")
+
+
+# ============================================================ whole runs and safe writes
+@register("blob_job_full", with_ctes([A.SQL_WEIGH_ROWS, A.SQL_HERD, A.SQL_ENRICHED, A.SQL_MASTER], "SELECT * FROM master"))
+def q_blob_job_full(spark, d):
+    """Both devices landed, replayed from the landing by window, enriched, checked and upserted."""
+    from herdflow.plans.runs import blob_run_full
+    from herdflow.session import scratch_path
+    landing, master = scratch_path(spark, "landing"), scratch_path(spark, "master")
+    bl, snaps = A.blobs(spark, d), A.herd_snapshots(spark, d)
+    raw = {x: bl.where(F.col("device") == x).drop("device") for x in ("CIMA1", "CIMA2")}
+    lo, hi = dt.date(2023, 1, 1), dt.date(2025, 1, 1)
+    blob_run_full(spark, raw, landing, master, A.LOADED_AT, A.REPORT_DAY, "land")
+    run = blob_run_full(spark, raw, landing, master, A.LOADED_AT, A.REPORT_DAY, "replay", snapshots=snaps, date_from=lo, date_to=hi)
+    return run.table.drop("loaded_at", "day")
+
+
+@register("session_replay", with_ctes([_SQL_SESSION_ROWS, _SQL_SESSION_WR, A.SQL_HERD, A.SQL_ENRICHED,
+                                       A.SQL_MASTER.replace("ORDER BY time DESC,", "ORDER BY time DESC NULLS LAST,")],
+                                      "SELECT * FROM master"))
+def q_session_replay(spark, d):
+    """New sessions landed, then replayed from the landed animals into the master."""
+    from herdflow.plans.runs import session_run_full
+    from herdflow.session import scratch_path
+    root, master = scratch_path(spark, "sessions"), scratch_path(spark, "master")
+    docs, snaps = A.session_docs(spark, d), A.herd_snapshots(spark, d)
+    listing = docs.select(F.concat(F.lit("/api/sessions/"), F.col("session_id").cast("string")).alias("href"), "name", "createdAt")
+    session_run_full(spark, listing, docs, root, master, A.LOADED_AT, A.REPORT_DAY, "land")
+    run = session_run_full(spark, None, None, root, master, A.LOADED_AT, A.REPORT_DAY, "replay", snapshots=snaps,
+                           date_from=dt.date(2023, 1, 1), date_to=dt.date(2025, 1, 1))
+    return run.table.drop("loaded_at", "day")
+
+
+@register("upsert_new_column", with_ctes([_SQL_BATCHES], """
+SELECT date, ear_tag, device, time, weight_kg, CASE WHEN loaded_at = '2024-02-02 00:00:00' THEN device END AS note FROM b
+QUALIFY row_number() OVER (PARTITION BY date, ear_tag, device ORDER BY loaded_at DESC, time DESC, weight_kg DESC) = 1"""))
+def q_upsert_new_column(spark, d):
+    """A later batch brings a column that the table did not have."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.master import upsert_latest
+    path = scratch_path(spark, "master")
+    b1, b2 = _batches(spark, d)
+    upsert_latest(b1, path)
+    out = upsert_latest(b2.withColumn("note", F.col("device")), path)
+    return out.select("date", "ear_tag", "device", "time", "weight_kg", "note")
+
+
+@register("upsert_dry_run", with_ctes([_SQL_BATCHES], """
+SELECT date, ear_tag, device, time, weight_kg FROM b WHERE loaded_at = '2024-02-01 00:00:00'
+QUALIFY row_number() OVER (PARTITION BY date, ear_tag, device ORDER BY time DESC, weight_kg DESC) = 1"""))
+def q_upsert_dry_run(spark, d):
+    """An empty first batch, a first load, then a dry run that leaves the table as it was."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.master import read_table, upsert_latest
+    path = scratch_path(spark, "master")
+    b1, b2 = _batches(spark, d)
+    upsert_latest(b1.where(F.lit(False)), path)
+    upsert_latest(b1, path)
+    upsert_latest(b2, path, write=False).count()
+    return read_table(spark, path).select("date", "ear_tag", "device", "time", "weight_kg")
+
+
+@register("stream_over_batch", """
+SELECT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS ear_tag, event_type AS device, max(value + 1000) AS weight_kg
+FROM events GROUP BY ALL""")
+def q_stream_over_batch(spark, d):
+    """Streamed corrections win over rows that a batch job loaded before."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.master import read_table, upsert_latest
+    from herdflow.streaming.streams import FILE_TIME, ingest_stream, upsert_stream
+    root = scratch_path(spark, "stream")
+    e = A.table(spark, d, "events").groupBy(F.to_date("ts").alias("date"), F.col("user_id").cast("string").alias("ear_tag"),
+                                            F.col("event_type").alias("device")).agg(F.max("value").alias("weight_kg"))
+    e = e.withColumn("time", F.lit("07:00"))
+    upsert_latest(e.withColumn("loaded_at", F.lit(A.LOADED_AT).cast("timestamp")), f"{root}/master")
+    e.withColumn("weight_kg", F.col("weight_kg") + 1000).write.parquet(f"{root}/in")
+    s = ingest_stream(spark, f"{root}/in", e.schema).select(*e.columns, FILE_TIME)
+    upsert_stream(s, f"{root}/master", f"{root}/ck").awaitTermination()
+    return read_table(spark, f"{root}/master").select("date", "ear_tag", "device", "weight_kg")
+
+
+@register("land_raw_moved_day", with_ctes([_SQL_BLOB_META], """
+SELECT id, device, DATE '2024-03-01' AS file_date FROM bm WHERE trim(operationTag) <> ''"""))
+def q_land_raw_moved_day(spark, d):
+    """Records of an operation sent again under another day replace the landed ones."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.landing import land_raw
+    path = scratch_path(spark, "landing")
+    bl = A.blobs(spark, d).where(F.trim("operationTag") != "")
+    out = None
+    for dev in ("CIMA1", "CIMA2"):
+        mine = bl.where(F.col("device") == dev).drop("device")
+        land_raw(mine, path, dev)
+        out = land_raw(mine.withColumn("createdAt", F.lit("2024-03-01T00:00:00")), path, dev)
+    return out.select("id", "device", "file_date")
+
+
+@register("landing_outcomes", with_ctes([_SQL_BLOB_META], """
+SELECT CASE WHEN trim(operationTag) <> '' THEN operationTag ELSE 'direct_' || substr(createdAt, 1, 10) END AS bucket,
+       CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (createdAt >= '2024-01-15') AS BIGINT) AS n_new,
+       CAST(count(*) FILTER (createdAt < '2024-01-15') AS BIGINT) AS n_landed,
+       CASE WHEN count(*) FILTER (createdAt < '2024-01-15') = 0 THEN 'written'
+            WHEN count(*) FILTER (createdAt >= '2024-01-15') > 0 THEN 'appended' ELSE 'skipped' END AS outcome
+FROM bm WHERE device = 'CIMA1' GROUP BY 1"""))
+def q_landing_outcomes(spark, d):
+    """What landing all records would do after the first half has landed."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.landing import land_raw, landing_outcomes
+    path = scratch_path(spark, "landing")
+    mine = A.blobs(spark, d).where(F.col("device") == "CIMA1").drop("device")
+    land_raw(mine.where(F.col("createdAt") < "2024-01-15"), path, "CIMA1")
+    return landing_outcomes(mine, path, "CIMA1")
+
+
+@register("land_sessions_twice", with_ctes([_SQL_SESSION_ROWS], """
+SELECT session_id, ear_tag, weight, date, CAST(count(*) AS BIGINT) AS n FROM sr GROUP BY ALL"""))
+def q_land_sessions_twice(spark, d):
+    """Animals of sessions that are landed twice stand there once."""
+    from herdflow.session import scratch_path
+    from herdflow.sinks.landing import land_sessions
+    root = scratch_path(spark, "sessions")
+    docs = A.session_docs(spark, d)
+    listing = docs.select(F.concat(F.lit("/s/"), F.col("session_id").cast("string")).alias("href"), "name", "createdAt")
+    for _ in range(2):
+        out = land_sessions(listing, S.flatten_sessions(docs), root)[1]
+    return out.groupBy("session_id", "ear_tag", "weight", "date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("month_bundle_clean", _master_sql(f"""
+SELECT 'clean_csv' AS stage, CAST(count(*) AS BIGINT) AS n FROM master
+WHERE date BETWEEN DATE '{A.MONTH_START}' AND DATE '{A.MONTH_END}' AND weight_kg IS NOT NULL
+UNION ALL SELECT 'clean_re_outlier', CAST(count(*) AS BIGINT) FROM master
+WHERE date BETWEEN DATE '{A.MONTH_START}' AND DATE '{A.MONTH_END}' AND weight_kg BETWEEN 100 AND 800"""))
+def q_month_bundle_clean(spark, d):
+    """Rows left after each stage of the month bundle, read back from the bundle."""
+    from herdflow.plans.runs import month_bundle
+    from herdflow.session import scratch_path
+    path = scratch_path(spark, "month")
+    month_bundle(A.master(spark, d), A.herd_snapshots(spark, d), A.MONTH_START, A.MONTH_END, path, produced_at="2024-02-01 06:00:00")
+    return spark.read.parquet(f"{path}/month={A.MONTH_START:%Y%m}/stage_counts")
+
+
+@register("daily_run_status", f"""
+WITH last AS (SELECT max(CAST(ts AS DATE)) AS d FROM events)
+SELECT * FROM (VALUES ('ptm', 'completed'), ('empty', 'no_new_data'), ('broken', 'failed'), ('export', 'completed'),
+  ('daily_report', 'completed'), ('weekly_report', 'completed'), ('month_report', 'skipped')) t(job_name, status)
+UNION ALL SELECT 'freshness', CASE WHEN date_diff('day', d, DATE '{A.REPORT_DAY}') > 2 THEN 'alert' ELSE 'completed' END FROM last""")
+def q_daily_run_status(spark, d):
+    """A daily run on a Friday: a weigh job, one without records, one that fails, then export and reports."""
+    from herdflow.plans.runs import Run, blob_run_full, daily
+    from herdflow.session import scratch_path
+    from herdflow.sinks.master import read_table
+    landing, master = scratch_path(spark, "landing"), scratch_path(spark, "master")
+    bl, snaps = A.blobs(spark, d), A.herd_snapshots(spark, d)
+    raw = {x: bl.where(F.col("device") == x).drop("device") for x in ("CIMA1", "CIMA2")}
+
+    def ptm(frames):
+        return lambda: blob_run_full(spark, frames, landing, master, A.LOADED_AT, A.REPORT_DAY, snapshots=snaps)
+
+    def broken() -> Run:
+        raise ValueError
+    none = {k: v.where(F.lit(False)) for k, v in raw.items()}
+    rows, _ = daily(spark, [("ptm", "all", ptm(raw)), ("empty", "all", ptm(none)), ("broken", "all", broken)],
+                    lambda: read_table(spark, master), snaps, A.REPORT_DAY, scratch_path(spark, "export"), scratch_path(spark, "log"))
+    return rows.select("job_name", "status")

@@ -21,9 +21,15 @@ def prefixed(bands: DataFrame, prefix: str = "b_") -> DataFrame:
     return bands.select(*[F.col(c).alias(prefix + c) for c in bands.columns])
 
 
+#: Rows of a band table that is sent to every executor.
+MAX_BANDS = 1000
+
+
 def band_join(df: DataFrame, bands: DataFrame, cond: Column) -> DataFrame:
     """Every (row, band) pair whose condition holds. `bands` must be the small band table
-    (already prefixed with ``b_``); it is broadcast."""
+    (already prefixed with ``b_``); it is broadcast, and refused beyond `MAX_BANDS` rows."""
+    if bands.limit(MAX_BANDS + 1).count() > MAX_BANDS:
+        raise ValueError(f"more than {MAX_BANDS} bands")
     return df.join(F.broadcast(bands), cond, "inner")
 
 

@@ -18,18 +18,21 @@ from herdflow.schemas import MONTH_OUTLIER_HIGH, MONTH_OUTLIER_LOW
 
 def daily_report(master: DataFrame, day: dt.date) -> dict[str, DataFrame]:
     """Day counts, top groups, heifer curve by rounded age, cow curve by DIM and weight
-    histograms by class for one day (classes recomputed from no + lac_no)."""
+    histograms by class for one day (classes recomputed from no + lac_no). On a day when
+    neither class has weights there is one histogram over all rows, its class ``all``."""
     d = (master.where(F.col("date") == F.lit(day))
          .withColumn("animal_type", classify("no", "lac_no")))
     heifer = d.where(F.col("animal_type") == "heifer")
     cow = d.where(F.col("animal_type") == "cow")
+    classes = d.where(F.col("animal_type").isin("cow", "heifer"))
+    if classes.where(F.col("weight_kg").isNotNull()).isEmpty():
+        classes = d.withColumn("animal_type", F.lit("all"))
     return {
         "counts": day_counts(d, by="date"),
         "top_groups": top_groups(d),
         "heifer_curve": curve(heifer, "age_month", round_digits=0),
         "cow_curve": curve(cow, "dim"),
-        "histogram": histogram(d.where(F.col("animal_type").isin("cow", "heifer")), "weight_kg",
-                               by="animal_type"),
+        "histogram": histogram(classes, "weight_kg", by="animal_type"),
     }
 
 

@@ -67,7 +67,7 @@ INVALID_TAG_TOKENS = ["", "nan", "none", "nat", "null"]
 UNKNOWN_NO_TOKENS = ["", "nan", "none"]
 BLOB_HEADER_KEYWORDS = ["DATE", "TOTAL SUM", "AVERAGE WEIGHT"]
 LEGACY_CLASSES = ["milking_cow", "dry", "other"]
-LEGACY_RENAMES = {"cow_id": "no", "age_days": "age_days", "age_months": "age_month",
+LEGACY_RENAMES = {"cow_id": "no", "age_months": "age_month",
                   "lactation_no": "lac_no"}
 LEGACY_DROPS = ["operationTag", "raw_line", "STT"]
 # ------------------------------------------------------------ END FIXED VALUES

@@ -77,7 +77,7 @@ def read_sessions(spark, path: str, date_from=None, date_to=None,
     ``YYYY-MM-DD`` text. Empty fields read as null (as a text reader treats a missing
     value). Files whose name starts with ``_`` or ``.`` are skipped by the reader; with a
     layout partitioned by date the window prunes whole directories."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = spark.read.schema(schema).option("header", True).csv(path).select(*schema.names)
     if date_from is not None:
         df = df.where(F.col("date") >= F.lit(str(date_from)))
     if date_to is not None:
