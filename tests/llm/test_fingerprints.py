@@ -7,6 +7,12 @@ from herdflow.llm import fingerprints as fp
 from herdflow.llm.queries import op3_fingerprints
 
 
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
+
 def paragraphs(text):
     return {p for p in re.split(r"\n|(?<=[.!?] )(?=[A-M])", text or "") if p.strip(" ")}
 

@@ -1,3 +1,4 @@
+import pytest  # noqa: I001
 import random
 import re
 
@@ -5,6 +6,12 @@ from herdflow.llm.licenses import NOTICES, SHINGLE, bands, scan, scan_sql, size_
 from herdflow.llm.queries import op7_license_scan
 
 
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
+
 def words(t):
     return re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
 

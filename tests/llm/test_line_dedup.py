@@ -7,6 +7,12 @@ import pytest
 from herdflow.llm.line_dedup import dedup_lines, keep_bitmap, kept_lines, kept_text, line_report
 from herdflow.llm.queries import op8_line_dedup
 
+
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
 SPACE = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

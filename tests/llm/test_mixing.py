@@ -7,6 +7,12 @@ import pytest
 from herdflow.llm.mixing import draw, fill, mix_report, plan_mix, split_quotas
 from herdflow.llm.queries import op9_mix_sources
 
+
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -10,6 +10,12 @@ from tokenizers import Tokenizer
 from herdflow.llm.packing import Counts, best_fit, pack, piece_starts, pieces, plan, reduce_by_dominance
 from herdflow.llm.queries import BYTE_BPE_RANKS, BYTE_BPE_SPECIAL, op2_best_fit_packing
 
+
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
 RANKS = public_tokenizers.path(BYTE_BPE_RANKS)
 
 

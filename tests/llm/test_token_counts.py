@@ -7,6 +7,12 @@ from herdflow.llm.bpe import RankTable, count_symbols
 from herdflow.llm.queries import op1_token_counts
 from herdflow.llm.token_counts import Counter, token_counts
 
+
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
