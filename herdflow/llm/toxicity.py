@@ -18,6 +18,7 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -93,32 +94,43 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+#: Rows of the sample whose features are expanded at once while fitting.
+FIT_ROWS = 256
+
+
 def fit_rows(rows: list[tuple[np.ndarray, int, float]], smooth: float = 1.0, decay: float = 1e-3,
              steps: int = 60) -> Model:
     """Fit on (features, label, weight) rows: naive Bayes scales, then weighted logistic regression."""
     n = 1 << BITS
-    lens = np.array([len(f) for f, _, _ in rows])
-    ids = np.concatenate([f for f, _, _ in rows]) if rows else np.zeros(0, np.int32)
     y = np.array([t for _, t, _ in rows], float)
     weight = np.array([w for _, _, w in rows], float)
     share = float((weight * y).sum() / weight.sum())
-    at = np.repeat(np.arange(len(rows)), lens)
-    seen = np.bincount(ids, minlength=n)
-    of = [np.bincount(ids, ((y == t) * 1.0)[at], n) for t in (0, 1)]
+    of = [np.zeros(n, np.int64), np.zeros(n, np.int64)]
+    for ids, t, _ in rows:
+        of[t][ids] += 1
     total = [max(1, int((y == t).sum())) for t in (0, 1)]
     scale = np.log((of[1] + smooth) / (total[1] + 2 * smooth)) - np.log((of[0] + smooth) / (total[0] + 2 * smooth))
-    keep = seen[ids] > 2                     # a feature of one or two rows only names those rows
-    place = np.cumsum(seen > 2) - 1
-    ids, at = place[ids[keep]], at[keep]
-    used = np.flatnonzero(seen > 2)
+    used = np.flatnonzero(of[0] + of[1] > 2)  # a feature of one or two rows only names those rows
+    place = np.full(n, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    parts = []                               # (rows, their features, the row of each feature)
+    for i in range(0, len(rows), FIT_ROWS):
+        own = [place[ids] for ids, _, _ in rows[i:i + FIT_ROWS]]
+        own = [ids[ids >= 0] for ids in own]
+        at = np.repeat(np.arange(len(own), dtype=np.int32), [len(ids) for ids in own])
+        parts.append((slice(i, i + len(own)), np.concatenate(own), at))
     s = scale[used]
     bias, w = float(np.log(share / (1 - share))), np.zeros(len(used))
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     per = weight / weight.sum()
     for step in range(1, steps + 1):         # Adam on the whole sample
-        z = bias + np.bincount(at, (w * s)[ids], len(rows))
-        err = per * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
-        g = np.append(np.bincount(ids, err[at], len(used)) * s + decay * w, err.sum())
+        g = np.zeros(len(used) + 1)
+        for at_rows, ids, at in parts:
+            z = bias + np.bincount(at, (w * s)[ids], at_rows.stop - at_rows.start)
+            err = per[at_rows] * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[at_rows])
+            g[:-1] += np.bincount(ids, err[at], len(used)) * s
+            g[-1] += err.sum()
+        g[:-1] += decay * w
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         d = 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
@@ -150,12 +162,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, id_col: str =
             ids = [features(t.as_py()).tobytes() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(ids, pa.binary())], names=schema.names)
 
-    got = texts.select("text", "label").mapInArrow(run, schema).toArrow().to_pydict()
-    rows = sorted(zip(got["label"], got["ids"], strict=True))       # the same order whatever the partitions
+    got = texts.select("text", "label").mapInArrow(run, schema).toArrow()
+    rows = [(t, np.frombuffer(f.as_buffer(), np.int32)) for t, f in zip(got["label"].to_pylist(), got["ids"], strict=True)]
+    rows.sort(key=lambda r: (r[0], len(r[1]), zlib.crc32(r[1])))      # the same order whatever the partitions
     n = {t: sum(x == t for x, _ in rows) for t in (0, 1)}
     if not all(n.values()):
         return Model(40.0 if n[1] else -40.0, np.zeros(1 << BITS))
-    return fit_rows([(np.frombuffer(f, np.int32), t, total[t] / n[t]) for t, f in rows])
+    return fit_rows([(f, t, total[t] / n[t]) for t, f in rows])
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id",
