@@ -1007,9 +1007,8 @@ def q_stream_daily_counts(spark, d):
 # ================================================================= jobs (composed plans)
 def _session_master(spark, d) -> DataFrame:
     from herdflow.plans.jobs import session_job
-    from herdflow.session import scratch_path
-    herd = load_snapshot(A.herd_snapshots(spark, d))
-    return session_job(A.session_docs(spark, d), herd, A.LOADED_AT, scratch_path(spark, "master")).drop("day")
+    rows = session_job(A.session_docs(spark, d), load_snapshot(A.herd_snapshots(spark, d)), A.LOADED_AT)
+    return D.dedup_latest(rows, DEDUP_KEYS, D.latest_order())
 
 
 _SQL_SESSION_WR = """wr AS (
