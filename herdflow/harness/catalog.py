@@ -1345,6 +1345,31 @@ def q_daily_run_status(spark, d):
     def broken() -> Run:
         raise ValueError
     none = {k: v.where(F.lit(False)) for k, v in raw.items()}
-    rows, _ = daily(spark, [("ptm", "all", ptm(raw)), ("empty", "all", ptm(none)), ("broken", "all", broken)],
-                    lambda: read_table(spark, master), snaps, A.REPORT_DAY, scratch_path(spark, "export"), scratch_path(spark, "log"))
-    return rows.select("job_name", "status")
+    log = scratch_path(spark, "log")
+    daily(spark, [("ptm", "all", ptm(raw)), ("empty", "all", ptm(none)), ("broken", "all", broken)],
+          lambda: read_table(spark, master), snaps, A.REPORT_DAY, scratch_path(spark, "export"), log)
+    return spark.read.parquet(log).select("job_name", "status")
+
+
+@register("table_probe", """
+SELECT 'orders' AS name, CAST(count(*) AS BIGINT) AS n_rows, (SELECT count(*) FROM (DESCRIBE orders)) AS n_cols FROM orders
+UNION ALL SELECT 'events', CAST(count(*) AS BIGINT), (SELECT count(*) FROM (DESCRIBE events)) FROM events
+UNION ALL SELECT 'missing', NULL, NULL""")
+def q_table_probe(spark, d):
+    """Readable-table probe with each table's size; a missing table is reported, not raised."""
+    found = QC.probe(spark, {"orders": f"{d}/orders.parquet", "events": f"{d}/events.parquet", "missing": f"{d}/no_such_table.parquet"})
+    sizes = None
+    for name in ("orders", "events"):
+        row = QC.summary(A.table(spark, d, name)).select(F.lit(name).alias("name"), F.col("n_cols").cast("bigint"))
+        sizes = row if sizes is None else sizes.unionAll(row)
+    return found.join(sizes, "name", "left").select("name", "n_rows", "n_cols")
+
+
+@register("required_columns", """
+SELECT 'supplier' AS name, 's_comment_extra' AS missing, CAST(count(*) AS BIGINT) AS n_rows FROM supplier""")
+def q_required_columns(spark, d):
+    """Required columns that a table lacks, with its row count."""
+    t = A.table(spark, d, "supplier")
+    lacks = QC.expect_columns(t, ["s_suppkey", "s_comment_extra"])
+    n = t.agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.select(F.lit("supplier").alias("name"), F.explode(F.array(*[F.lit(c) for c in lacks])).alias("missing"), "n_rows")

@@ -32,7 +32,7 @@ def test_every_key_has_oracle_except_none():
 # Keys that write to the scratch folder while their plan is made.
 WRITING = SIDE_EFFECT | {"blob_run", "blob_job_full", "session_job", "session_replay", "upsert_new_column", "upsert_dry_run",
                          "stream_over_batch", "land_raw_moved_day", "landing_outcomes", "land_sessions", "land_sessions_twice",
-                         "month_bundle_clean", "daily_run_status", "export_csv", "read_master_window", "read_sessions"}
+                         "month_bundle_clean", "daily_run_status", "table_probe", "export_csv", "read_master_window", "read_sessions"}
 
 
 @pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITING))
