@@ -16,6 +16,11 @@ from herdflow.operators.conform import filter_range
 from herdflow.schemas import MONTH_OUTLIER_HIGH, MONTH_OUTLIER_LOW
 
 
+def _by_first(table: DataFrame) -> DataFrame:
+    """A report's rows in the order of its first column."""
+    return table.orderBy(table.columns[0])
+
+
 def daily_report(master: DataFrame, day: dt.date) -> dict[str, DataFrame]:
     """Day counts, top groups, heifer curve by rounded age, cow curve by DIM and weight
     histograms by class for one day (classes recomputed from no + lac_no). On a day when
@@ -30,8 +35,8 @@ def daily_report(master: DataFrame, day: dt.date) -> dict[str, DataFrame]:
     return {
         "counts": day_counts(d, by="date"),
         "top_groups": top_groups(d),
-        "heifer_curve": curve(heifer, "age_month", round_digits=0),
-        "cow_curve": curve(cow, "dim"),
+        "heifer_curve": _by_first(curve(heifer, "age_month", round_digits=0)),
+        "cow_curve": _by_first(curve(cow, "dim")),
         "histogram": histogram(classes, "weight_kg", by="animal_type"),
     }
 
