@@ -4,21 +4,23 @@
    and containers with the kinds of their children. The paths of all pages of a host form the host's
    style tree.
 2. A content node's importance is the mean over its distinct texts of 1 - H, H the entropy of the
-   text's spread over the host's m pages (log base m): 0 for texts that stand on all pages, 1 for
-   texts of one page. A presentation node's importance is the entropy of its children's kinds. A
+   text's spread over the host's m distinct pages (log base m): 0 for texts that stand on all pages, 1
+   for texts of one page. Pages of a host with the same paths and texts (outside what 4 leaves out by
+   name) are copies and count as one. A presentation node's importance is the entropy of its children's kinds. A
    path counts `CONTENT_SHARE` its content, the rest its container's presentation.
-3. The same is done for the paths over all hosts together, which stands in where a host has few
-   pages: the smaller of the two counts, inside article elements the larger.
+3. The same is done for the paths over the distinct pages of all hosts together, which stands in where
+   a host has fewer than `FEW_PAGES` distinct pages: else the smaller of the two counts, inside article
+   elements the larger.
 4. Branches below `least` are cut from each page of the host, as is what its element or class names
    as menu, header, footer, sidebar, notice, advert, form, script, style or comment. The rest is the
    text: blocks in page order.
 
-Counts are aggregated by (host, path, text hash), so a host with a third of all pages is spread by
-its texts. Pages are read twice and never collected by host.
+Counts are aggregated by (host, page hash, path, text hash) and then by (host, path, text hash), so a
+host with a third of all pages is spread by its texts. Pages are read twice and never collected by host.
 
 Cases: a null or empty html has the empty text; a null url is a host of its own; a page whose host
 has one page goes by the paths over all hosts; broken markup is closed where HTML would; repeated
-rows count as pages; an empty table gives an empty result; other columns are not read.
+rows and copies count as one page; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +36,10 @@ from herdflow.llm.common import staged
 from herdflow.llm.markup import Page, features, hash64
 
 CONTENT_SHARE = 0.9
+#: Distinct pages of a host from which its own entropy counts outside article elements.
+FEW_PAGES = 4
+#: The kind of the row that stands for a page itself.
+PAGE = 2
 
 
 def host(url: Column) -> Column:
@@ -41,32 +47,38 @@ def host(url: Column) -> Column:
 
 
 def observed(pages: DataFrame) -> DataFrame:
-    """(host, path, parent, kind, feature, article) for each page's features."""
-    schema = "host string, path long, parent long, kind int, feature long, article boolean"
+    """(host, path, parent, kind, feature, article, page) for each page's features, and a row of kind `PAGE`.
+
+    `page` is a hash of the page's features: copies have the same.
+    """
+    schema = "host string, path long, parent long, kind int, feature long, article boolean, page long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(7)]
             for h, html in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 page = Page(html.as_py() or "")
                 up = {hash64(p): hash64(p.rpartition("/")[0]) for p, _, _ in page.blocks}
-                for path, kind, feature, article in features(page):
-                    for c, v in zip(cols, (h, path, up.get(path, 0), kind, feature, article), strict=True):
+                found = sorted(features(page))
+                key = hash64(repr(found))
+                for path, kind, feature, article in [*found, (0, PAGE, 0, False)]:
+                    for c, v in zip(cols, (h, path, up.get(path, 0), kind, feature, article, key), strict=True):
                         c.append(v)
-            types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                                             names=["host", "path", "parent", "kind", "feature", "article"])
+                                             names=["host", "path", "parent", "kind", "feature", "article", "page"])
 
     return pages.select("host", "html").mapInArrow(run, schema)
 
 
-def importance(counts: DataFrame, pages: DataFrame | int, by: list[str], name: str) -> DataFrame:
-    """(by, path, article, name): the importance of each content path.
+def importance(seen: DataFrame, pages: DataFrame | int, by: list[str], name: str) -> DataFrame:
+    """(by, path, article, m, name): the importance of each content path.
 
-    `counts` has the n pages of a feature; `pages` is the number of pages m, by host or of all.
+    `seen` has the features of each distinct page once; `pages` is the number of distinct pages m, by
+    host or of all.
     """
-    c = counts.groupBy(*by, "path", "kind", "feature").agg(
-        F.sum("n").alias("n"), F.max("article").alias("article"), F.max("parent").alias("parent"))
+    c = seen.groupBy(*by, "path", "kind", "feature").agg(
+        F.count(F.lit(1)).alias("n"), F.max("article").alias("article"), F.max("parent").alias("parent"))
     if by:
         c = c.join(F.broadcast(pages) if pages.count() <= 100_000 else pages, by)
     else:
@@ -80,20 +92,26 @@ def importance(counts: DataFrame, pages: DataFrame | int, by: list[str], name: s
     shown = shown.select(*by, F.col("path").alias("parent"), F.least(F.greatest(entropy, F.lit(0.0)), F.lit(1.0)).alias("shown"))
     both = content.join(shown, [*by, "parent"], "left")
     value = CONTENT_SHARE * F.col("content") + (1 - CONTENT_SHARE) * F.coalesce("shown", F.lit(0.0))
-    return both.select(*by, "path", "article", value.alias(name))
+    return both.select(*by, "path", "article", "m", value.alias(name))
+
+
+def distinct_pages(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Features of each distinct page once, with (by, page) as what tells pages apart."""
+    return rows.groupBy(*by, "page", "path", "kind", "feature").agg(
+        F.max("article").alias("article"), F.max("parent").alias("parent"))
 
 
 def cut_paths(pages: DataFrame, least: float) -> DataFrame:
     """(host, cut): the paths of each host whose branches are cut."""
-    seen = observed(pages).groupBy("host", "path", "kind", "feature").agg(
-        F.count(F.lit(1)).alias("n"), F.max("article").alias("article"), F.max("parent").alias("parent"))
-    counts = staged(seen, "style-counts")
-    m = staged(pages.groupBy("host").agg(F.count(F.lit(1)).alias("m")), "host-pages")
-    own = importance(counts, m, ["host"], "own")
-    total = m.agg(F.sum("m")).first()[0] or 0
-    all_ = importance(counts, total, [], "general").select("path", "general")
+    seen = staged(distinct_pages(observed(pages), ["host"]), "style-pages")
+    marks, seen = seen.filter(F.col("kind") == PAGE), seen.filter(F.col("kind") != PAGE)
+    m = staged(marks.groupBy("host").agg(F.count(F.lit(1)).alias("m")), "host-pages")
+    own = importance(seen, m, ["host"], "own")
+    total = marks.select("page").distinct().count()
+    all_ = importance(distinct_pages(seen, []), total, [], "general").select("path", "general")
     both = own.join(all_, "path")
-    value = F.when(F.col("article"), F.greatest("own", "general")).otherwise(F.least("own", "general"))
+    value = (F.when(F.col("article"), F.greatest("own", "general")).when(F.col("m") < FEW_PAGES, F.col("general"))
+             .otherwise(F.least("own", "general")))
     low = both.filter(F.coalesce(value, F.lit(1.0)) < least)
     return low.groupBy("host").agg(F.collect_set("path").alias("cut"))
 

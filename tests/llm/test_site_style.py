@@ -66,3 +66,20 @@ def test_repeated_branches_are_cut(spark):
     assert all(got[100 + i] == "same article everywhere" for i in range(5))
     assert (got[200], got[201], got[202], got[None]) == ("no host", "", "", "x")
     assert main_text(df.limit(0)).collect() == []
+
+
+def test_copies_keep_their_text(spark):
+    """Copies count as one page, on one host or on several, with and without an article element."""
+    def pages(name, n, inside, hosts=1):
+        body = f"<p>the long story of {name}</p><p>and its end</p>"
+        body = f"<article>{body}</article>" if inside else f"<div class={name}>{body}</div>"
+        return [(f"http://{name}{i % hosts}.example/{i}", f"<!-- {i} --><body><nav>menu {i % 3}</nav>{body}</body>", name) for i in range(n)]
+    copies = [p for n in (2, 8, 1000) for inside in (True, False) for p in pages(f"{'in' if inside else 'out'}{n}", n, inside)]
+    copies += pages("spread", 8, False, hosts=8) + pages("twice", 9, True, hosts=3)
+    other = [(f"http://o.example/{i}", f"<body><div class=x1>Welcome</div><div class=x2><p>news {i}</p></div></body>", None) for i in range(60)]
+    for rows in (copies, copies + other, pages("out", 8, False), pages("in", 2, True)):
+        rows = [(i, *r) for i, r in enumerate(rows)]
+        df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in main_text(df).collect()}
+        for i, url, _, name in rows:
+            assert got[i] == (f"the long story of {name}\n\nand its end" if name else f"news {url.rpartition('/')[2]}"), url
