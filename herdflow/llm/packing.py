@@ -15,12 +15,16 @@ the corpus), and the rows are then dealt to the plan's places by their rank with
    so ranks are counted within (length, bucket) and shifted by the buckets' running totals.
 
 Cases: a null or empty text is the end id alone; rows with a repeated or null id are packed like
-any other (ranks then follow the hash of the ids); an empty table gives an empty result.
+any other (ranks then follow the hash of the ids); an empty table gives an empty result; texts with
+a white-space run of `LONG_SPACE` or more go to the `tokenizers` file beside the ranks file, since
+`tiktoken` fails on runs of about a million.
 """
 
 from __future__ import annotations
 
 import base64
+import os
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
@@ -37,19 +41,37 @@ from herdflow.llm.common import staged
 #: Rows of one (length, bucket) group that rank together, about.
 BUCKET_ROWS = 100
 MAX_BUCKETS = 4096
+#: White-space characters in a row that `tiktoken` is not given (it fails between 900,000 and 1,100,000).
+LONG_SPACE = 100_000
 
 
 # ---------------------------------------------------------------- pieces
 
 def encoder(ranks_path: str, special: dict[str, int]):
-    """Text to ids, from a ranks file; `special` strings inside a text get their ids."""
+    """Text to ids, from a ranks file; `special` strings inside a text get their ids.
+
+    The same vocabulary stands beside the ranks file as a `tokenizers` file (.json).
+    """
     import public_tokenizers
     import tiktoken
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     enc = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: enc.encode(text, allowed_special="all")
+    long_space = re.compile(rf"(?<!\s)\s{{{LONG_SPACE}}}")
+    whole = None
+
+    def encode(text: str) -> list[int]:
+        nonlocal whole
+        if len(text) < LONG_SPACE or not long_space.search(text):
+            return enc.encode(text, allowed_special="all")
+        if whole is None:
+            from tokenizers import Tokenizer
+
+            whole = Tokenizer.from_file(os.path.splitext(ranks_path)[0] + ".json")
+        return whole.encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 def piece_starts(n: int, capacity: int) -> list[tuple[int, int]]:

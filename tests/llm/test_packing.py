@@ -68,6 +68,13 @@ def test_small_capacity_nulls_repeats_and_hot_length(spark, library):
     assert pack(pieces(two.limit(0), RANKS, BYTE_BPE_SPECIAL)).collect() == []
 
 
+def test_long_white_space(spark, library):
+    n = 2_000_000
+    texts = {1: " " * n, 2: "a" + "\n" * n + "b <|endoftext|> c", 3: "a" + " \n" * (n // 2), 4: "x" + "\u3000" * n, 5: "x" + " " * 99_999 + "y"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(pack(pieces(df, RANKS, BYTE_BPE_SPECIAL)).collect(), texts, library, 2048)
+
+
 def test_piece_starts():
     assert piece_starts(5, 4) == [(0, 1), (1, 4)]
     assert piece_starts(8, 4) == [(0, 4), (4, 4)]
