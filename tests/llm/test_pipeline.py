@@ -58,6 +58,16 @@ def test_groups_keep_one(steps):
     assert sorted(rows(steps[3])) == sorted((d, t) for d, t in docs if found[d][2])
 
 
+def test_groups_keep_one_row_whatever_the_ids(spark):
+    given = [(None, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (2, "other words in here now"),
+             (None, "only null ids hold this"), (None, "only null ids hold this"), (3, "a row of its own"), (4, None), (None, "")]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
+    assert Counter(got) == Counter([(1, "a b c d e"), (2, "other words in here now"), (None, "only null ids hold this"),
+                                    (3, "a row of its own"), (4, None), (None, "")])
+    assert corpus_pipeline.drop_near_copies(spark, df.limit(0), "").collect() == []
+
+
 def test_mixed_to_targets(steps):
     docs = steps[3].collect()
     size = {r.doc_id: len(WORD.findall(r.text or "")) for r in docs}
