@@ -8,8 +8,8 @@ the corpus), and the rows are then dealt to the plan's places by their rank with
 2. `plan`: on the histogram, the Martello-Toth reduction permanently fixes small sets that
    dominate every other set with the same largest piece, as long as one is found:
    a piece with no partner stands alone; a piece and its exact complement; a piece with its
-   largest partner, when no two pieces fit beside it or when that partner is as large as the
-   best pair that fits. The rest is packed best-fit in decreasing order, a whole length class
+   largest partner, when no two pieces fit beside it, or when no three do and that partner is as
+   large as the best pair that fits. The rest is packed best-fit in decreasing order, a whole length class
    at a time.
 3. `assign`: every piece gets its rank within its length. A length may hold a third of all rows,
    so ranks are counted within (length, bucket) and shifted by the buckets' running totals.
@@ -142,12 +142,12 @@ class Counts:
             i -= 1
         return self.sizes[i] if i >= 0 else None
 
-    def smallest_two(self, used: int) -> int | None:
-        """The sum of the two smallest pieces beside one of length `used`."""
+    def smallest(self, k: int, used: int) -> int | None:
+        """The sum of the `k` smallest pieces beside one of length `used`."""
         out: list[int] = []
-        for s in self.sizes[:3]:
-            out += [s] * min(2, self.n[s] - (s == used))
-        return sum(out[:2]) if len(out) > 1 else None
+        for s in self.sizes[:k + 1]:
+            out += [s] * min(k, self.n[s] - (s == used))
+        return sum(out[:k]) if len(out) >= k else None
 
     def best_pair(self, most: int, used: int) -> int:
         """The largest sum of two pieces of at most `most`, beside one of length `used` (0: none)."""
@@ -187,8 +187,9 @@ def reduce_by_dominance(left: Counts, capacity: int) -> list[Group]:
                     left.take(size, k)
                     found = True
                     continue
-                two = left.smallest_two(size)
-                if mate == room or two is None or two > room or mate >= left.best_pair(room, size):
+                two, three = left.smallest(2, size), left.smallest(3, size)
+                if (mate == room or two is None or two > room
+                        or (three is None or three > room) and mate >= left.best_pair(room, size)):
                     if mate == size:
                         k = left.n[size] // 2
                         fixed.append(Group([(size, 2)], k))

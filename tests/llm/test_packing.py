@@ -114,6 +114,14 @@ def test_reduction_keeps_an_optimum(seed):
     assert all(g.room(c) >= 0 for g in fixed + best_fit(counts, c))
 
 
+@pytest.mark.parametrize(("items", "c"), [([11, 8, 4, 4, 4, 3, 3, 3], 20), ([11, 8, 4, 4, 4, 3, 3, 3, 20, 19], 20), ([9, 5, 5, 2, 2, 2, 1, 1], 14)])
+def test_reduction_leaves_pieces_beside_which_three_fit(items, c):
+    counts = Counts({x: items.count(x) for x in items})
+    fixed = reduce_by_dominance(counts, c)
+    rest = sorted((s for s, n in counts.n.items() for _ in range(n)), reverse=True)
+    assert sum(g.bins for g in fixed) + fewest(rest, c) == fewest(sorted(items, reverse=True), c)
+
+
 def plain_best_fit(items, c):
     rooms = []
     for x in sorted(items, reverse=True):
