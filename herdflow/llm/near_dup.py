@@ -1,13 +1,13 @@
-"""Near-duplicate documents by an LSH forest over MinHash sketches, confirmed on whole sets.
+"""Near-duplicate documents by tiers of prefix bands over MinHash sketches, confirmed on whole sets.
 
 1. Every text becomes its set of word shingles (64-bit hashes), a 128-bit key of the set and a
    sketch of 256 minima. Texts with equal sets are one class; one of them stands for it.
 2. The forest has trees, each an order of the sketch's values; a tree's region is the classes that
-   share its first values. The depth adapts to the region: few values where regions are small;
-   a region of more than `region_rows` classes is not searched, its classes go on to the next
+   share its first values: 3, 6 or 12 of them by level. There is no neighbour search along the sorted
+   orders; full comparison inside a region replaces it. A region of more than `region_rows` classes is not searched, its classes go on to the next
    level of more values and more trees (`LEVELS`; each level finds a pair of similarity 0.8 with
    a chance of 0.9998 or more). The deepest regions are dealt to blocks.
-3. Inside a region, in label order, sketches are compared. First round: pairs along a maximum
+3. Inside a region every sketch is compared with every other (label order breaks ties). First round: pairs along a maximum
    spanning forest of the estimates are confirmed on the whole sets and links joined into
    components. Second round: in regions that still hold several components, all pairs of different
    components whose estimate allows the similarity are confirmed (in a deepest region: the blocks
