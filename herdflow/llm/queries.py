@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import fingerprints, licenses, line_dedup, mixing, near_dup, nearest, packing, site_style, toxicity
+from herdflow.llm import (fingerprints, licenses, line_dedup, mixing, near_dup, nearest, packing, quality_rules,
+                          site_style, toxicity)
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -78,6 +79,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the quality rules for every document."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_nearest": op10_nearest,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 #: Lines as the contract splits and keys them; white space and letters are ASCII only.
@@ -131,4 +138,5 @@ SELECT r.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(other) A
 FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_near_dedup": _NEAR_SQL, "op7_license_scan": licenses.scan_sql(), "op8_line_dedup": _LINE_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_near_dedup": _NEAR_SQL, "op7_license_scan": licenses.scan_sql(), "op8_line_dedup": _LINE_SQL,
+                              "op12_quality_rules": quality_rules.judge_sql()}
