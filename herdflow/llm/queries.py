@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdflow.llm import (fingerprints, licenses, line_dedup, mixing, near_dup, nearest, packing, quality_rules,
-                          site_style, toxicity)
+                          resampling, site_style, toxicity)
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
 
@@ -79,6 +79,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight for the benchmark's words, and its rank if it is among the 10% drawn."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of the quality rules for every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents"))
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_nearest": op10_nearest,
+    "op11_importance_resampling": op11_importance_resampling,
     "op12_quality_rules": op12_quality_rules,
 }
 
@@ -139,4 +145,5 @@ FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
 """
 
 ORACLE_SQL: dict[str, str] = {"op6_near_dedup": _NEAR_SQL, "op7_license_scan": licenses.scan_sql(), "op8_line_dedup": _LINE_SQL,
+                              "op11_importance_resampling": resampling.resample_sql(),
                               "op12_quality_rules": quality_rules.judge_sql()}
