@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdflow.llm import (fingerprints, licenses, line_dedup, mixing, near_dup, nearest, packing, quality_rules,
+from herdflow.llm import (fingerprints, lexical_search, licenses, line_dedup, mixing, near_dup, nearest, packing, quality_rules,
                           resampling, site_style, toxicity)
 from herdflow.llm import token_counts as tc
 from herdflow.llm.common import table
@@ -89,6 +89,11 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for the text of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest": op10_nearest,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_quality_rules": op12_quality_rules,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 #: Lines as the contract splits and keys them; white space and letters are ASCII only.
@@ -146,4 +152,5 @@ FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
 
 ORACLE_SQL: dict[str, str] = {"op6_near_dedup": _NEAR_SQL, "op7_license_scan": licenses.scan_sql(), "op8_line_dedup": _LINE_SQL,
                               "op11_importance_resampling": resampling.resample_sql(),
-                              "op12_quality_rules": quality_rules.judge_sql()}
+                              "op12_quality_rules": quality_rules.judge_sql(),
+                              "op13_lexical_search": lexical_search.search_sql()}
