@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdflow.schemas import (MASTER_ORDER, MONTH_OUTLIER_HIGH, MONTH_OUTLIER_LOW,
@@ -36,6 +36,24 @@ def monthly_by_key(df: DataFrame, key: str = "no", date_col: str = "date",
                  F.expr(f"max_by(animal_type, {ord_key}) FILTER (WHERE animal_type IS NOT NULL)").alias("animal_type")))
 
 
+def refresh_months(master: DataFrame, path: str, days: list[str | None], key: str = "no") -> list[str]:
+    """Bring the table of `monthly_by_key` under `path` (a folder a month) up to date after an upsert that
+    touched `days`: only their months are read from the day-partitioned `master`, recomputed and replaced.
+    Rows without a date are of no month here. Returns the months."""
+    from herdflow.sinks.master import refresh_partitions
+    months = sorted({d[:7] for d in days if d is not None})
+    rows = master.where(F.substring("day", 1, 7).isin(months))
+    refresh_partitions(monthly_by_key(rows, key), path, "year_month", months)
+    return months
+
+
+def read_months(spark: SparkSession, path: str) -> DataFrame:
+    """The kept table of `monthly_by_key`."""
+    schema = ("no string, weight_kg double, age_month double, age_days smallint, dim smallint, lac_no smallint, "
+              "group_name string, animal_type string, year_month string")
+    return spark.read.schema(schema).parquet(path)
+
+
 def day_counts(df: DataFrame, by: str = "date", cls: str = "animal_type") -> DataFrame:
     """Rows per class (cow / heifer / unknown) and total, per `by` value."""
     c = F.col(cls)

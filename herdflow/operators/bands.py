@@ -1,16 +1,16 @@
 """Band range join, headcount baseline, weighed stats and coverage.
 
-Bands are a fixed, tiny table (a handful of rows; its size does not grow with the data),
-so they are broadcast and every fact row is tested against every band in one scan
-(BroadcastNestedLoopJoin). Overlapping bands count a row in each band that contains it;
-bands without rows are still reported (bands left-join the aggregates).
+A row meets every band whose bounds hold its value, in an equi-join on bins (`band_join`), so a band
+table may have three rows or millions and its bands may overlap at will. Overlapping bands count a row
+in each band that contains it; bands without rows are still reported (bands left-join the aggregates).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdflow.schemas import MONTHLY_THRESHOLD, WEEK_THRESHOLDS, monthly_bands, weekly_bands
@@ -21,34 +21,83 @@ def prefixed(bands: DataFrame, prefix: str = "b_") -> DataFrame:
     return bands.select(*[F.col(c).alias(prefix + c) for c in bands.columns])
 
 
-#: Rows of a band table that is sent to every executor.
-MAX_BANDS = 1000
+@dataclass(frozen=True)
+class Span:
+    """The range of a band join: a row's `value` against the bands' `low` and `high` columns, both bounds
+    inclusive or not as the join's condition says. `bands` picks the bands it is for (all without one)."""
 
+    value: str
+    low: str
+    high: str
+    bands: str | None = None
 
-def band_join(df: DataFrame, bands: DataFrame, cond: Column) -> DataFrame:
-    """Every (row, band) pair whose condition holds. `bands` must be the small band table
-    (already prefixed with ``b_``); it is broadcast, and refused beyond `MAX_BANDS` rows."""
-    if bands.limit(MAX_BANDS + 1).count() > MAX_BANDS:
-        raise ValueError(f"more than {MAX_BANDS} bands")
-    return df.join(F.broadcast(bands), cond, "inner")
 
+#: Exponents of the widths of bins. A band wider than the last, or without an end, has one bin for all values.
+LEAST_LEVEL, MOST_LEVEL = -30, 60
 
-def band_count(snapshot: DataFrame, bands: DataFrame, cond: Column, out: str = "baseline") -> DataFrame:
+
+def _level(low: Column, high: Column) -> Column:
+    """The smallest power of two that is as wide as the band: the band touches two bins of that width at most."""
+    width = high.cast("double") - low.cast("double")
+    level = F.ceil(F.log2(F.greatest(width, F.lit(2.0 ** LEAST_LEVEL)))).cast("int")
+    # beyond 2^52 bins from 0, neighbouring bins are no longer told apart
+    far = F.greatest(F.abs(low.cast("double")), F.abs(high.cast("double")))
+    level = F.greatest(level, F.when(far > 0, F.ceil(F.log2(far)).cast("int") - 50).otherwise(LEAST_LEVEL))
+    open_ = ~(F.coalesce(far < F.lit(float("inf")), F.lit(False)) & ~F.isnan(far))
+    return F.when(open_ | (level > MOST_LEVEL), MOST_LEVEL + 1).otherwise(level)
+
+
+def _bin(value: Column, level: Column) -> Column:
+    """The number of the bin of that level that holds the value."""
+    inside = F.floor(value.cast("double") / F.pow(F.lit(2.0), level.cast("double")))
+    return F.when(level > MOST_LEVEL, F.lit(0)).otherwise(inside).cast("long")
+
+
+def _span_join(df: DataFrame, bands: DataFrame, span: Span, cond: Column) -> DataFrame:
+    low, high = F.col(span.low), F.col(span.high)
+    own = bands if span.bands is None else bands.where(span.bands)
+    own = own.where(low.cast("double") <= high.cast("double")).withColumn("_level", _level(low, high))
+    first, last = _bin(low, F.col("_level")), _bin(high, F.col("_level"))
+    binned = own.withColumn("_bin", F.explode(F.sequence(first, last)))
+    levels = sorted(r["_level"] for r in own.select("_level").distinct().collect())   # at most one an exponent
+    value = F.col(span.value).cast("double")
+    known = df.where(value.isNotNull() & ~F.isnan(value))
+    keyed = known.withColumn("_l", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    keyed = keyed.withColumn("_b", _bin(value, F.col("_l")))
+    return keyed.join(binned, (F.col("_l") == F.col("_level")) & (F.col("_b") == F.col("_bin")) & cond).drop("_l", "_b", "_level", "_bin")
+
+
+def band_join(df: DataFrame, bands: DataFrame, cond: Column, spans: list[Span]) -> DataFrame:
+    """Every (row, band) pair whose condition holds, each once; `bands` carry the prefix ``b_``.
+
+    Each band belongs to one of the `spans`, and `cond` must hold only between its bounds. A band is put
+    in the bins it touches of the power of two that is as wide as the band (two at most), a row in one bin
+    of each width there is; they are joined by equality of (width, bin) and `cond` is tested on the pairs.
+    So the join is a hash or sort-merge join: nothing is refused or broadcast by assumption, and a bin that
+    many rows share can be split. Bands with a null bound and rows with a null value (or NaN) have no pairs.
+    """
+    out = None
+    for span in spans:
+        part = _span_join(df, bands, span, cond)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def band_count(snapshot: DataFrame, bands: DataFrame, cond: Column, spans: list[Span], out: str = "baseline") -> DataFrame:
     """Headcount per band (``b_label``) on one snapshot; empty bands get 0."""
-    agg = band_join(snapshot, bands, cond).groupBy("b_label").agg(F.count(F.lit(1)).alias(out))
-    # one row per band at most: bounded by the band table, so broadcasting it is safe
-    return (bands.select("b_ord", "b_label").join(F.broadcast(agg), "b_label", "left")
+    agg = band_join(snapshot, bands, cond, spans).groupBy("b_label").agg(F.count(F.lit(1)).alias(out))
+    return (bands.select("b_ord", "b_label").join(agg, "b_label", "left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("bigint")))
 
 
-def band_stats(df: DataFrame, bands: DataFrame, cond: Column, no_col: str = "no",
+def band_stats(df: DataFrame, bands: DataFrame, cond: Column, spans: list[Span], no_col: str = "no",
                weight_col: str = "weight_kg") -> DataFrame:
     """Per band: distinct animals, mean weight (unrounded), row count; empty bands -> 0 / null."""
-    agg = (band_join(df, bands, cond).groupBy("b_label")
+    agg = (band_join(df, bands, cond, spans).groupBy("b_label")
            .agg(F.countDistinct(no_col).alias("weighed"),
                 F.avg(weight_col).alias("avg_raw"),
                 F.count(F.lit(1)).alias("n_valid")))
-    return (bands.select("b_ord", "b_label").join(F.broadcast(agg), "b_label", "left")
+    return (bands.select("b_ord", "b_label").join(agg, "b_label", "left")
             .withColumn("weighed", F.coalesce("weighed", F.lit(0)).cast("bigint"))
             .withColumn("n_valid", F.coalesce("n_valid", F.lit(0)).cast("bigint")))
 
@@ -64,6 +113,10 @@ def week_threshold(today: dt.date) -> float:
 
 
 # --------------------------------------------------------------------------- weekly
+def _weekly_spans(age_col: str, kind: str) -> list[Span]:
+    return [Span(age_col, f"b_{kind}_min", f"b_{kind}_max")]
+
+
 def _weekly_cond_baseline(age_col: str) -> Column:
     a = F.col(age_col)
     return (a >= F.col("b_baseline_min")) & (a <= F.col("b_baseline_max"))
@@ -87,17 +140,35 @@ def weekly_coverage(master: DataFrame, herd: DataFrame, today: dt.date,
     unrounded; the reported percentage and mean weight are rounded half-even to 1 decimal.
     """
     spark = master.sparkSession
-    b = prefixed(bands if bands is not None else weekly_bands(spark))
-    start = today.replace(day=1)
-    snap = pick_snapshot(herd, herd_date, start, "forward")
-    base = band_count(snap, b, _weekly_cond_baseline(herd_age))
-    period = master.where((F.col("date") >= F.lit(start)) & (F.col("date") <= F.lit(today))
+    b = prefixed(bands) if bands is not None else week_bands(spark)
+    period = master.where((F.col("date") >= F.lit(today.replace(day=1))) & (F.col("date") <= F.lit(today))
                           & (F.col("animal_type") == "heifer") & F.col(no_col).isNotNull())
-    stats = band_stats(period, b, _weekly_cond_weighed("age_month", "weight_kg"), no_col)
+    stats = band_stats(period, b, week_cond(), week_spans(), no_col)
+    return week_result(b, herd, stats, today, herd_date, herd_age)
+
+
+def week_bands(spark: SparkSession) -> DataFrame:
+    return prefixed(weekly_bands(spark))
+
+
+def week_cond() -> Column:
+    """Rows that count as weighed in a weekly band."""
+    return _weekly_cond_weighed("age_month", "weight_kg")
+
+
+def week_spans() -> list[Span]:
+    return _weekly_spans("age_month", "weight")
+
+
+def week_result(b: DataFrame, herd: DataFrame, stats: DataFrame, today: dt.date, herd_date: str = "date",
+                herd_age: str = "age_month_fix") -> DataFrame:
+    """The weekly report of the bands' stats (`band_stats`, or merged day states) and the baseline."""
+    snap = pick_snapshot(herd, herd_date, today.replace(day=1), "forward")
+    base = band_count(snap, b, _weekly_cond_baseline(herd_age), _weekly_spans(herd_age, "baseline"))
     thr = week_threshold(today)
     cov = coverage(F.col("weighed"), F.col("baseline"))
-    return (b.join(F.broadcast(base.drop("b_ord")), "b_label")
-            .join(F.broadcast(stats.drop("b_ord")), "b_label")
+    return (b.join(base.drop("b_ord"), "b_label")
+            .join(stats.drop("b_ord"), "b_label")
             .select(F.col("b_ord").alias("ord"), F.col("b_label").alias("label"),
                     "baseline", "weighed",
                     F.bround(cov, 1).alias("coverage_pct"),
@@ -143,8 +214,8 @@ def _month_period(master: DataFrame, start: dt.date, end: dt.date, no_col: str)
 def _monthly_result(b: DataFrame, base: DataFrame, stats: DataFrame) -> DataFrame:
     cov = F.bround(coverage(F.col("weighed"), F.col("baseline")), 1)
     avg = F.round("avg_raw", 1)
-    return (b.join(F.broadcast(base.drop("b_ord")), "b_label")
-            .join(F.broadcast(stats.drop("b_ord")), "b_label")
+    return (b.join(base.drop("b_ord"), "b_label")
+            .join(stats.drop("b_ord"), "b_label")
             .select(F.col("b_ord").alias("ord"), F.col("b_label").alias("label"),
                     "baseline", "weighed", cov.alias("coverage"),
                     (cov >= F.lit(MONTHLY_THRESHOLD)).alias("ok"),
@@ -159,9 +230,9 @@ def month_summary(master: DataFrame, herd: DataFrame, month_start: dt.date, mont
     spark = master.sparkSession
     b = prefixed(weekly_bands(spark))
     snap = pick_snapshot(herd, herd_date, month_start, "forward")
-    base = band_count(snap, b, _weekly_cond_baseline(herd_age))
+    base = band_count(snap, b, _weekly_cond_baseline(herd_age), _weekly_spans(herd_age, "baseline"))
     period = _month_period(master, month_start, month_end, no_col).where(F.col("animal_type") == "heifer")
-    stats = band_stats(period, b, _weekly_cond_weighed("age_month", "weight_kg"), no_col)
+    stats = band_stats(period, b, _weekly_cond_weighed("age_month", "weight_kg"), _weekly_spans("age_month", "weight"), no_col)
     return _monthly_result(b, base, stats)
 
 
@@ -179,6 +250,12 @@ def month_meta(herd: DataFrame, month_start: dt.date, month_end: dt.date, produc
     )).alias("m")).select("m.*")
 
 
+def _monthly_spans(age_col: str) -> list[Span]:
+    """Heifer bands go by age, all others by days in milk."""
+    return [Span(age_col, "b_age_min", "b_age_max", "b_type = 'heifer'"),
+            Span("dim", "b_dim_min", "b_dim_max", "NOT (b_type <=> 'heifer')")]
+
+
 def _monthly_cond_baseline() -> Column:
     heifer = (F.col("age_month_fix") >= F.col("b_age_min")) & (F.col("age_month_fix") < F.col("b_age_max"))
     cow = ((F.col("lac_no") >= F.col("b_lac_min")) & (F.col("lac_no") <= F.col("b_lac_max"))
@@ -200,10 +277,26 @@ def _monthly_cond_weighed() -> Column:
 def month_groups(master: DataFrame, herd: DataFrame, month_start: dt.date, month_end: dt.date,
                  herd_date: str = "date", no_col: str = "no") -> DataFrame:
     """Monthly cow/heifer group coverage (age and DIM upper-exclusive, lac_no inclusive)."""
-    spark = master.sparkSession
-    b = prefixed(monthly_bands(spark))
+    b = month_bands(master.sparkSession)
+    stats = band_stats(_month_period(master, month_start, month_end, no_col), b, month_cond(), month_spans(), no_col)
+    return month_groups_result(b, herd, stats, month_start, herd_date)
+
+
+def month_bands(spark: SparkSession) -> DataFrame:
+    return prefixed(monthly_bands(spark))
+
+
+def month_cond() -> Column:
+    """Rows that count as weighed in a monthly group."""
+    return _monthly_cond_weighed()
+
+
+def month_spans() -> list[Span]:
+    return _monthly_spans("age_month")
+
+
+def month_groups_result(b: DataFrame, herd: DataFrame, stats: DataFrame, month_start: dt.date, herd_date: str = "date") -> DataFrame:
+    """The monthly group report of the groups' stats (`band_stats`, or merged day states) and the baseline."""
     snap = pick_snapshot(herd, herd_date, month_start, "forward")
-    base = band_count(snap, b, _monthly_cond_baseline())
-    stats = band_stats(_month_period(master, month_start, month_end, no_col), b,
-                       _monthly_cond_weighed(), no_col)
+    base = band_count(snap, b, _monthly_cond_baseline(), _monthly_spans("age_month_fix"))
     return _monthly_result(b, base, stats)

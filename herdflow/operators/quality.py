@@ -63,6 +63,13 @@ def summary(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
+def join_rate_status(total: int, matched: int, threshold: float = JOIN_RATE_MIN, min_rows: int = JOIN_RATE_MIN_ROWS) -> str:
+    """The gate's status from counts that an observation took."""
+    if total < min_rows:
+        return "skipped"
+    return "ok" if matched / total >= threshold else "alert"
+
+
 def join_rate_gate(df: DataFrame, threshold: float = JOIN_RATE_MIN,
                    min_rows: int = JOIN_RATE_MIN_ROWS, no_col: str = "no") -> DataFrame:
     """One row: total, matched, rate and status. Skipped when the key column is missing or
@@ -79,6 +86,28 @@ def join_rate_gate(df: DataFrame, threshold: float = JOIN_RATE_MIN,
                       (status != "alert").alias("ok"))
 
 
+def profile_change(df: DataFrame, after: dict[str, Column], nan_text: str = "nan") -> DataFrame:
+    """What a normalisation does to columns: a row a column, from one aggregate over the pairs (before, after).
+
+    Nulls and `nan_text` texts before and after; `n_changed` rows whose value differs (null-safe) and those of them that are
+    `n_newly_null`; distinct values before and after, and `n_newly_equal`, how many values fall together with another.
+    """
+    def stats(c: str) -> dict[str, Column]:
+        b, a = _c(c), after[c]
+        return {
+            "nulls_before": F.count_if(b.isNull()), "nulls_after": F.count_if(a.isNull()),
+            "nan_text_before": F.count_if(F.lower(strip_ws(b.cast("string"))) == nan_text),
+            "nan_text_after": F.count_if(F.lower(strip_ws(a.cast("string"))) == nan_text),
+            "n_changed": F.count_if(~b.eqNullSafe(a)), "n_newly_null": F.count_if(b.isNotNull() & a.isNull()),
+            "distinct_before": F.count_distinct(b), "distinct_after": F.count_distinct(a),
+            "n_newly_equal": F.count_distinct(F.when(a.isNotNull(), b)) - F.count_distinct(F.when(b.isNotNull(), a)),
+        }
+
+    each = {c: stats(c) for c in after}
+    names = list(next(iter(each.values())))
+    return _per_column(df, list(after), {n: lambda c, n=n: each[c][n] for n in names})
+
+
 def probe(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Readable-table probe: row count per named parquet path, or the error text."""
     rows = []

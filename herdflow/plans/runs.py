@@ -16,12 +16,12 @@ from herdflow.functions.numbers import small_reject
 from herdflow.operators.aggregates import freshness
 from herdflow.operators.conform import conform, drop_invalid_tags
 from herdflow.operators.enrich import enrich
-from herdflow.operators.quality import expect_non_empty, join_rate_gate
+from herdflow.operators.quality import expect_non_empty, join_rate_status
 from herdflow.plans.jobs import blob_rows, session_rows
 from herdflow.plans.reports import daily_report, month_report, weekly_report
 from herdflow.schemas import WEIGHT_HIGH, WEIGHT_LOW
 from herdflow.sinks.landing import land_raw, land_sessions
-from herdflow.sinks.master import append_run_log, export_csv, upsert_latest, write_month_bundle
+from herdflow.sinks.master import append_run_log, export_csv, upsert_days, write_month_bundle
 from herdflow.sources.blobs import read_raw_blobs
 from herdflow.sources.master import load_window, tag_and_union
 from herdflow.sources.sessions import new_sessions
@@ -30,14 +30,16 @@ from herdflow.sources.snapshots import resolve_herd
 
 @dataclass
 class Run:
-    """What a run did: ``completed``, ``no_new_data``, ``landed`` or ``skipped``; the resulting table;
-    row counts (filled when the run wrote); the join-rate status; the herd's source."""
+    """What a run did: ``completed``, ``failed``, ``no_new_data``, ``landed`` or ``skipped``; the resulting table;
+    row counts (after the merge, matched, outside the range, new, in the master); the join-rate status; the
+    herd's source; the days that it touched."""
 
     status: str
     table: DataFrame | None = None
     counts: dict[str, int] = field(default_factory=dict)
     join_rate: str = "skipped"
     herd: str = "none"
+    days: list[str | None] = field(default_factory=list)
 
     @property
     def message(self) -> str:
@@ -56,19 +58,33 @@ def counted_tail(rows: DataFrame, herd: DataFrame | None, loaded_at, low: float
     weight = "weight_kg" if "weight_kg" in r.columns else "weight"
     inside = F.coalesce(F.col(weight).cast("double").between(low, high), F.lit(False))
     r = r.observe(obs, F.count(F.lit(1)).alias("rows"), F.count("no").alias("matched"),
-                  F.count_if(~inside).alias("outside_range"), *unfit)
+                  F.count_if(~inside).alias("outside_range"), F.count_if(inside).alias("new"), *unfit)
     return conform(r, loaded_at).where(F.col("weight_kg").between(low, high)), obs
 
 
+def finish_rows(rows: DataFrame, herd: DataFrame | None, label: str, loaded_at, master_path: str, write: bool = True) -> Run:
+    """Tail, upsert and gate of parsed rows, in one pass over them.
+
+    The join-rate gate looks at the rows right after the merge, before class and range filter; its numbers
+    and all counts come from the observation that the pass takes. Where cleaning leaves no row the run is
+    ``failed`` and the master stays as it is. A dry run counts as well and writes nothing.
+    """
+    tail, obs = counted_tail(rows, herd, loaded_at)
+    done = upsert_days(tail, master_path, write=write)
+    if not write:
+        tail.write.format("noop").mode("overwrite").save()      # the pass that a dry run's counts come from
+    counts = dict(obs.get)
+    if not counts["rows"]:
+        return Run("failed", done.table, counts, "skipped", label)
+    counts["master"] = done.table.count() if write else counts["new"]
+    return Run("completed", done.table, counts, join_rate_status(counts["rows"], counts["matched"]), label, done.days)
+
+
 def _finish(rows: DataFrame, today_herd: DataFrame | None, snapshots: DataFrame | None, as_of, loaded_at,
             master_path: str, write: bool) -> Run:
-    """Herd by precedence, tail, upsert, join-rate gate."""
+    """Herd by precedence, then `finish_rows`."""
     herd, label = resolve_herd(today_herd, snapshots, as_of)
-    tail, obs = counted_tail(rows, herd, loaded_at)
-    table = upsert_latest(tail, master_path, write=write)
-    counts = dict(obs.get) if write else {}
-    gate = join_rate_gate(tail).first()["status"]
-    return Run("completed", table, counts, gate, label)
+    return finish_rows(rows, herd, label, loaded_at, master_path, write)
 
 
 def blob_run_full(spark: SparkSession, raw: dict[str, DataFrame], landing_path: str, master_path: str, loaded_at,

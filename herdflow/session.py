@@ -85,6 +85,12 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """The JVM and the Hadoop file system of a path."""
+    jvm = spark.sparkContext._jvm
+    return jvm, jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system of the path (works for any scheme)."""
     jvm = spark.sparkContext._jvm

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import threading
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from herdflow.operators.dedup import HERD_TIEBREAK, TIEBREAK, dedup_latest, latest_order
 from herdflow.schemas import DEDUP_KEYS, MASTER_ORDER, RUN_LOG_SCHEMA
-from herdflow.session import delete_path, path_exists
+from herdflow.session import delete_path, hadoop_fs, path_exists
 
 # Day partitions: a run rewrites only the days its batch touches (the re-fetch window),
 # and a month report prunes by a range on the same column.
 PARTITION_COL = "day"
+NULL_NAME = "__HIVE_DEFAULT_PARTITION__"
 STAGING_DIR = "_staging"
 
 
@@ -61,29 +65,104 @@ LOCK = "_LOCK"
 LOCK_SECONDS = 6 * 3600
 
 
-@contextlib.contextmanager
-def writing(spark: SparkSession, path: str) -> Iterator[None]:
-    """One writer at a time: an exclusively created lock file in the table's folder.
+class Lock:
+    """The writer's lock of a table: a file that holds its owner's id and is touched while the owner lives.
 
-    A second writer gets an error and has changed nothing. The lock of a run that died is
-    taken over after `LOCK_SECONDS`.
+    Only the owner's lock is ever deleted by it. A lock that was not touched for `stale` seconds belongs
+    to a run that died; whoever creates the file that claims this very owner's lock takes it over, and
+    looks again before it deletes, so of two runs that see the same stale lock one wins.
     """
-    jvm, fs = _fs(spark, path)
-    lock = jvm.org.apache.hadoop.fs.Path(f"{path}/{LOCK}")
-    if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > LOCK_SECONDS:
-        fs.delete(lock, False)
-    if not fs.createNewFile(lock):
+
+    def __init__(self, spark: SparkSession, path: str, stale: float = LOCK_SECONDS):
+        self.path, self.stale, self.owner = path, stale, uuid.uuid4().hex
+        self.jvm, self.fs = _fs(spark, path)
+        self.file = self._file(LOCK)
+
+    def _file(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def held_by(self) -> tuple[str, float] | None:
+        """The owner of the lock there is, and the seconds since it was touched."""
+        try:
+            age = time.time() - self.fs.getFileStatus(self.file).getModificationTime() / 1000
+            stream = self.fs.open(self.file)
+        except Py4JJavaError:                    # none, or just gone
+            return None
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"), age
+        finally:
+            stream.close()
+
+    def _create(self) -> bool:
+        try:
+            out = self.fs.create(self.file, False)
+        except Py4JJavaError:                    # another run has created it
+            return False
+        out.write(bytearray(self.owner.encode()))
+        out.close()
+        seen = self.held_by()
+        return seen is not None and seen[0] == self.owner
+
+    def acquire(self) -> bool:
+        seen = self.held_by()
+        if seen is None:
+            return self._create()
+        owner, age = seen
+        if age <= self.stale:
+            return False
+        claim = self._file(f"{LOCK}_claim_{owner or 'nobody'}")
+        if not self.fs.createNewFile(claim):
+            return False
+        try:
+            again = self.held_by()
+            if again is None or again[0] != owner or again[1] <= self.stale:
+                return False
+            self.fs.delete(self.file, False)
+            return self._create()
+        finally:
+            self.fs.delete(claim, False)
+
+    def renew(self) -> bool:
+        """Touch the lock if it is still one's own."""
+        seen = self.held_by()
+        if seen is None or seen[0] != self.owner:
+            return False
+        self.fs.setTimes(self.file, int(time.time() * 1000), -1)
+        return True
+
+    def release(self) -> None:
+        seen = self.held_by()
+        if seen is not None and seen[0] == self.owner:
+            self.fs.delete(self.file, False)
+
+
+@contextlib.contextmanager
+def writing(spark: SparkSession, path: str, stale: float = LOCK_SECONDS) -> Iterator[Lock]:
+    """One writer at a time (`Lock`). A second writer gets an error and has changed nothing; the lock is renewed
+    while the block runs, however long, and a run that has lost it gets an error when it ends."""
+    lock = Lock(spark, path, stale)
+    if not lock.acquire():
         raise RuntimeError(f"another run is writing to {path}")
+    done = threading.Event()
+
+    def keep() -> None:
+        while not done.wait(stale / 10):
+            lock.renew()
+
+    keeper = threading.Thread(target=keep, daemon=True)
+    keeper.start()
     try:
-        yield
+        yield lock
+        if not lock.renew():
+            raise RuntimeError(f"the lock of {path} was lost")
     finally:
-        fs.delete(lock, False)
+        done.set()
+        keeper.join()
+        lock.release()
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hadoop_fs(spark, path)
 
 
 def swap_partitions(spark: SparkSession, stage: str, path: str, col: str = PARTITION_COL) -> list[str]:
@@ -152,8 +231,22 @@ def master_order(df: DataFrame) -> list[Column]:
     return latest_order(tiebreak=tuple(c for c in (*TIEBREAK, *rest, *more) if c in df.columns))
 
 
+@dataclass
+class Upsert:
+    """What an upsert did: the table (of a dry run: the would-be days), and the days it touched (None: without a date)."""
+
+    table: DataFrame
+    days: list[str | None]
+
+
 def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
                   order: list[Column] | None = None, write: bool = True, date_col: str = "date") -> DataFrame:
+    """The table after `upsert_days`."""
+    return upsert_days(new, path, keys, order, write, date_col).table
+
+
+def upsert_days(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
+                order: list[Column] | None = None, write: bool = True, date_col: str = "date") -> Upsert:
     """existing ∪ new -> keep the latest row per key -> replace only the touched days.
 
     * The incoming batch is computed once: it is written to a staging folder next to the
@@ -179,7 +272,7 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
     new_m = with_partition(new, date_col)
     if not write:
         touched = [r[0] for r in new_m.select(PARTITION_COL).distinct().collect()] if has_data(spark, path) else []
-        return _merged(spark, path, new_m, touched, keys, order)
+        return Upsert(_merged(spark, path, new_m, touched, keys, order), touched)
     jvm, fs = _fs(spark, path)
     fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
     with writing(spark, path):
@@ -197,7 +290,82 @@ def upsert_latest(new: DataFrame, path: str, keys: list[str] = DEDUP_KEYS,
             swap_partitions(spark, stage, path)
             delete_path(spark, stage)
         delete_path(spark, f"{path}/{STAGING_DIR}_in")
-    return read_table(spark, path) if has_data(spark, path) else new_m.limit(0)
+    return Upsert(read_table(spark, path) if has_data(spark, path) else new_m.limit(0), touched)
+
+
+def refresh_partitions(rows: DataFrame, path: str, col: str, values: list[str]) -> None:
+    """Replace the partitions `values` of a table by `rows` (which are theirs only); one that has no rows any more becomes empty.
+
+    Staged, marked and swapped like an upsert; files of other partitions are not touched.
+    """
+    spark = rows.sparkSession
+    jvm, fs = _fs(spark, path)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
+    with writing(spark, path):
+        recover_staged(spark, path, col)
+        _replace(spark, rows, path, col, values)
+
+
+def _replace(spark: SparkSession, rows: DataFrame, path: str, col: str, values: list[str | None]) -> None:
+    if not values:
+        return
+    jvm, fs = _fs(spark, path)
+    stage = f"{path}/{STAGING_DIR}/{uuid.uuid4().hex[:12]}"
+    rows.hint("rebalance", col).sortWithinPartitions(col).write.partitionBy(col).parquet(stage)
+    for v in values:
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{stage}/{col}={NULL_NAME if v is None else v}"))
+    mark_committed(spark, stage)
+    swap_partitions(spark, stage, path, col)
+    delete_path(spark, stage)
+
+
+def changed_days(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(day, n_before, n_after, n_changed) of the days whose rows differ as a bag: by the number of rows and, a column at
+    a time, the sum of hashes. `n_changed` counts the columns that differ. Both sides carry `day`."""
+    cols = [c for c in before.columns if c != PARTITION_COL]
+
+    def marks(df: DataFrame, side: str) -> DataFrame:
+        # the place of a row's other cells goes into each cell's hash, so that values cannot trade rows unseen
+        sums = [F.sum(F.xxhash64(F.lit(c), F.col(c).cast("string"), F.col(c).isNull(), "_row").cast("decimal(38,0)")).alias(f"{side}{c}")
+                for c in cols]
+        keyed = df.withColumn("_row", F.xxhash64(*[F.col(c).cast("string") for c in DEDUP_KEYS if c in cols and c != "device"]))
+        return keyed.groupBy(PARTITION_COL).agg(F.count(F.lit(1)).alias(f"{side}rows"), *sums).withColumnRenamed(PARTITION_COL, f"{side}{PARTITION_COL}")
+
+    b, a = marks(before, "b_"), marks(after, "a_")
+    both = b.join(a, F.col(f"b_{PARTITION_COL}").eqNullSafe(F.col(f"a_{PARTITION_COL}")), "full_outer")
+    differ = [(~F.col(f"b_{c}").eqNullSafe(F.col(f"a_{c}"))).cast("int") for c in cols]
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(f"n_{'before' if c[0] == 'b' else 'after'}")
+    return (both.select(F.coalesce(f"b_{PARTITION_COL}", f"a_{PARTITION_COL}").alias(PARTITION_COL), zero("b_rows"), zero("a_rows"),
+                        sum(differ, F.lit(0)).alias("n_changed"))
+            .where((F.col("n_before") != F.col("n_after")) | (F.col("n_changed") > 0)))
+
+
+def write_back(spark: SparkSession, path: str, repair: Callable[[DataFrame], DataFrame], write: bool = True) -> DataFrame:
+    """Apply a repair to the master and rewrite only the days that it changes.
+
+    `repair` takes and returns rows of the master without `day`, and needs no rows of other days (the keys hold the
+    date). What changes is found first, from a count and sums of hashes a day; changed days go through a marked stage
+    and the swap, all others keep their files; where nothing changes nothing is written. Returns the changed days
+    (`changed_days`) as local rows. ``write=False`` only says what would change.
+    """
+    def repaired(df: DataFrame) -> DataFrame:
+        return with_partition(repair(df.drop(PARTITION_COL))).select(*df.columns)
+
+    def found() -> list:
+        master = read_table(spark, path)
+        return changed_days(master, repaired(master)).collect()             # a row a day
+
+    schema = "day string, n_before bigint, n_after bigint, n_changed int"
+    if not write:
+        return spark.createDataFrame(found(), schema)
+    with writing(spark, path):
+        recover_staged(spark, path)
+        days = found()
+        names = [r[PARTITION_COL] for r in days]
+        hit = F.col(PARTITION_COL).isin([d for d in names if d is not None])
+        hit = hit | F.col(PARTITION_COL).isNull() if None in names else hit
+        _replace(spark, repaired(read_table(spark, path).where(hit)), path, PARTITION_COL, names)
+    return spark.createDataFrame(days, schema)
 
 
 def _merged(spark: SparkSession, path: str, batch: DataFrame, touched: list, keys: list[str],

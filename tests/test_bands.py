@@ -1,7 +1,10 @@
 """Band range join and coverage (J6, A1-A7) with the boundary rows of the band tables."""
 import datetime as dt
+import random
 
-from herdflow.operators.bands import (coverage_status, coverage_summary, month_groups,
+from pyspark.sql import functions as F
+
+from herdflow.operators.bands import (Span, band_join, coverage_status, coverage_summary, month_groups,
                                       month_summary, weekly_coverage)
 
 MASTER = ("date date, no string, animal_type string, age_month double, weight_kg double, "
@@ -90,9 +93,43 @@ def test_monthly_groups_boundaries(spark):
     assert g["Heifer 12mo (11.5-12.9)"]["coverage"] == 0.0 and g["Heifer 12mo (11.5-12.9)"]["avg_w"] is None
 
 
-def test_single_fact_scan_with_broadcast_band_join(spark):
+def test_band_join_is_an_equi_join(spark):
     herd = _herd(spark, [(6.0, 3)])
     master = spark.createDataFrame([(dt.date(2024, 5, 3), "1", "heifer", 6.0, 200.0, 0, None)], MASTER)
     plan = weekly_coverage(master, herd, dt.date(2024, 5, 10))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastNestedLoopJoin") == 2     # one per side (baseline, weighed), each one scan
-    assert "SortMergeJoin" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def _pairs(df, bands, cond, spans):
+    return sorted(band_join(df, bands, cond, spans).select("x", "b_id").collect(), key=str)
+
+
+def test_thousands_of_overlapping_bands(spark):
+    """Wide, narrow, point, endless and empty bands with both kinds of bounds, against plain Python."""
+    rng = random.Random(9)
+    inf = float("inf")
+    bands = [(i, lo, lo + rng.choice([0.0, 1e-9, 0.3, 7.0, 500.0, 1e7])) for i, lo in enumerate(rng.uniform(-100, 100) for _ in range(3000))]
+    bands += [(3001, -inf, inf), (3002, 5.0, inf), (3003, None, 5.0), (3004, 9.0, 3.0), (3005, 1e15, 2e15), (3006, 0.0, 0.0), (3007, -inf, -50.0)]
+    values = [rng.uniform(-150, 600) for _ in range(150)] + [b[1] for b in bands[:40]] + [b[2] for b in bands[:40]]
+    values += [None, float("nan"), inf, -inf, 0.0, -0.0, 1.5e15, 1e300, 5.0]
+    rows = [(i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "x int, v double")
+    b = spark.createDataFrame(bands, "b_id int, b_lo double, b_hi double")
+    spans = [Span("v", "b_lo", "b_hi")]
+    for closed in (True, False):
+        upper = F.col("v") <= F.col("b_hi") if closed else F.col("v") < F.col("b_hi")
+        want = [(x, i) for x, v in rows if v is not None and v == v for i, lo, hi in bands
+                if lo is not None and lo <= v and (v <= hi if closed else v < hi)]
+        assert [tuple(r) for r in _pairs(df, b, (F.col("v") >= F.col("b_lo")) & upper, spans)] == sorted(want, key=str)
+    plan = band_join(df, b, F.col("v") >= F.col("b_lo"), spans)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+    assert _pairs(df, b.limit(0), F.col("v") >= F.col("b_lo"), spans) == []
+
+
+def test_bands_of_different_spans(spark):
+    bands = spark.createDataFrame([(1, "a", 0, 10, None, None), (2, "b", None, None, 5, 6), (3, None, None, None, 0, 100)],
+                                  "b_id int, b_type string, b_lo int, b_hi int, b_from int, b_to int")
+    df = spark.createDataFrame([(1, 3, 5), (2, 30, 50), (3, None, 5), (4, 3, None)], "x int, v int, w int")
+    cond = F.when(F.col("b_type") == "a", F.col("v").between(F.col("b_lo"), F.col("b_hi"))).otherwise(F.col("w").between(F.col("b_from"), F.col("b_to")))
+    spans = [Span("v", "b_lo", "b_hi", "b_type = 'a'"), Span("w", "b_from", "b_to", "NOT (b_type <=> 'a')")]
+    assert [tuple(r) for r in _pairs(df, bands, cond, spans)] == [(1, 1), (1, 2), (1, 3), (2, 3), (3, 2), (3, 3), (4, 1)]
