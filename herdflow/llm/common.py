@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
-from herdflow.session import scratch_path
+from herdflow.session import delete_path, scratch_path
 
 #: White space of the word and line rules: space and the ASCII controls 9 to 13 (fixed values).
 ASCII_SPACE = r"\x20\x09-\x0D"
@@ -24,5 +27,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for scope in _scopes:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def work_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that are staged inside the block are deleted at its end, but for those staged by the function it gives."""
+    mine: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        _scopes[:] = [s for s in _scopes if s is not mine]
+        try:
+            return staged(df, name)
+        finally:
+            _scopes.append(mine)
+
+    _scopes.append(mine)
+    try:
+        yield keep
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not mine]
+        for path in mine:
+            delete_path(spark, path)

@@ -1,7 +1,8 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 1. Every row gets its size in words and a hash `h` that permutes rows; the low part of the hash
-   deals a source's rows into at most `BUCKETS` blocks, so no source is ever gathered whole.
+   deals a source's rows into at most `BUCKETS` blocks, so no source is ever gathered whole. `h` is of id, source,
+   text and a number among rows that share all three, so rows of one id (or of none) are drawn each by itself.
 2. Targets come from the per-source totals (one row per source): the shared total is divided
    by weight, a target stops at `cap` times its source, and the excess is shared again.
 3. A source's blocks stand in a permuted order; whole passes and the blocks up to the rest of the
@@ -14,13 +15,14 @@
    disjoint. Inside a shard rows are ordered by a hash (the local shuffle).
 
 Cases: a null text has size 0; null sources form one source, ordered last; a source without words
-has target 0 and nothing is taken; repeated rows share their fate; an empty table gives an empty
-result; other columns are kept only by `draw`.
+has target 0 and nothing is taken; repeated rows are drawn each by itself; an empty table gives an empty
+result; other columns, whatever their names, are kept only by `draw`.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -35,9 +37,10 @@ BUCKETS = 4096
 class Mix:
     """What `plan_mix` settles: sizes per row, and the drawn blocks with their shards."""
 
-    rows: DataFrame      # id, source, size, __h, __block
+    rows: DataFrame      # id, source, size, __h, __block (one row a document)
     sources: DataFrame   # source, source_size, target
     blocks: DataFrame    # source, block, copies, extra, cut, shards
+    groups: DataFrame | None   # rows that share id, source and text, if there are any
 
 
 def word_count(text: Column) -> Column:
@@ -83,28 +86,64 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def hashed(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: int) -> DataFrame:
-    """`docs` with `__size`, `__h` (permutes rows) and `__block`."""
-    size = word_count(F.col(text_col))
-    return (docs.withColumn("__size", size)
-            .withColumn("__h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col)))
-            .withColumn("__block", F.pmod(F.col("__h"), F.lit(BUCKETS)).cast("int")))
+def same_rows(rows: DataFrame) -> DataFrame:
+    """(id, source, th, m): the groups of m > 1 rows that share id, source and text hash."""
+    return rows.groupBy("id", "source", "th").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+
+
+def _same(a: str, b: str) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in ("id", "source", "th")])
+
+
+def numbered(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """`rows` (with id, source, th) plus `nth`: 0, 1, 2... among rows that share all three; `groups` are those of
+    `same_rows`, None if there are none.
+
+    Which of such rows gets which number is open, so they are numbered where they are: inside each partition, on from
+    the number of them in the partitions before. A group may fill any number of partitions.
+    """
+    if groups is None:
+        return rows.withColumn("nth", F.lit(0).cast("long"))
+    single = rows.alias("r").join(groups.alias("g"), _same("r", "g"), "left_anti").withColumn("nth", F.lit(0).cast("long"))
+    several = rows.alias("r").join(groups.alias("g"), _same("r", "g"), "left_semi").select("r.*")
+    several = staged(several.withColumns({"pid": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "mix-repeats")
+    before = several.groupBy("id", "source", "th", "pid").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("id", "source", "th").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = before.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))      # a row a group and partition
+    local = F.row_number().over(Window.partitionBy("id", "source", "th", "pid").orderBy("at")) - 1
+    placed = several.withColumn("local", local).alias("a").join(before.alias("b"), _same("a", "b") & (F.col("a.pid") == F.col("b.pid")))
+    return single.unionByName(placed.select("a.*", (F.col("a.local") + F.col("b.before")).alias("nth")).drop("pid", "at", "local"))
+
+
+def hashed(rows: DataFrame, groups: DataFrame | None, seed: int) -> DataFrame:
+    """`numbered` rows with `h`, which permutes them each by itself, and `block`."""
+    h = F.xxhash64(F.lit(seed), F.col("id").isNull(), "id", F.col("source").isNull(), "source", "th", "nth")
+    return numbered(rows, groups).withColumn("h", h).withColumn("block", F.pmod("h", F.lit(BUCKETS)).cast("int"))
+
+
+def keyed(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> list[Column]:
+    """id, source, th (a hash of the text) and size of each row."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text).alias("th"),
+            word_count(F.col(text_col)).alias("size")]
 
 
 def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
-             shards: int = 64, seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
+             shards: int = 64, shard_words: int = 20_000_000, seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
              text_col: str = "text") -> Mix | None:
-    """Settle targets, drawn blocks and shards; None for an empty table."""
+    """Settle targets, drawn blocks and shards (`shards`, or more of about `shard_words` words); None for an empty table."""
     spark = docs.sparkSession
-    rows = hashed(docs.select(F.col(id_col), F.col(source_col), F.col(text_col)), id_col, source_col, text_col, seed)
-    rows = staged(rows.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                              F.col("__size").alias("size"), "__h", "__block"), "mix-rows")
+    small = staged(docs.select(*keyed(docs, id_col, source_col, text_col)), "mix-sizes")
+    groups = staged(same_rows(small), "mix-groups")
+    groups = None if groups.isEmpty() else groups
+    rows = staged(hashed(small, groups, seed).select("id", "source", "size", F.col("h").alias("__h"), F.col("block").alias("__block")), "mix-rows")
     found = rows.groupBy("source").agg(F.sum("size").alias("n")).collect()   # one row per source
     if not found:
         return None
     found.sort(key=lambda r: (r.source is None, r.source or ""))
     sizes = [r.n for r in found]
     target = fill(sizes, [weights[i % len(weights)] for i in range(len(found))], share * sum(sizes), cap)
+    shards = max(shards, -(-int(sum(target)) // shard_words))
     passes = [min(int(cap), int(t // n)) if n else 0 for t, n in zip(target, sizes, strict=True)]
     rest = [t - p * n for t, p, n in zip(target, passes, sizes, strict=True)]
     sources = spark.createDataFrame(
@@ -151,7 +190,7 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
         lambda c: F.size(F.filter("ends", lambda e: e <= c * F.col("n") + F.col("place")))))
     listed = listed.select("source", "block", (F.col("passes") + F.col("extra")).alias("copies"), "cut",
                            F.coalesce(shard, F.array().cast("array<int>")).alias("shards"))
-    return Mix(rows, sources, listed)
+    return Mix(rows, sources, listed, groups)
 
 
 def with_copies(rows: DataFrame, mix: Mix, source: str = "source") -> DataFrame:
@@ -182,8 +221,9 @@ def _few(sources: DataFrame, most: int = 100_000) -> bool:
 
 def draw(docs: DataFrame, mix: Mix, seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
          text_col: str = "text") -> DataFrame:
-    """The mixed rows with all columns of `docs` plus `__shard` and `__order`, a row for each copy."""
-    rows = with_copies(hashed(docs, id_col, source_col, text_col, seed), mix, source_col)
-    return (rows.select(*docs.columns, "__h", F.posexplode("__shards").alias("__copy", "__shard"))
-            .withColumn("__order", F.xxhash64(F.lit(seed + 2), "__h", "__copy")).drop("__h", "__copy"))
-
+    """(row, shard, order): the mixed rows, a row for each copy; `row` is a struct of all columns of `docs`."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = hashed(docs.select(row, *keyed(docs, id_col, source_col, text_col)), mix.groups, seed)
+    rows = with_copies(rows.select("row", "source", F.col("h").alias("__h"), F.col("block").alias("__block")), mix)
+    return (rows.select("row", "__h", F.posexplode("__shards").alias("copy", "shard"))
+            .select("row", "shard", F.xxhash64(F.lit(seed + 2), "__h", "copy").alias("order")))

@@ -5,9 +5,10 @@ case, with a space at either end) that occur in it, each counted once. From labe
 ratio of a feature's smoothed share in toxic and in clean rows is taken (naive Bayes), features
 are scaled by it, and a logistic regression is fitted on the scaled features.
 
-Anything but letters and digits counts as a space. The fit sees a bounded sample: at most `per_class` labelled rows of each label, those with the
-smallest hash of their id; rows are weighted so that the classes keep their true shares. The
-labels of all training rows are counted. Scoring covers whole texts of all rows, with no shuffle;
+Anything but letters and digits counts as a space. The fit sees a bounded sample, in one executor task: at most `per_class`
+labelled rows of each label, those with the smallest hash of their id, and of these at most `sample_bytes` of features; rows
+are weighted so that the classes keep their true shares. The labels of all training rows are counted. The driver gets the
+model only. Scoring covers whole texts of all rows, with no shuffle;
 the model is two numbers per hash bucket, whatever the corpus.
 
 Cases: a null or empty text has no features and gets the score of the bias; null labels are not
@@ -18,7 +19,6 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -141,9 +141,13 @@ def fit_rows(rows: list[tuple[np.ndarray, int, float]], smooth: float = 1.0, dec
     return Model(bias, out)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic") -> Model:
-    """Learn from the labels of rows that are not held out, on at most `per_class` rows of each label."""
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, sample_bytes: int = 64 << 20, id_col: str = "doc_id",
+        text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Learn from the labels of rows that are not held out, in one task, on a sample that is bounded twice.
+
+    Of each label the `per_class` labelled ids with the smallest hash are looked up; their rows are taken in that order as
+    long as their features (4 bytes each) fit into `sample_bytes` a label, one row at least. Only the model comes back.
+    """
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
              .groupBy("id").agg(F.max("label").alias("label")))
@@ -154,21 +158,39 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, id_col: str =
     pick = [known.filter(F.col("label") == t).orderBy(F.xxhash64("id"), "id").limit(per_class) for t in (0, 1)]
     sample = F.broadcast(pick[0].unionAll(pick[1]))          # at most 2 * per_class rows
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sample, "id")
-    schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("ids", T.BinaryType())])
+    schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("h", T.LongType()), T.StructField("ids", T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for b in batches:
-            ids = [features(t.as_py()).tobytes() for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(ids, pa.binary())], names=schema.names)
-
-    got = texts.select("text", "label").mapInArrow(run, schema).toArrow()
-    rows = [(t, np.frombuffer(f.as_buffer(), np.int32)) for t, f in zip(got["label"].to_pylist(), got["ids"], strict=True)]
-    rows.sort(key=lambda r: (r[0], len(r[1]), zlib.crc32(r[1])))      # the same order whatever the partitions
-    n = {t: sum(x == t for x, _ in rows) for t in (0, 1)}
-    if not all(n.values()):
-        return Model(40.0 if n[1] else -40.0, np.zeros(1 << BITS))
-    return fit_rows([(f, t, total[t] / n[t]) for t, f in rows])
+            ids = [features(t.as_py()).tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], names=schema.names)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[np.ndarray, int]] = []
+        held = [0, 0]
+        for b in batches:
+            for t, f in zip(b.column(0).to_pylist(), b.column(2), strict=True):
+                ids = np.frombuffer(f.as_py(), np.int32)
+                if not held[t] or held[t] + ids.nbytes <= sample_bytes:
+                    rows.append((ids, t))
+                    held[t] += max(1, ids.nbytes)
+        n = [sum(t == x for _, t in rows) for x in (0, 1)]
+        if n[0] and n[1]:
+            m = fit_rows([(f, t, total[t] / n[t]) for f, t in rows])
+        else:
+            m = Model(40.0 if n[1] else -40.0, np.zeros(1 << BITS))
+        at = np.flatnonzero(m.weight)
+        yield pa.RecordBatch.from_arrays([pa.array([m.bias]), pa.array([at.tobytes()], pa.binary()), pa.array([m.weight[at].tobytes()], pa.binary())],
+                                         names=["bias", "at", "weight"])
+
+    found = texts.select("label", F.xxhash64("id").alias("h"), "text").mapInArrow(features_of, schema)
+    # one task for the sample; equal hashes go by their features, so reruns agree
+    one = found.repartition(1).sortWithinPartitions("label", "h", "ids").mapInArrow(learn, "bias double, at binary, weight binary")
+    r = one.first()
+    weight = np.zeros(1 << BITS)
+    weight[np.frombuffer(r.at, np.int64)] = np.frombuffer(r.weight)
+    return Model(r.bias, weight)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id",

@@ -3,6 +3,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from herdflow.llm.mixing import draw, fill, mix_report, plan_mix, split_quotas
 from herdflow.llm.queries import op9_mix_sources
@@ -66,7 +68,7 @@ def test_odd_sources(spark):
     out = draw(df, mix).collect()
     copies = defaultdict(list)
     for r in out:
-        copies[r.doc_id].append(r["__shard"])
+        copies[r.row.doc_id].append(r.shard)
     assert {d: sorted(v) for d, v in copies.items()} == {r.doc_id: sorted(r.shards) for r in rep if r.copies}
     assert all(0 <= x < 7 for v in copies.values() for x in v)
 
@@ -74,10 +76,36 @@ def test_odd_sources(spark):
 def test_repeated_rows_one_source_and_empty(spark):
     df = spark.createDataFrame([(1, "a b", "s")] * 4 + [(2, "c", "s")], "doc_id long, text string, source string")
     rows = mix_report(plan_mix(df)).collect()
-    assert len(rows) == 5 and len({r.taken for r in rows if r.id == 1}) == 1
+    assert len(rows) == 5 and abs(sum(r.taken for r in rows) - 13.5) <= 2       # 150% of 9 words
     assert plan_mix(df.limit(0)) is None
 
 
+@pytest.mark.parametrize("repeats", ["texts", "rows"])
+def test_shared_and_null_ids_meet_their_targets(spark, repeats):
+    """Most rows of one source share an id, all of another have none; each row is drawn by itself."""
+    text = lambda i: "w " * (i % 9 + 1) if repeats == "rows" else f"t{i} " + "w " * (i % 9)
+    docs = [(7 if i % 5 < 3 else i, text(i), "a") for i in range(3000)] + [(i, text(i), "b") for i in range(400)]
+    docs += [(None, text(i), "c") for i in range(2000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(5)
+    df = df.withColumns({c: F.lit("x") for c in ["__h", "__block", "__shard", "row", "id", "th", "nth", "h", "shard", "order", "size"]})
+    mix = plan_mix(df)
+    rows = mix_report(mix).collect()
+    assert len(rows) == len(docs)
+    target, taken, size = {r.source: r.target for r in rows}, defaultdict(int), defaultdict(int)
+    for r in rows:
+        taken[r.source] += r.taken
+        assert r.taken in (0, r.size, 2 * r.size)
+    for s in "abc":
+        assert abs(taken[s] - target[s]) <= 9
+    out = draw(df, mix)
+    assert out.schema["row"].dataType == T.StructType(df.schema.fields) or [f.name for f in out.schema["row"].dataType.fields] == df.columns
+    for r in out.collect():
+        size[r.row.source] += len(WORD.findall(r.row.text))
+    assert size == taken
+    assert sorted((str(r.id), str(r.source), r.size, r.taken) for r in rows) == sorted(
+        (str(r.id), str(r.source), r.size, r.taken) for r in mix_report(plan_mix(df.repartition(3))).collect())
+
+
 def test_tree_keeps_exact_quotas():
     q = np.array([100, 0, 7, 33])
     out = split_quotas(q, 5, 3)

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -77,3 +78,54 @@ def test_features_by_hand():
         assert np.array_equal(f(long), whole) or len(np.setdiff1d(whole, f(long))) == 0
     finally:
         toxicity.PART_CHARS = before
+
+
+def test_fit_and_scores_by_a_plain_version():
+    """Naive Bayes scales and the logistic fit, a row and a feature at a time over a dense table."""
+    rng = np.random.default_rng(8)
+    words = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot"]
+    features = toxicity.Features()
+    texts = [(" ".join(rng.choice(words[:4] if i % 3 else words[2:], 5)), int(i % 3 == 0), 1.0 + i % 2) for i in range(40)]
+    rows = [(features(t), y, w) for t, y, w in texts]
+    model = toxicity.fit_rows(rows, steps=15)
+    names = sorted({f for ids, _, _ in rows for f in ids.tolist()})
+    has = {i: set(ids.tolist()) for i, (ids, _, _) in enumerate(rows)}
+    ones, zeros = sum(y for _, y, _ in rows), sum(1 - y for _, y, _ in rows)
+    scale = {}
+    for f in names:
+        of = [sum(f in has[i] for i, r in enumerate(rows) if r[1] == y) for y in (0, 1)]
+        if sum(of) > 2:
+            scale[f] = math.log((of[1] + 1) / (ones + 2)) - math.log((of[0] + 1) / (zeros + 2))
+    used = list(scale)
+    whole = sum(w for _, _, w in rows)
+    share = sum(w * y for _, y, w in rows) / whole
+    theta = [0.0] * len(used) + [math.log(share / (1 - share))]
+    m, v = [0.0] * len(theta), [0.0] * len(theta)
+    for step in range(1, 16):
+        g = [1e-3 * t for t in theta[:-1]] + [0.0]
+        for i, (_, y, w) in enumerate(rows):
+            z = theta[-1] + sum(theta[j] * scale[f] for j, f in enumerate(used) if f in has[i])
+            err = w / whole * (1 / (1 + math.exp(-z)) - y)
+            for j, f in enumerate(used):
+                g[j] += err * scale[f] * (f in has[i])
+            g[-1] += err
+        for j, x in enumerate(g):
+            m[j], v[j] = 0.9 * m[j] + 0.1 * x, 0.99 * v[j] + 0.01 * x * x
+            theta[j] -= 0.05 * (m[j] / (1 - 0.9 ** step)) / (math.sqrt(v[j] / (1 - 0.99 ** step)) + 1e-8)
+    assert model.bias == pytest.approx(theta[-1], abs=1e-9)
+    for j, f in enumerate(used):
+        assert model.weight[f] == pytest.approx(theta[j] * scale[f], abs=1e-9)
+    scorer = toxicity.Scorer(model)
+    for i, (t, _, _) in enumerate(texts):
+        z = theta[-1] + sum(theta[j] * scale[f] for j, f in enumerate(used) if f in has[i])
+        assert scorer(t) == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    """Rows are taken in the order of their hash as long as they fit, one of each label at least; reruns agree."""
+    docs = spark.createDataFrame([(i, f"word{i} " * 3 + ("bad thing " if i % 2 else "good thing ") * 9) for i in range(120)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) toxic")
+    whole, few, one = (toxicity.fit(docs, labels, sample_bytes=n) for n in (1 << 20, 2000, 1))
+    assert few.bias != whole.bias and np.isfinite(one.bias)
+    again = toxicity.fit(docs.repartition(7), labels.repartition(3), sample_bytes=2000)
+    assert again.bias == few.bias and (again.weight == few.weight).all()
