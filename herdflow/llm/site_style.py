@@ -11,9 +11,9 @@
 3. The same is done for the paths over the distinct pages of all hosts together, which stands in where
    a host has fewer than `FEW_PAGES` distinct pages: else the smaller of the two counts, inside article
    elements the larger.
-4. Branches below `least` are cut from each page of the host, as is what its element or class names
-   as menu, header, footer, sidebar, notice, advert, form, script, style or comment. The rest is the
-   text: blocks in page order.
+4. Branches below `least` are cut from each page of the host. Kinds and names of elements (menu, header, footer,
+   sidebar, notice, advert, form, comment) are hints about what stands beside the article: they never cut an article
+   or main element or what holds it. Scripts, styles and the like have no text. The rest is the text: blocks in page order.
 
 Counts are aggregated by (host, page hash, path, text hash) and then by (host, path, text hash), so a
 host with a third of all pages is spread by its texts. Pages are read twice and never collected by host.
@@ -58,11 +58,10 @@ def observed(pages: DataFrame) -> DataFrame:
             cols: list[list] = [[] for _ in range(7)]
             for h, html in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 page = Page(html.as_py() or "")
-                up = {hash64(p): hash64(p.rpartition("/")[0]) for p, _, _ in page.blocks}
                 found = sorted(features(page))
                 key = hash64(repr(found))
                 for path, kind, feature, article in [*found, (0, PAGE, 0, False)]:
-                    for c, v in zip(cols, (h, path, up.get(path, 0), kind, feature, article, key), strict=True):
+                    for c, v in zip(cols, (h, path, page.parents.get(path, 0), kind, feature, article, key), strict=True):
                         c.append(v)
             types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
@@ -131,7 +130,7 @@ def main_text(pages: DataFrame, least: float = 0.5, id_col: str = "page_id", url
             for html, cut in zip(b.column(2), b.column(3).to_pylist(), strict=True):
                 cut = set(cut or ())
                 blocks = Page(html.as_py() or "").blocks
-                out.append("\n\n".join(t for p, _, t in blocks if not cut or hash64(p) not in cut))
+                out.append("\n\n".join(t for p, _, t in blocks if p not in cut))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string()),
                                               pa.array([len(t) for t in out], pa.int64())], names=schema.names)
 

@@ -1,5 +1,8 @@
 import html
+import math
+import random
 import re
+import time
 
 import pytest
 
@@ -42,6 +45,16 @@ CASES = [
     ("<form><input><label>no</label></form><div>\n\t two \n words\r\n</div>", ["two words"]),
     ("<p>shade of a road, adding</p><div class='shade road'>ok</div>", ["shade of a road, adding", "ok"]),
     ("<a \"unclosed>x</a> y", ["x y"]),
+    ("<body class='single has-sidebar'><article><p>x</p></article><aside>no</aside>", ["x"]),
+    ("<body><form id=aspnetForm><nav>no</nav><article><p>x</p><form>no</form></article></form>", ["x"]),
+    ("<article class='post comments-open'><p>x</p><section id=comments><article class=comment>no</article></section></article>", ["x"]),
+    ("<div class='sidebar page'><article class=comment><p>x</p></article></div><div class=menu>no</div>", ["x"]),
+    ("<main><p>x</p><section class=comments><article>no</article></section></main>", ["x"]),
+    ("<main><form><article>x</article></form></main>", ["x"]),
+    ("<div class=widget-page><p>all there is</p><nav>no</nav></div>", ["all there is"]),
+    ("<article>x<span class=share-buttons>no</span>y</article>", ["xy"]),
+    ("<script>a<b</SCRIPT >x<style>never closed <p>no", ["x"]),
+    ("<p title='a>b' class=x>one</p><p title=\"never closed>two</p><p title='c>d'>three</p>", ["one", "two", "d'>three"]),
 ]
 
 
@@ -83,3 +96,51 @@ def test_copies_keep_their_text(spark):
         got = {r.page_id: r.text for r in main_text(df).collect()}
         for i, url, _, name in rows:
             assert got[i] == (f"the long story of {name}\n\nand its end" if name else f"news {url.rpartition('/')[2]}"), url
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a \">", "<a '>", "<b>", "<x>", "</b>", "<b></i>", "<p><b>", "<div class=a>", "<li><b>", "<!-", "<", "<i><b></i>",
+                                  "<form>", "<article>", "<form><article>", "<td></td>", "<div class=menu><article>"])
+def test_broken_markup_takes_linear_time(part):
+    """A megabyte of one broken or nested thing; ten times the page takes about ten times as long."""
+    def took(n):
+        t = time.process_time()
+        Page(part * (n // len(part)) + "<p>end")
+        return time.process_time() - t
+    took(1000)
+    small, large = took(100_000), took(1_000_000)
+    assert large < 30 * max(small, 0.02)
+    assert Page(part * 1000 + "</" + "<p>end").blocks is not None
+
+
+def plain_importance(pages):
+    """The importance of every content path of one host's distinct pages, by the formulas, a path at a time."""
+    seen = {tuple(sorted((p, t) for p, _, t in x.blocks) + sorted(x.containers)): x for x in pages}.values()
+    m = len(seen)
+    out = {}
+    for path in {p for x in seen for p, _, _ in x.blocks}:
+        texts = [{t for p, _, t in x.blocks if p == path} for x in seen]
+        spread = [sum(t in of for of in texts) for t in set().union(*texts)]
+        content = sum(1 - min(1, math.log(n) / math.log(max(2, m))) for n in spread) / len(spread)
+        parent = next(x.parents[path] for x in seen if path in x.parents)
+        kinds = [{k for p, k in x.containers if p == parent} for x in seen]
+        each = [sum(k in of for of in kinds) for k in set().union(*kinds)]
+        shown = -sum(n / sum(each) * math.log(n / sum(each)) for n in each) / math.log(max(2, m)) if each else 0
+        out[path] = 0.9 * content + 0.1 * min(1, max(0, shown))
+    return out
+
+
+def test_importance_and_cuts_by_a_plain_version(spark):
+    """Blocks outside articles stay exactly where the plain importance of their path reaches one half."""
+    rng = random.Random(3)
+    def page(i):
+        parts = [f"<div class=c{j}><p>{rng.choice(['always', 'often', f'text {i}', f'text {i}', f'group {i % j if j else 0}'])}</p>"
+                 + "<ul><li>x</ul>" * (rng.random() < 0.5) + "</div>" for j in range(7)]
+        return "<body>" + "".join(parts) + "</body>"
+    html_of = [page(i) for i in range(40)]
+    read = [Page(h) for h in html_of]
+    value = plain_importance(read)
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(html_of)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(df).collect()}
+    assert 0 < sum(v < 0.5 for v in value.values()) < len(value)
+    for i, x in enumerate(read):
+        assert got[i] == "\n\n".join(t for p, _, t in x.blocks if value[p] >= 0.5)
