@@ -18,9 +18,10 @@ from herdflow.operators import quality as QC
 from herdflow.operators import repair as R
 from herdflow.operators.bands import Span, band_join
 from herdflow.plans.runs import finish_rows
-from herdflow.session import scratch_path
+from herdflow.session import hadoop_fs, scratch_path
 from herdflow.sinks.landing import land_raw, landed_in
 from herdflow.sinks.master import read_table, upsert_days, upsert_latest, write_back
+from herdflow.sources.blobs import parse_blobs, scan_raw_csv
 from herdflow.sources.snapshots import load_snapshot
 
 __all__ = ["REGISTRY"]
@@ -187,3 +188,71 @@ def q_weigh_stream(spark, d):
         s = ingest_stream(spark, f"{root}/in", bl.schema, max_files_per_trigger=1).select(*bl.columns, "_file_time")
         weigh_stream(s, f"{root}/master", f"{root}/ck{run}", lambda: A.herd_snapshots(spark, d), f"{root}/log{run}").awaitTermination()
     return read_table(spark, f"{root}/master").drop("loaded_at", "day")
+
+
+# ------------------------------------------------------------------------- file-level scans
+@register("read_raw_csv", with_ctes([f"""bl AS (
+  SELECT *, min(ts) OVER (PARTITION BY event_type, event_id // {A.BLOB_SIZE}) AS first_ts FROM events)"""], f"""
+SELECT CAST(first_ts AS DATE) AS file_date, NULLIF({A.SQL_OP_TAG}, '') AS operation_tag, CAST(event_id AS VARCHAR) AS stt, value AS weight
+FROM bl WHERE CAST(first_ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'"""))
+def q_read_raw_csv(spark, d):
+    """Blobs landed as CSV files named by their day, with a file that has no date and one without the columns, read back by a window."""
+    path = scratch_path(spark, "raw_csv")
+    bl = A.blobs(spark, d).withColumn("day", F.substring("createdAt", 1, 10))
+    bl.write.partitionBy("day").option("header", True).option("escape", '"').csv(f"{path}/days")
+    bl.limit(0).select("id").coalesce(1).write.option("header", True).csv(f"{path}/bad")
+    _named(spark, path)
+    rows = scan_raw_csv(spark, f"{path}/files", "2024-01-10", "2024-01-20").rows
+    return parse_blobs(rows, keep=("file_date",)).select("file_date", "operation_tag", "stt", "weight")
+
+
+@register("raw_csv_files", f"""
+SELECT status, CAST(count(*) AS BIGINT) AS n_files FROM (
+  SELECT CASE WHEN d BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' THEN 'read' ELSE 'outside' END AS status
+  FROM (SELECT DISTINCT CAST(min(ts) AS DATE) AS d FROM events GROUP BY event_type, event_id // {A.BLOB_SIZE})
+  UNION ALL SELECT 'undated' UNION ALL SELECT 'unreadable') GROUP BY status""")
+def q_raw_csv_files(spark, d):
+    """What became of each file of that folder."""
+    path = scratch_path(spark, "raw_csv")
+    bl = A.blobs(spark, d).withColumn("day", F.substring("createdAt", 1, 10)).repartition("day")
+    bl.write.partitionBy("day").option("header", True).option("escape", '"').csv(f"{path}/days")
+    bl.limit(0).select("id").coalesce(1).write.option("header", True).csv(f"{path}/bad")
+    _named(spark, path)
+    return scan_raw_csv(spark, f"{path}/files", "2024-01-10", "2024-01-20").files.groupBy("status").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def _named(spark, path: str) -> None:
+    """Move written parts to files that carry their day in the name, as landed ones do."""
+    jvm, fs = hadoop_fs(spark, path)
+    at = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(at(f"{path}/files"))
+    for folder in fs.listStatus(at(f"{path}/days")):
+        day = folder.getPath().getName().partition("=")[2]
+        for i, part in enumerate(p for p in fs.listStatus(folder.getPath()) if p.getPath().getName().endswith(".csv")) if day else ():
+            fs.rename(part.getPath(), at(f"{path}/files/raw_A_{i}_direct_{day}.csv"))
+    part = next(p for p in fs.listStatus(at(f"{path}/bad")) if p.getPath().getName().endswith(".csv"))
+    fs.rename(part.getPath(), at(f"{path}/files/raw_A_direct_2024-01-11.csv"))
+    out = fs.create(at(f"{path}/files/raw_A_undated.csv"), True)
+    out.write(bytearray(b"id,operationTag,createdAt,file\n"))
+    out.close()
+
+
+# ------------------------------------------------------------------- last row of an id in a stream
+@register("stream_last_per_id", """
+SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN value + 1000 ELSE value END AS value, false AS late FROM events
+UNION ALL SELECT event_id, value + 5000, true FROM events WHERE ts < TIMESTAMP '2024-01-06'""")
+def q_stream_last_per_id(spark, d):
+    """The last row of each id over three landings: the second corrects rows within the lateness, the third rows beyond it."""
+    from herdflow.streaming.last import last_per_id, read_last
+    from herdflow.streaming.streams import ingest_stream
+    root = scratch_path(spark, "stream")
+    e = A.table(spark, d, "events").select("event_id", "ts", "value")
+    at = lambda day: F.lit(day).cast("timestamp_ntz")
+    lands = [e, e.where(F.col("ts") >= at("2024-01-15")).withColumn("value", F.col("value") + 1000),
+             e.where(F.col("ts") < at("2024-01-06")).withColumn("value", F.col("value") + 5000)]
+    for i, rows in enumerate(lands):
+        rows.write.parquet(f"{root}/in/part={i}")
+        s = ingest_stream(spark, f"{root}/in", e.schema).select("event_id", "ts", "value")
+        last_per_id(s, ["event_id"], "ts", f"{root}/last", f"{root}/late", f"{root}/ck", "16 days").awaitTermination()
+    last = read_last(spark, f"{root}/last", ["event_id"], "ts").select("event_id", "value", F.lit(False).alias("late"))
+    return last.unionAll(spark.read.parquet(f"{root}/late").select("event_id", "value", F.lit(True).alias("late")))

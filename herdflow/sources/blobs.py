@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from herdflow.functions.blob import is_valid_line, normalize_newlines, parse_weigh_line
 from herdflow.functions.dates import file_date
 from herdflow.schemas import PARSED_BLOB_SCHEMA
+from herdflow.sources.files import FileScan, scan_csv
 
 RAW_BLOB_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -63,16 +64,15 @@ def read_raw_blobs(spark: SparkSession, path: str, date_from=None, date_to=None,
     return df
 
 
+def scan_raw_csv(spark: SparkSession, path: str, date_from=None, date_to=None, schema: T.StructType = RAW_BLOB_SCHEMA) -> FileScan:
+    """Raw CSV files whose *name* carries the date. Files outside ``[from, to]`` or without a date are not opened; files
+    without the columns of a blob are left out. The scan's `files` says what became of each."""
+    found = scan_csv(spark, path, schema, ["operationTag", "file"], "*.csv", file_date("name"), date_from, date_to, keep_date=True,
+                     multiLine=True, escape='"')
+    return FileScan(found.rows, found.files)
+
+
 def read_raw_csv(spark: SparkSession, path: str, date_from=None, date_to=None,
                  schema: T.StructType = RAW_BLOB_SCHEMA) -> DataFrame:
-    """Raw CSV files whose *name* carries the date; files outside ``[from, to]`` or without
-    a date are skipped through a filter on the file-name metadata column."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').csv(path))
-    fd = file_date(F.col("_metadata.file_name"))
-    df = df.withColumn("file_date", fd).where(F.col("file_date").isNotNull())
-    if date_from is not None:
-        df = df.where(F.col("file_date") >= F.lit(date_from).cast("date"))
-    if date_to is not None:
-        df = df.where(F.col("file_date") <= F.lit(date_to).cast("date"))
-    return df
+    """The rows of `scan_raw_csv` with their ``file_date``."""
+    return scan_raw_csv(spark, path, date_from, date_to, schema).rows

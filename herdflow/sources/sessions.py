@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from herdflow.functions.text import session_id
+from herdflow.session import hadoop_fs
+from herdflow.sources.files import FileScan, scan_csv
 
 SESSION_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
                                    ["session_id", "session_name", "date", "time", "ear_tag", "weight",
@@ -71,15 +73,31 @@ def deletable(listing: DataFrame, landed: DataFrame, href_col: str = "href",
     return lst.join(ids, "session_id", "left_semi")
 
 
-def read_sessions(spark, path: str, date_from=None, date_to=None,
-                  schema: T.StructType = SESSION_CSV_SCHEMA) -> DataFrame:
-    """Landed session CSVs (all text) with ``date_from <= date <= date_to`` compared as
-    ``YYYY-MM-DD`` text. Empty fields read as null (as a text reader treats a missing
-    value). Files whose name starts with ``_`` or ``.`` are skipped by the reader; with a
-    layout partitioned by date the window prunes whole directories."""
-    df = spark.read.schema(schema).option("header", True).csv(path).select(*schema.names)
+def scan_sessions(spark, path: str, date_from=None, date_to=None, schema: T.StructType = SESSION_CSV_SCHEMA) -> FileScan:
+    """Landed session CSVs (all text) with ``date_from <= date <= date_to`` compared as ``YYYY-MM-DD`` text. Empty fields
+    read as null. Files whose name starts with ``_`` or ``.`` are skipped by the reader, files whose header lacks the
+    session's columns are left out and reported. In a layout of ``date=...`` folders, those outside the window are not opened."""
+    foldered = any(n.startswith("date=") for n in _folders(spark, path))
+    day = F.to_date(F.regexp_extract("path", r"/date=(\d{4}-\d{2}-\d{2})/", 1)) if foldered else None
+    required = [c for c in ("session_id", "date", "ear_tag", "weight") if not (foldered and c == "date")]
+    own = T.StructType([f for f in schema.fields if not (foldered and f.name == "date")])
+    found = scan_csv(spark, path, own, required, "*.csv", day, date_from, date_to)
+    df = found.rows
+    if foldered:
+        df = df.withColumn("date", F.col("date").cast("string") if "date" in df.columns else F.lit(None).cast("string"))
+    df = df.select(*schema.names)
     if date_from is not None:
         df = df.where(F.col("date") >= F.lit(str(date_from)))
     if date_to is not None:
         df = df.where(F.col("date") <= F.lit(str(date_to)))
-    return df
+    return FileScan(df, found.files)
+
+
+def read_sessions(spark, path: str, date_from=None, date_to=None, schema: T.StructType = SESSION_CSV_SCHEMA) -> DataFrame:
+    """The rows of `scan_sessions`."""
+    return scan_sessions(spark, path, date_from, date_to, schema).rows
+
+
+def _folders(spark, path: str) -> list[str]:
+    jvm, fs = hadoop_fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)) if s.isDirectory()]
