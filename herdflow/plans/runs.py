@@ -8,6 +8,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,14 @@ def counted_tail(rows: DataFrame, herd: DataFrame | None, loaded_at, low: float
     return conform(r, loaded_at).where(F.col("weight_kg").between(low, high)), obs
 
 
+def _observed(obs: Observation) -> dict[str, int]:
+    """What the pass counted; where the planner saw that there are no rows it took the count away with the plan."""
+    try:
+        return dict(obs.get)
+    except Py4JJavaError:
+        return dict.fromkeys(("rows", "matched", "outside_range", "new"), 0)
+
+
 def finish_rows(rows: DataFrame, herd: DataFrame | None, label: str, loaded_at, master_path: str, write: bool = True) -> Run:
     """Tail, upsert and gate of parsed rows, in one pass over them.
 
@@ -73,7 +82,7 @@ def finish_rows(rows: DataFrame, herd: DataFrame | None, label: str, loaded_at,
     done = upsert_days(tail, master_path, write=write)
     if not write:
         tail.write.format("noop").mode("overwrite").save()      # the pass that a dry run's counts come from
-    counts = dict(obs.get)
+    counts = _observed(obs)
     if not counts["rows"]:
         return Run("failed", done.table, counts, "skipped", label)
     counts["master"] = done.table.count() if write else counts["new"]

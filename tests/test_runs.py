@@ -86,3 +86,63 @@ def test_month_bundle_dry_run(spark, herd):
     frames, name = month_bundle(m, herd, dt.date(2022, 9, 1), dt.date(2022, 9, 30), path, raw={"ptm": m}, produced_at="x", write=False)
     assert not os.path.exists(path.removeprefix("file:")) and name == "clean_re_outlier"
     assert {r["stage"]: r["n"] for r in frames["stage_counts"].collect()} == {"raw_ptm": 2, "clean_csv": 2, "clean_re_outlier": 1}
+
+
+def _weigh(spark, rows):
+    import datetime as dt
+    day = dt.date(2024, 5, 3)
+    return spark.createDataFrame([("PTM", "CIMA1", day, "07:00", tag, w) for tag, w in rows],
+                                 "source string, device string, date date, time string, ear_tag string, weight double")
+
+
+def _herd(spark, n):
+    import datetime as dt
+    return spark.createDataFrame([(str(i), str(1000 + i), "g", 900, 30, 2, dt.date(2024, 5, 1)) for i in range(n)],
+                                 "transp_2 string, no string, group_name string, age_days int, dim int, lac_no int, date date")
+
+
+def test_gate_sees_the_rows_after_the_merge(spark):
+    """40 rows, 10 with an animal; the 30 others fall to the range filter, after the gate."""
+    from herdflow.operators.quality import join_rate_gate
+    from herdflow.plans.runs import finish_rows
+    from herdflow.session import scratch_path
+    rows = _weigh(spark, [(str(i + 1), 400.0) for i in range(10)] + [(f"x{i}", 5000.0) for i in range(30)])
+    run = finish_rows(rows, _herd(spark, 11), "db_latest", "2024-06-01 06:00:00", scratch_path(spark, "t-gate"))
+    assert (run.status, run.join_rate, run.days) == ("completed", "alert", ["2024-05-03"])
+    assert {k: run.counts[k] for k in ("rows", "matched", "outside_range", "new", "master")} == {
+        "rows": 40, "matched": 10, "outside_range": 30, "new": 10, "master": 10}
+    assert join_rate_gate(run.table, min_rows=1).first()["status"] == "ok"
+
+
+def test_nothing_left_after_cleaning_fails_and_dry_run_counts(spark):
+    from herdflow.plans.runs import finish_rows
+    from herdflow.session import path_exists, scratch_path
+    path = scratch_path(spark, "t-fail")
+    run = finish_rows(_weigh(spark, [("", 400.0), ("nan", 400.0), (None, 1.0)]), _herd(spark, 2), "none", "2024-06-01 06:00:00", path)
+    assert run.status == "failed" and run.counts["rows"] == 0 and run.table.count() == 0
+    dry_path = scratch_path(spark, "t-dry")
+    dry = finish_rows(_weigh(spark, [("1", 400.0), ("7", 30.0)]), _herd(spark, 2), "none", "2024-06-01 06:00:00", dry_path, write=False)
+    assert (dry.status, dry.counts["rows"], dry.counts["matched"], dry.counts["new"]) == ("completed", 2, 1, 1)
+    assert not path_exists(spark, dry_path)
+
+
+def test_stream_logs_each_batch_and_replays(spark):
+    from herdflow.session import scratch_path
+    from herdflow.sinks.master import read_table
+    from herdflow.streaming.jobs import weigh_stream
+    from herdflow.streaming.streams import ingest_stream
+    root = scratch_path(spark, "t-wstream")
+    kind = "id string, device string, operationTag string, createdAt string, file string"
+    files = ["1; 400,5;TR:1;03/05/2024;07:00;S\n2; 30,0;TR:9;03/05/2024;07:01;S", "no lines here", "1; 410,0;TR:1;03/05/2024;06:00;S"]
+    for i, text in enumerate(files):
+        spark.createDataFrame([(str(i), "CIMA1", "op", "2024-05-03T08:00:00", text)], kind).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        s = ingest_stream(spark, f"{root}/in", spark.createDataFrame([], kind).schema, max_files_per_trigger=1)
+        weigh_stream(s, f"{root}/master", f"{root}/ck", lambda: _herd(spark, 2), f"{root}/log").awaitTermination()
+    log = {r["epoch"]: r for r in spark.read.parquet(f"{root}/log").collect()}
+    assert [(r["status"], r["rows"], r["matched"], r["new"]) for _, r in sorted(log.items())] == [
+        ("completed", 2, 1, 1), ("failed", 0, 0, 0), ("completed", 1, 1, 1)]
+    got = [(r["ear_tag"], r["weight_kg"]) for r in read_table(spark, f"{root}/master").collect()]
+    assert got == [("1", 410.0)]                 # the later file wins, though its line is earlier in the day
+    s = ingest_stream(spark, f"{root}/in", spark.createDataFrame([], kind).schema, max_files_per_trigger=1)
+    weigh_stream(s, f"{root}/master", f"{root}/ck2", lambda: _herd(spark, 2), f"{root}/log2").awaitTermination()
+    assert [(r["ear_tag"], r["weight_kg"]) for r in read_table(spark, f"{root}/master").collect()] == got
