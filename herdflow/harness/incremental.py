@@ -52,8 +52,9 @@ def q_band_join_many(spark, d):
     bands = A.table(spark, d, "part").select(F.col("p_partkey").alias("b_id"), (F.col("p_retailprice") - half).alias("b_low"),
                                              (F.col("p_retailprice") + half).alias("b_high"))
     items = A.table(spark, d, "lineitem").select("l_orderkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit"))
-    met = band_join(items, bands, (F.col("unit") >= F.col("b_low")) & (F.col("unit") < F.col("b_high")), [Span("unit", "b_low", "b_high")])
-    return met.groupBy(F.col("b_id").alias("band")).agg(F.count(F.lit(1)).alias("n"), F.max("l_orderkey").alias("last_order"))
+    met = band_join(items, bands, None, [Span("unit", "b_low", "b_high", high_in=False)],
+                    {"n": ("count", None), "last_order": ("max", "l_orderkey")})
+    return met.groupBy(F.col("b_id").alias("band")).agg(F.sum("n").alias("n"), F.max("last_order").alias("last_order"))
 
 
 # ---------------------------------------------------------------- day states and month tables

@@ -3,6 +3,7 @@
 A row meets every band whose bounds hold its value, in an equi-join on bins (`band_join`), so a band
 table may have three rows or millions and its bands may overlap at will. Overlapping bands count a row
 in each band that contains it; bands without rows are still reported (bands left-join the aggregates).
+Where only totals of each band are asked for, no pair is made: bands add up the totals of runs of values.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdflow.schemas import MONTHLY_THRESHOLD, WEEK_THRESHOLDS, monthly_bands, weekly_bands
+from herdflow.session import staged
 from herdflow.sources.snapshots import pick_snapshot, snapshot_date
 
 
@@ -24,12 +26,15 @@ def prefixed(bands: DataFrame, prefix: str = "b_") -> DataFrame:
 @dataclass(frozen=True)
 class Span:
     """The range of a band join: a row's `value` against the bands' `low` and `high` columns, both bounds
-    inclusive or not as the join's condition says. `bands` picks the bands it is for (all without one)."""
+    inclusive or not as the join's condition says; where there is none, as `low_in` and `high_in` say.
+    `bands` picks the bands it is for (all without one)."""
 
     value: str
     low: str
     high: str
     bands: str | None = None
+    low_in: bool = True
+    high_in: bool = True
 
 
 #: Exponents of the widths of bins. A band wider than the last, or without an end, has one bin for all values.
@@ -67,7 +72,8 @@ def _span_join(df: DataFrame, bands: DataFrame, span: Span, cond: Column) -> Dat
     return keyed.join(binned, (F.col("_l") == F.col("_level")) & (F.col("_b") == F.col("_bin")) & cond).drop("_l", "_b", "_level", "_bin")
 
 
-def band_join(df: DataFrame, bands: DataFrame, cond: Column, spans: list[Span]) -> DataFrame:
+def band_join(df: DataFrame, bands: DataFrame, cond: Column | None, spans: list[Span],
+              totals: dict[str, tuple[str, str | None]] | None = None) -> DataFrame:
     """Every (row, band) pair whose condition holds, each once; `bands` carry the prefix ``b_``.
 
     Each band belongs to one of the `spans`, and `cond` must hold only between its bounds. A band is put
@@ -75,14 +81,87 @@ def band_join(df: DataFrame, bands: DataFrame, cond: Column, spans: list[Span])
     of each width there is; they are joined by equality of (width, bin) and `cond` is tested on the pairs.
     So the join is a hash or sort-merge join: nothing is refused or broadcast by assumption, and a bin that
     many rows share can be split. Bands with a null bound and rows with a null value (or NaN) have no pairs.
+
+    With `totals` (name -> ("count" | "sum" | "min" | "max", column of `df`)) and no `cond`, every band that has
+    pairs comes once, with the totals of its rows, and no pair is made (`_span_totals`): the work grows with rows
+    and bands, not with the pairs, of which many wide bands over many rows have the product.
     """
+    if totals is not None and cond is not None:
+        raise ValueError("totals take the rows between the bounds: leave the condition out")
     out = None
     for span in spans:
-        part = _span_join(df, bands, span, cond)
+        part = _span_join(df, bands, span, cond) if totals is None else _span_totals(df, bands, span, totals)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+#: Neighbouring runs of values that one run of the next level holds, as a power of two.
+RUN_BITS = 2
+
+
+def _merged(totals: dict[str, tuple[str, str | None]]) -> list[Column]:
+    """Totals of totals."""
+    return [getattr(F, "sum" if kind == "count" else kind)(name).alias(name) for name, (kind, _) in totals.items()]
+
+
+def _span_totals(df: DataFrame, bands: DataFrame, span: Span, totals: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """The bands of the span with the totals of their rows.
+
+    Distinct values and distinct bounds are sorted together, which gives each its place. Runs of 1, 4, 16, ... places
+    have the totals of their values; the places between a band's bounds are cut into the longest such runs, at
+    most six of a length, and these are joined by equality. So a band costs the logarithm of the places.
+    """
+    low, high = F.col(span.low), F.col(span.high)
+    own = (bands if span.bands is None else bands.where(span.bands)).where(low <= high)
+    ranges = own.select(low.alias("_low"), high.alias("_high")).distinct()
+    value = F.col(span.value)
+    first = [(F.count(F.lit(1)) if kind == "count" else getattr(F, kind)(of)).alias(name) for name, (kind, of) in totals.items()]
+    values = df.where(value.isNotNull() & ~F.isnan(value.cast("double"))).groupBy(value.alias("_at")).agg(*first)
+    # at one value: bounds before it, the value, bounds after it
+    edges = (ranges.select(F.col("_low").alias("_at"), F.lit(0 if span.low_in else 2).alias("_side"))
+             .unionAll(ranges.select("_high", F.lit(2 if span.high_in else 0))).distinct())
+    points = values.withColumn("_side", F.lit(1)).unionByName(edges, allowMissingColumns=True)
+    points = staged(points, "band-points").repartitionByRange("_at", "_side").sortWithinPartitions("_at", "_side")
+    points = staged(points.withColumn("_id", F.monotonically_increasing_id()), "band-places")
+    part = F.shiftright("_id", 33)
+    starts, n = [], 0
+    for r in sorted(points.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()):     # a row a partition
+        starts.append((r["p"], n))
+        n += r["n"]
+    starts = df.sparkSession.createDataFrame(starts, "_part long, _start long")
+    placed = (points.withColumn("_part", part).join(F.broadcast(starts), "_part")
+              .withColumn("_place", F.col("_start") + F.col("_id").bitwiseAND((1 << 33) - 1)))
+    ends = placed.where("_side <> 1").select("_at", "_side", "_place")
+
+    def end(side: int, bound: str, name: str) -> DataFrame:
+        return ends.where(F.col("_side") == side).select(F.col("_at").alias(bound), F.col("_place").alias(name))
+
+    cut = (ranges.join(end(0 if span.low_in else 2, "_low", "_a"), "_low").join(end(2 if span.high_in else 0, "_high", "_b"), "_high"))
+
+    single = placed.where("_side = 1").select(F.lit(0).alias("_level"), F.col("_place").alias("_run"), *totals)
+    runs = staged(single.groupBy(F.shiftright("_run", RUN_BITS).alias("_run")).agg(*_merged(totals)), "band-runs")
+    top = max(1, -(-n.bit_length() // RUN_BITS))
+    levels = F.explode(F.sequence(F.lit(1), F.lit(top))).alias("_level")
+    higher = (runs.select(levels, "*").withColumn("_run", F.expr(f"shiftright(_run, {RUN_BITS} * (_level - 1))"))
+              .groupBy("_level", "_run").agg(*_merged(totals)))
+
+    def pieces(k: int) -> Column:
+        """The runs of level k that runs of the next do not hold."""
+        up = lambda k: F.shiftright(F.col("_a") + ((1 << RUN_BITS * k) - 1), RUN_BITS * k)
+        down = lambda k: F.shiftright("_b", RUN_BITS * k)                                    # noqa: E731
+        between = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+        a, b, a2, b2 = up(k), down(k), up(k + 1), down(k + 1)
+        both = F.concat(between(a, F.shiftleft(a2, RUN_BITS)), between(F.shiftleft(b2, RUN_BITS), b))
+        return F.transform(F.when(a2 < b2, both).otherwise(between(a, b)), lambda r: F.struct(F.lit(k).alias("_level"), r.alias("_run")))
+
+    held = cut.select("_low", "_high", F.inline(F.concat(*[pieces(k) for k in range(top + 1)])))
+    # values and their runs apart: only the lowest level is as long as the table
+    met = (held.where("_level = 0").join(single, ["_level", "_run"])
+           .unionByName(held.where("_level > 0").join(higher, ["_level", "_run"])))
+    found = met.groupBy("_low", "_high").agg(*_merged(totals))
+    return own.join(found, (low == F.col("_low")) & (high == F.col("_high"))).drop("_low", "_high")
+
+
 def band_count(snapshot: DataFrame, bands: DataFrame, cond: Column, spans: list[Span], out: str = "baseline") -> DataFrame:
     """Headcount per band (``b_label``) on one snapshot; empty bands get 0."""
     agg = band_join(snapshot, bands, cond, spans).groupBy("b_label").agg(F.count(F.lit(1)).alias(out))

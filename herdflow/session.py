@@ -11,7 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job relies on; a cluster-provided session keeps its own values.
 DEFAULT_CONF = {
@@ -80,6 +80,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}herdflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once to the shared scratch folder and read back, so that several readers do not repeat the work above it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for os-level checks on local paths."""
     return path[5:] if path.startswith("file:") else path

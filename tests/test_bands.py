@@ -133,3 +133,39 @@ def test_bands_of_different_spans(spark):
     cond = F.when(F.col("b_type") == "a", F.col("v").between(F.col("b_lo"), F.col("b_hi"))).otherwise(F.col("w").between(F.col("b_from"), F.col("b_to")))
     spans = [Span("v", "b_lo", "b_hi", "b_type = 'a'"), Span("w", "b_from", "b_to", "NOT (b_type <=> 'a')")]
     assert [tuple(r) for r in _pairs(df, bands, cond, spans)] == [(1, 1), (1, 2), (1, 3), (2, 3), (3, 2), (3, 3), (4, 1)]
+
+
+def test_totals_of_bands_without_their_pairs(spark):
+    """The same bands and values as totals, against plain Python; the rows that any join makes grow with rows and bands only."""
+    rng = random.Random(10)
+    inf, nan = float("inf"), float("nan")
+    bands = [(i, lo, lo + rng.choice([0.0, 1e-9, 0.3, 7.0, 500.0, 1e7])) for i, lo in enumerate(rng.uniform(-100, 100) for _ in range(900))]
+    bands += [(901, -inf, inf), (902, 5.0, inf), (903, None, 5.0), (904, 9.0, 3.0), (905, 1e15, 2e15), (906, 0.0, 0.0), (907, -inf, -50.0)]
+    bands += [(908, 0.0, nan), (None, 1.0, 2.0), (7, 1.0, 2.0), (7, 1.0, 2.0), (909, -0.0, 0.0)]
+    values = [rng.uniform(-150, 600) for _ in range(150)] + [b[1] for b in bands[:40]] + [b[2] for b in bands[:40]] + [1.0, 1.0, 2.0, 2.0, 1.5]
+    values += [None, nan, inf, -inf, 0.0, -0.0, 1.5e15, 1e300, 5.0]
+    rows = [(None if i % 7 == 0 else i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "x int, v double")
+    b = spark.createDataFrame(bands, "b_id int, b_lo double, b_hi double")
+    totals = {"n": ("count", None), "top": ("max", "x"), "least": ("min", "x"), "whole": ("sum", "x")}
+    below = lambda v, hi, closed: hi != hi or (v <= hi if closed else v < hi)
+    for low_in, high_in in ((True, True), (True, False), (False, True), (False, False)):
+        want = []
+        for i, lo, hi in bands:
+            met = [x for x, v in rows if lo is not None and v is not None and v == v and (lo <= v if low_in else lo < v) and below(v, hi, high_in)]
+            some = [x for x in met if x is not None]
+            if met and (hi != hi or lo <= hi):
+                want.append((i, len(met), max(some, default=None), min(some, default=None), sum(some) if some else None))
+        got = band_join(df, b, None, [Span("v", "b_lo", "b_hi", low_in=low_in, high_in=high_in)], totals)
+        assert sorted(map(tuple, got.select("b_id", *totals).collect()), key=str) == sorted(want, key=str)
+    spans = [Span("v", "b_lo", "b_hi")]
+    assert band_join(df, b.limit(0), None, spans, totals).collect() == []
+    assert band_join(df.limit(0), b, None, spans, totals).collect() == []
+
+
+def test_every_row_in_every_band_makes_no_pairs(spark):
+    """20,000 bands around 20,000 rows have 400,000,000 pairs."""
+    df = spark.range(20_000).select("id", F.col("id").cast("double").alias("v"))
+    b = spark.range(20_000).select(F.col("id").alias("b_id"), (-F.col("id") - 1).cast("double").alias("b_lo"), (F.col("id") + 20_000).cast("double").alias("b_hi"))
+    got = band_join(df, b, None, [Span("v", "b_lo", "b_hi")], {"n": ("count", None), "top": ("max", "id")})
+    assert got.agg(F.count("*"), F.min("n"), F.max("n"), F.min("top")).first() == (20_000, 20_000, 20_000, 19_999)
