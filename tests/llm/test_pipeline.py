@@ -100,6 +100,20 @@ def test_groups_keep_one_row_whatever_the_ids(spark):
     assert corpus_pipeline.drop_near_copies(spark, df.limit(0), "").collect() == []
 
 
+def test_near_copies_by_the_texts_given_and_by_the_whole_texts(spark, tmp_path):
+    """What an earlier stage has cut counts: rows that differed in cut lines are near copies now, and copies whose
+    shared lines were cut from one of them still are."""
+    words = lambda s, n: " ".join(f"{s}{i}" for i in range(n))
+    body, long = words("b", 80), words("w", 200)
+    whole = [(1, body + "\n" + words("x", 90), "a", "s", 0), (2, body.replace("b40", "other") + "\n" + words("y", 90), "a", "s", 0),
+             (3, long, "a", "s", 0), (4, long + " more", "a", "s", 0), (5, words("z", 70), "a", "s", 0)]
+    spark.createDataFrame(whole, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    given = {1: body, 2: body.replace("b40", "other"), 3: long, 4: "w1 more", 5: words("z", 70)}
+    docs = spark.createDataFrame([(d, given[d], x, s, n) for d, _, x, s, n in whole], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, given[1]), (3, given[3]), (5, given[5])]
+
+
 def test_mixed_to_targets(steps):
     docs = steps[3].collect()
     size = {r.doc_id: len(WORD.findall(r.text or "")) for r in docs}
