@@ -87,25 +87,50 @@ def join_rate_gate(df: DataFrame, threshold: float = JOIN_RATE_MIN,
 
 
 def profile_change(df: DataFrame, after: dict[str, Column], nan_text: str = "nan") -> DataFrame:
-    """What a normalisation does to columns: a row a column, from one aggregate over the pairs (before, after).
+    """What a normalisation does to columns: a row a column, from one pass over the pairs (before, after).
 
     Nulls and `nan_text` texts before and after; `n_changed` rows whose value differs (null-safe) and those of them that are
     `n_newly_null`; distinct values before and after, and `n_newly_equal`, how many values fall together with another.
+
+    The values of all columns go into one aggregate by (column, side, value), which is shuffled by value, and the totals are
+    taken from its rows. Rows are spread evenly first, so no task holds the distinct values of more than its share.
     """
-    def stats(c: str) -> dict[str, Column]:
+    types = {c: (df.schema[c].dataType, df.select(a.alias("a")).schema["a"].dataType) for c, a in after.items()}
+    kinds = sorted({t.simpleString() for pair in types.values() for t in pair})
+
+    def entry(c: str, side: int) -> Column:
         b, a = _c(c), after[c]
-        return {
-            "nulls_before": F.count_if(b.isNull()), "nulls_after": F.count_if(a.isNull()),
-            "nan_text_before": F.count_if(F.lower(strip_ws(b.cast("string"))) == nan_text),
-            "nan_text_after": F.count_if(F.lower(strip_ws(a.cast("string"))) == nan_text),
-            "n_changed": F.count_if(~b.eqNullSafe(a)), "n_newly_null": F.count_if(b.isNotNull() & a.isNull()),
-            "distinct_before": F.count_distinct(b), "distinct_after": F.count_distinct(a),
-            "n_newly_equal": F.count_distinct(F.when(a.isNotNull(), b)) - F.count_distinct(F.when(b.isNotNull(), a)),
-        }
-
-    each = {c: stats(c) for c in after}
-    names = list(next(iter(each.values())))
-    return _per_column(df, list(after), {n: lambda c, n=n: each[c][n] for n in names})
+        own, other = (b, a) if side == 0 else (a, b)
+        is_nan = F.coalesce(F.lower(strip_ws(own.cast("string"))) == nan_text, F.lit(False))
+        values = [(own if types[c][side].simpleString() == k else F.lit(None).cast(k)).alias(f"v{i}") for i, k in enumerate(kinds)]
+        return F.struct(F.lit(f"{side}{c}").alias("of"), *values, own.isNull().alias("null"), is_nan.alias("nan"),
+                        other.isNotNull().alias("paired"), (~b.eqNullSafe(a)).alias("changed"))
+
+    entries = df.hint("rebalance").select(F.inline(F.array(*[entry(c, side) for c in after for side in (0, 1)])))
+    found = entries.groupBy("of", *[f"v{i}" for i in range(len(kinds))], "null").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("nan").alias("n_nan"), F.count_if("changed").alias("n_changed"),
+        F.count_if("paired").alias("n_paired"))
+
+    def total(side: int, n: str, cond: Column | None = None) -> Callable[[str], Column]:
+        def fn(c: str) -> Column:
+            of = F.col("of") == f"{side}{c}"
+            return F.coalesce(F.sum(F.when(of if cond is None else of & cond, F.col(n))), F.lit(0))
+        return fn
+
+    def distinct(side: int, paired: bool = False) -> Callable[[str], Column]:
+        def fn(c: str) -> Column:
+            of = (F.col("of") == f"{side}{c}") & ~F.col("null")
+            return F.count_if(of & (F.col("n_paired") > 0) if paired else of)
+        return fn
+
+    null = F.col("null")
+    return _per_column(found, list(after), {
+        "nulls_before": total(0, "n", null), "nulls_after": total(1, "n", null),
+        "nan_text_before": total(0, "n_nan"), "nan_text_after": total(1, "n_nan"),
+        "n_changed": total(0, "n_changed"), "n_newly_null": total(1, "n_paired", null),
+        "distinct_before": distinct(0), "distinct_after": distinct(1),
+        "n_newly_equal": lambda c: distinct(0, True)(c) - distinct(1, True)(c),
+    })
 
 
 def probe(spark: SparkSession, paths: dict[str, str]) -> DataFrame:

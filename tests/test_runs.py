@@ -146,3 +146,29 @@ def test_stream_logs_each_batch_and_replays(spark):
     s = ingest_stream(spark, f"{root}/in", spark.createDataFrame([], kind).schema, max_files_per_trigger=1)
     weigh_stream(s, f"{root}/master", f"{root}/ck2", lambda: _herd(spark, 2), f"{root}/log2").awaitTermination()
     assert [(r["ear_tag"], r["weight_kg"]) for r in read_table(spark, f"{root}/master").collect()] == got
+
+
+def test_profile_change_by_value(spark):
+    """Each number by plain Python, for columns of several types; no aggregate over copies of the rows for each distinct count."""
+    from herdflow.operators.quality import profile_change
+    values = [None, " NaN ", "nan", "1", "01", "001", "2", "02", "x", "", "1"]
+    data = [(v, i % 4 if i % 5 else None, float("nan") if i == 3 else float(i % 3)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "t string, `a.b` int, f double").repartition(3)
+    after = {"t": F.expr("try_cast(t AS int)").cast("string"), "a.b": F.when(F.col("`a.b`") < 3, F.col("`a.b`").cast("long")), "f": F.when(F.col("f") > 0, F.lit(1.0))}
+    out = profile_change(df, after)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    as_int = lambda v: str(int(v)) if v and v.strip().isdigit() else None
+    same = lambda v: "nan" if isinstance(v, float) and v != v else v
+    pairs = {"t": [(t, as_int(t)) for t, _, _ in data], "a.b": [(i, i if i is not None and i < 3 else None) for _, i, _ in data],
+             "f": [(same(f), 1.0 if f != f or f > 0 else None) for _, _, f in data]}
+    found = {r["column"]: r for r in out.collect()}
+    for c, ps in pairs.items():
+        text = lambda v: v is not None and str(v).strip().lower() == "nan"
+        want = {"nulls_before": sum(b is None for b, _ in ps), "nulls_after": sum(a is None for _, a in ps),
+                "nan_text_before": sum(text(b) for b, _ in ps), "nan_text_after": sum(text(a) for _, a in ps), "n_changed": sum(b != a for b, a in ps),
+                "n_newly_null": sum(b is not None and a is None for b, a in ps),
+                "distinct_before": len({b for b, _ in ps if b is not None}), "distinct_after": len({a for _, a in ps if a is not None}),
+                "n_newly_equal": len({b for b, a in ps if b is not None and a is not None}) - len({a for b, a in ps if b is not None and a is not None})}
+        assert {k: found[c][k] for k in want} == want, c
+    empty = {r["column"]: r for r in profile_change(df.limit(0), after).collect()}
+    assert set(empty) == set(after) and all(v == 0 for r in empty.values() for k, v in r.asDict().items() if k != "column")
