@@ -18,7 +18,7 @@ from herdflow.operators import quality as QC
 from herdflow.operators import repair as R
 from herdflow.operators.bands import Span, band_join
 from herdflow.plans.runs import finish_rows
-from herdflow.session import hadoop_fs, scratch_path
+from herdflow.session import hadoop_fs, scratch_path, staged
 from herdflow.sinks.landing import land_raw, landed_in
 from herdflow.sinks.master import read_table, upsert_days, upsert_latest, write_back
 from herdflow.sources.blobs import parse_blobs, scan_raw_csv
@@ -178,16 +178,21 @@ def q_profile_change(spark, d):
 # ------------------------------------------------------------------------------ streaming job
 @register("weigh_stream", with_ctes([A.SQL_WEIGH_ROWS, A.SQL_HERD, A.SQL_ENRICHED, A.SQL_MASTER], "SELECT * FROM master"))
 def q_weigh_stream(spark, d):
-    """Landed blobs through the streaming job: a file a trigger, one file sent again, then all replayed from a new checkpoint."""
+    """Landed blobs through the streaming job: a landing a trigger, one landing sent again, then all replayed from new checkpoints."""
     from herdflow.streaming.jobs import weigh_stream
     from herdflow.streaming.streams import ingest_stream
     root = scratch_path(spark, "stream")
-    bl = A.blobs(spark, d)
-    for i, dev in enumerate(("CIMA1", "CIMA2", "CIMA1")):
-        bl.where(F.col("device") == dev).coalesce(1).write.parquet(f"{root}/in/part={i}")
-    for run in range(2):
-        s = ingest_stream(spark, f"{root}/in", bl.schema, max_files_per_trigger=1).select(*bl.columns, "_file_time")
-        weigh_stream(s, f"{root}/master", f"{root}/ck{run}", lambda: A.herd_snapshots(spark, d), f"{root}/log{run}").awaitTermination()
+    bl, herd = staged(A.blobs(spark, d), "stream-blobs"), staged(A.herd_snapshots(spark, d), "stream-herd")
+
+    def run(source: str, name: str) -> None:
+        s = ingest_stream(spark, source, bl.schema).select(*bl.columns, "_file_time")
+        weigh_stream(s, f"{root}/master", f"{root}/ck{name}", lambda: herd, f"{root}/log{name}").awaitTermination()
+    landings = ("CIMA1", "CIMA2", "CIMA1")
+    for i, dev in enumerate(landings):                    # as many files as there are tasks, all in one trigger
+        bl.where(F.col("device") == dev).write.parquet(f"{root}/in/landing-{i}")
+        run(f"{root}/in/*", "0")
+    for i in range(len(landings)):
+        run(f"{root}/in/landing-{i}", f"1-{i}")
     return read_table(spark, f"{root}/master").drop("loaded_at", "day")
 
 

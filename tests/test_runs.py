@@ -148,6 +148,25 @@ def test_stream_logs_each_batch_and_replays(spark):
     assert [(r["ear_tag"], r["weight_kg"]) for r in read_table(spark, f"{root}/master").collect()] == got
 
 
+def test_stream_query_lands_many_files_a_trigger(spark, tmp_path, monkeypatch):
+    """A landing comes in as many files as there are tasks, all in one batch, and gives the same master as the batch form."""
+    from herdflow.harness import analogs as A
+    from herdflow.harness import incremental
+    from herdflow.session import path_exists
+    monkeypatch.setattr(incremental, "scratch_path", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = incremental.q_weigh_stream(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    root = tmp_path / "stream"
+    assert all(len(list((root / "in" / f"landing-{i}").glob("*.parquet"))) > 1 for i in range(3))
+    assert path_exists(spark, str(root / "log0")) and spark.read.parquet(str(root / "log0")).count() == 3
+    assert [spark.read.parquet(str(root / f"log1-{i}")).count() for i in range(3)] == [1, 1, 1]
+    want = A.master(spark, "/root/testdata/sf0.001").drop("loaded_at")
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_profile_change_by_value(spark):
     """Each number by plain Python, for columns of several types; no aggregate over copies of the rows for each distinct count."""
     from herdflow.operators.quality import profile_change
