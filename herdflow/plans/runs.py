@@ -21,6 +21,7 @@ from herdflow.operators.quality import expect_non_empty, join_rate_status
 from herdflow.plans.jobs import blob_rows, session_rows
 from herdflow.plans.reports import daily_report, month_report, weekly_report
 from herdflow.schemas import WEIGHT_HIGH, WEIGHT_LOW
+from herdflow.session import staged
 from herdflow.sinks.landing import land_raw, land_sessions
 from herdflow.sinks.master import append_run_log, export_csv, upsert_days, write_month_bundle
 from herdflow.sources.blobs import read_raw_blobs
@@ -231,7 +232,12 @@ def daily(spark: SparkSession, weigh: list[tuple[str, str, Callable[[], object]]
 def month_bundle(master: DataFrame, herd: DataFrame, month_start: dt.date, month_end: dt.date, path: str,
                  raw: dict[str, DataFrame] | None = None, produced_at=None, write: bool = True) -> tuple[dict[str, DataFrame], str]:
     """The month's tables, the parsed raw rows of each source (`raw`) and the rows left after each
-    stage, written in one bundle; returns the tables and the name of the import file."""
+    stage, written in one bundle; returns the tables and the name of the import file.
+
+    The month's rows of the master are computed once, into the scratch folder, and all tables are made from these; a dry
+    run stays lazy and writes nothing."""
+    if write:
+        master = staged(master.where((F.col("date") >= F.lit(month_start)) & (F.col("date") <= F.lit(month_end))), "month-rows")
     frames = dict(month_report(master, herd, month_start, month_end, produced_at))
     order = ["date", "device", "ear_tag"]
     for name in ("clean_csv", "clean_re_outlier"):

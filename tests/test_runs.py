@@ -148,6 +148,27 @@ def test_stream_logs_each_batch_and_replays(spark):
     assert [(r["ear_tag"], r["weight_kg"]) for r in read_table(spark, f"{root}/master").collect()] == got
 
 
+def test_month_bundle_makes_the_months_rows_once(spark, herd):
+    """All tables of a written bundle read the month's rows, and are those of the dry run."""
+    from herdflow.operators.dedup import dedup_latest
+    from herdflow.session import scratch_path
+    day = dt.date(2022, 9, 3)
+    kind = "date date, device string, ear_tag string, time string, no string, animal_type string, age_month double, weight_kg double, lac_no tinyint, dim smallint, group_name string, loaded_at string"
+    rows = [(d, "CIMA1", str(i % 9), f"07:{i:02d}", str(i % 9), "heifer", 6.0, w, 0, None, "H", "x")
+            for i, (d, w) in enumerate((day + dt.timedelta(days=i % 40), [150.0, None, 90.0][i % 3]) for i in range(60))]
+    master = dedup_latest(spark.createDataFrame(rows, kind), ["date", "ear_tag", "device"])
+    args = (herd.withColumn("age_month_fix", F.lit(6.0)), dt.date(2022, 9, 1), dt.date(2022, 9, 30))
+    path = scratch_path(spark, "t-month")
+    frames, name = month_bundle(master, *args, path, produced_at="x")
+    dry, dry_name = month_bundle(master, *args, path, produced_at="x", write=False)
+    assert name == dry_name and frames.keys() == dry.keys()
+    for k in frames:
+        assert sorted(map(str, frames[k].collect())) == sorted(map(str, dry[k].collect())), k
+    for k in ("clean_csv", "clean_re_outlier", "summary", "groups", "headline", "stage_counts"):
+        assert "row_number" not in frames[k]._jdf.queryExecution().optimizedPlan().toString(), k
+    assert "row_number" in dry["clean_csv"]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_stream_query_lands_many_files_a_trigger(spark, tmp_path, monkeypatch):
     """A landing comes in as many files as there are tasks, all in one batch, and gives the same master as the batch form."""
     from herdflow.harness import analogs as A
