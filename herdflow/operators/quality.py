@@ -96,17 +96,20 @@ def profile_change(df: DataFrame, after: dict[str, Column], nan_text: str = "nan
     taken from its rows. Rows are spread evenly first, so no task holds the distinct values of more than its share.
     """
     types = {c: (df.schema[c].dataType, df.select(a.alias("a")).schema["a"].dataType) for c, a in after.items()}
+    at = {c: i for i, c in enumerate(after)}
     kinds = sorted({t.simpleString() for pair in types.values() for t in pair})
 
     def entry(c: str, side: int) -> Column:
-        b, a = _c(c), after[c]
+        b, a = F.col(f"b{at[c]}"), F.col(f"a{at[c]}")
         own, other = (b, a) if side == 0 else (a, b)
         is_nan = F.coalesce(F.lower(strip_ws(own.cast("string"))) == nan_text, F.lit(False))
         values = [(own if types[c][side].simpleString() == k else F.lit(None).cast(k)).alias(f"v{i}") for i, k in enumerate(kinds)]
         return F.struct(F.lit(f"{side}{c}").alias("of"), *values, own.isNull().alias("null"), is_nan.alias("nan"),
                         other.isNotNull().alias("paired"), (~b.eqNullSafe(a)).alias("changed"))
 
-    entries = df.hint("rebalance").select(F.inline(F.array(*[entry(c, side) for c in after for side in (0, 1)])))
+    # each normalisation is worked out once a row
+    pairs = df.hint("rebalance").select(*[_c(c).alias(f"b{i}") for c, i in at.items()], *[after[c].alias(f"a{i}") for c, i in at.items()])
+    entries = pairs.select(F.inline(F.array(*[entry(c, side) for c in after for side in (0, 1)])))
     found = entries.groupBy("of", *[f"v{i}" for i in range(len(kinds))], "null").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("nan").alias("n_nan"), F.count_if("changed").alias("n_changed"),
         F.count_if("paired").alias("n_paired"))
