@@ -12,13 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdflow.llm import line_dedup, mixing, near_dup, packing, toxicity
-from herdflow.llm.common import WORD_SQL, staged, table, work_tables
-from herdflow.llm.components import components
+from herdflow.llm.common import WORD_SQL, few, staged, table, work_tables
 from herdflow.llm.queries import document_pieces
 
-#: Ids of documents that are sent to every executor, 16 bytes each; more of them are joined instead.
-FEW_IDS = 2_000_000
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.3 by the classifier learned from `labels` on this stage's input."""
@@ -50,32 +46,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keys = rows.select("key", F.col("row.doc_id").alias("id"))
     # an entry is a row's text as given (an even number) or its whole text (an odd one)
     own = rows.select("key", F.col("row.text").alias("text"))
-    entries = own.select((F.col("key") * 2).alias("entry"), "text")
+    entries, linked = own.select((F.col("key") * 2).alias("entry"), "text"), None
     if sf_dir:
         texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
         ids = staged(keys.join(_single(keys), "id").join(_single(texts), "id").select("id", "key"), "near-ids")
         mark = F.sha2(F.coalesce("text", F.lit("")), 256)
-        whole = texts.join(_few(ids), "id")
+        whole = texts.join(few(ids), "id")
         known = whole.select("key", mark.alias("whole")).join(own.select("key", mark.alias("given")), "key")
         changed = staged(known.filter("whole <> given").join(ids, "key").select("id", "key"), "near-changed")
-        entries = entries.unionAll(texts.join(_few(changed), "id").select(F.col("key") * 2 + 1, "text"))
+        entries = entries.unionAll(texts.join(few(changed), "id").select(F.col("key") * 2 + 1, "text"))
+        linked = changed.select((F.col("key") * 2).alias("a"), (F.col("key") * 2 + 1).alias("b"))     # a row joins the groups of its two texts
     with work_tables(spark) as keep:
-        found = near_dup.near_duplicates(entries, k=5, percent=80, id_col="entry")
-        group = keep(found.select(F.shiftright("entry", 1).alias("key"), "entry", F.col("component_id").alias("component")), "near-found")
-    # a row joins the groups of its two texts
-    given, before = group.filter("entry % 2 = 0").select("key", "component"), group.filter("entry % 2 = 1")
-    links = (given.join(before.select("key", F.col("component").alias("other")), "key").filter("component <> other")
-             .select(F.col("component").alias("a"), F.col("other").alias("b")).distinct())
-    joined = components(staged(links, "near-links")).withColumnRenamed("component", "whole")
-    group = given.join(joined, given["component"] == joined["node"], "left").select("key", F.coalesce("whole", "component").alias("component"))
+        found = near_dup.near_duplicates(entries, k=5, percent=80, id_col="entry", linked=linked)
+        of = F.min(F.struct(F.col("cls").isNull(), "component_id")).alias("of")       # the group of the texts with words, if one has
+        found = found.groupBy(F.shiftright("entry", 1).alias("key")).agg(of).select("key", F.col("of.component_id").alias("component"))
+        group = keep(found.join(keys, "key"), "near-found")
     least = F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("least")
-    kept = group.join(keys, "key").groupBy("component").agg(least).select(F.col("least.key").alias("key"))
-    return rows.join(kept, "key", "left_semi").select("row.*")
-
-
-def _few(ids: DataFrame) -> DataFrame:
-    """Ids to join texts with, sent to every executor while they are few."""
-    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+    kept = group.groupBy("component").agg(least, F.count(F.lit(1)).alias("n")).filter("n > 1")
+    gone = staged(group.join(kept, "component").filter("key <> least.key").select("key"), "near-gone")
+    return rows.join(few(gone), "key", "left_anti").select("row.*")
 
 
 def _single(df: DataFrame) -> DataFrame:

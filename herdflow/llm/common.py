@@ -6,6 +6,7 @@ import contextlib
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from herdflow.session import delete_path, scratch_path
 
@@ -33,6 +34,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Ids of documents that are sent to every executor, 16 bytes each; more of them are joined instead.
+FEW_IDS = 2_000_000
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """Ids (a staged table) to join with, sent to every executor while they are few."""
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
+
 _scopes: list[list[str]] = []
 
 

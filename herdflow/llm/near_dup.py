@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from herdflow.llm.common import staged
+from herdflow.llm.common import few, staged
 from herdflow.llm.components import components
 from herdflow.llm.shingles import Sketcher, mix, set_key, shingle_set
 
@@ -101,12 +101,16 @@ def region_keys(nodes: DataFrame, level: int) -> DataFrame:
 
 
 def regions(nodes: DataFrame, region_rows: int) -> DataFrame:
-    """(level, tree, region, block, cls, size) for all regions of two classes or more."""
+    """(level, tree, region, block, cls, size) for all regions of two classes or more, those of equal classes in a level once."""
     out = None
     for level in range(len(LEVELS)):
         keys = staged(region_keys(nodes, level), "forest")
-        size = keys.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead"))
-        size = staged(size.filter("size > 1"), "region-sizes")      # plain sides, so a hot region's join can be split
+        size = keys.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead"),
+                                                  F.expr("bit_xor(xxhash64(cls))").alias("members")).filter("size > 1")
+        # a region of the same classes as an earlier tree's brings no other pairs together
+        once = size.groupBy("size", "lead", "members", F.when(F.col("size") > region_rows, F.col("tree")).alias("own"))
+        size = once.agg(F.min(F.struct("tree", "region")).alias("r")).select("r.tree", "r.region", "size", "lead")
+        size = staged(size, "region-sizes")      # plain sides, so a hot region's join can be split
         sized = staged(keys.join(size, ["tree", "region"]), "regions")
         fits = sized.filter(F.col("size") <= region_rows).withColumn("block", F.lit(0))
         over = sized.filter(F.col("size") > region_rows)
@@ -347,7 +351,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("__doc"), F.col(text_col).alias("__text"))
-    found = wanted.join(texts, F.col("doc") == F.col("__doc")).select("cls", "__text").mapInArrow(run, schema)
+    found = texts.join(few(wanted), F.col("doc") == F.col("__doc")).select("cls", "__text").mapInArrow(run, schema)
     found = staged(found, "sets")
     if found.groupBy("cls").count().filter("count > 1").isEmpty():
         return found
@@ -371,6 +375,14 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def class_pairs(linked: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b) of different classes, a the smaller, for pairs (a, b) of ids."""
+    of = rows.filter(F.col("cls").isNotNull() & F.col("doc").isNotNull())
+    both = (linked.join(of.select(F.col("doc").alias("a"), F.col("cls").alias("x")), "a")
+            .join(of.select(F.col("doc").alias("b"), F.col("cls").alias("y")), "b").filter("x <> y"))
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach `percent` hundredths of similarity."""
     one = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
@@ -387,8 +399,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                    region_rows: int = REGION_ROWS) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept, cls (equal for equal sets; null without words)."""
+                    region_rows: int = REGION_ROWS, linked: DataFrame | None = None) -> DataFrame:
+    """One row per document: id, n_shingles, component_id, kept, cls (equal for equal sets; null without words).
+
+    `linked` gives pairs (a, b) of ids whose documents, if both have words, count as linked without being compared.
+    """
     least = least_matches(percent / 100)
     rows = staged(shingled(docs, k, id_col, text_col), "shingled")
     nodes = staged(rows.filter(F.col("cls").isNotNull() & F.col("doc").isNotNull()).groupBy("cls", "key2")
@@ -396,14 +411,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     found = regions(nodes, region_rows)
     first = staged(spanning_pairs(with_sketch(found.select(*KEY, "cls", F.col("cls").alias("comp"), F.lit(0).alias("side")), nodes), least), "first-pairs")
 
-    touched = first.select(F.col("a").alias("cls")).unionAll(first.select("b")).distinct()
-    sets = class_sets(docs, nodes.join(touched, "cls", "left_semi").select("cls", "doc"), k, id_col, text_col)
-    links = staged(confirmed(first, sets, percent), "first-links")
+    touched = staged(first.select(F.col("a").alias("cls")).unionAll(first.select("b")).distinct(), "touched")
+    todo = first
+    if linked is not None:
+        known = staged(class_pairs(linked, rows), "known-links")
+        todo = staged(first.join(known, ["a", "b"], "left_anti"), "first-pairs")
+    asked = staged(todo.select(F.col("a").alias("cls")).unionAll(todo.select("b")).distinct(), "asked")
+    wanted = staged(nodes.join(few(asked), "cls", "left_semi").select("cls", "doc"), "wanted")
+    sets = class_sets(docs, wanted, k, id_col, text_col)
+    links = confirmed(todo, sets, percent)
+    links = staged(links if linked is None else links.unionAll(known), "first-links")
     comps = staged(components(links), "components")
 
     # second round, over classes that some region's estimate brought near another one
-    crossing = with_sketch(second_rows(found, touched, comps, region_rows), nodes, sets)
-    more = staged(crossing_links(crossing, least, percent), "second-links")
+    crossing = staged(second_rows(found, touched, comps, region_rows), "crossing-rows")
+    again = staged(crossing.select("cls").distinct(), "asked")
+    near = staged(nodes.join(few(again), "cls", "left_semi"), "crossing-classes")
+    wanted = staged(near.select("cls", "doc").join(wanted, "cls", "left_anti"), "wanted")
+    sets = sets.unionAll(class_sets(docs, wanted, k, id_col, text_col))
+    more = staged(crossing_links(with_sketch(crossing, near, sets), least, percent), "second-links")
     comps = staged(components(links.unionAll(more)), "components")
 
     # the smallest id of each component

@@ -118,3 +118,27 @@ def test_components_of_chains_and_stars(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {i: 0 for i in range(51)} | {i: 100 for i in range(100, 140)} | {150: 150, 200: 150}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_regions_of_equal_classes_are_searched_once(spark):
+    """Trees that bring the same classes together are one region; every pair is still in one of a level."""
+    words = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join([*words[:190], *(f"x{i}-{j}" for j in range(i))])) for i in range(3)] + [(9, "a text of its own words")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    nodes = near_dup.shingled(df, 4, "doc_id", "text").select("cls", "doc", "sketch")
+    by = defaultdict(set)
+    for r in near_dup.regions(nodes, 10).collect():
+        by[r.level, r.tree, r.region].add(r.cls)
+    sets = [(k[0], frozenset(v)) for k, v in by.items()]
+    of = {r.doc: r.cls for r in nodes.collect()}
+    assert len(sets) == len(set(sets)) and any({of[0], of[1], of[2]} <= s for _, s in sets)
+
+
+def test_linked_ids_are_one_component(spark):
+    """Given links join documents of any texts, those without words join nothing, and no comparison is made for them."""
+    body = " ".join(f"b{i}" for i in range(60))
+    docs = [(1, "one text here with words"), (2, "another one of other words"), (3, body), (4, body + " more"), (5, None), (6, "the last of the texts")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    linked = spark.createDataFrame([(2, 1), (4, 2), (5, 6), (3, 4), (7, 6)], "a long, b long")
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, 4, linked=linked).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6}
