@@ -93,8 +93,8 @@ def as_text(n_chars: str, text_hash: str, cells: str) -> str:
     return f"concat({n_chars}, ':', lpad(hex({text_hash}), 16, '0'), ':', {body % cells})"
 
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """(id, only_a, only_b) arrays of digests for rows of (id, a, b), digest sets of two versions.
+def recovered(pairs: DataFrame) -> DataFrame:
+    """(id, found) with signs and digests of what differs, a row a group, for rows of (id, a, b), digest sets of two versions.
 
     Groups of digests are sketched, subtracted and peeled; failures go on to larger sketches.
     """
@@ -106,7 +106,9 @@ def differences(pairs: DataFrame) -> DataFrame:
     while True:
         diff = subtract(sketch("a", cells), sketch("b", cells))
         tried = todo.withColumn("peeled", F.expr(peel(diff, cells)))
-        tried = staged(tried.selectExpr("id", "grp", "a", "b", f"{emptied('peeled.left')} AS ok", "peeled.found AS found"), "peeled")
+        tried = tried.withColumn("ok", F.expr(emptied("peeled.left")))
+        # the digests recovered of the groups that peel, the digests of those that don't
+        tried = staged(tried.selectExpr("id", "grp", "if(ok, NULL, a) AS a", "if(ok, NULL, b) AS b", "ok", "if(ok, peeled.found, NULL) AS found"), "peeled")
         done.append(tried.filter("ok").select("id", "found"))
         todo = tried.filter("NOT ok").select("id", "grp", "a", "b")
         if todo.isEmpty():
@@ -115,6 +117,12 @@ def differences(pairs: DataFrame) -> DataFrame:
     out = done[0]
     for d in done[1:]:
         out = out.unionAll(d)
+    return out
+
+
+def differences(pairs: DataFrame) -> DataFrame:
+    """(id, only_a, only_b) arrays of digests for rows of (id, a, b), digest sets of two versions."""
+    out = recovered(pairs)
     side = "transform(filter(found, f -> f.s = {0}), f -> f.k)"
     return out.groupBy("id").agg(F.flatten(F.collect_list(F.expr(side.format(1)))).alias("only_a"),
                                  F.flatten(F.collect_list(F.expr(side.format(-1)))).alias("only_b"))
@@ -181,9 +189,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     failed = base.filter("de IS NULL OR dn IS NULL").select("row", "de", "dn").join(v.select("row", "own", "other", "following"), "row")
     pairs = failed.select("row", F.explode(F.expr(
         "filter(array(if(de IS NULL, struct('e' AS kind, own AS a, other AS b), NULL), if(dn IS NULL, struct('n' AS kind, own AS a, following AS b), NULL)), p -> p IS NOT NULL)")).alias("p"))
-    found = differences(pairs.select(F.struct("row", "p.kind").alias("id"), "p.a", "p.b"))
-    found = found.select("id.row", "id.kind", (F.size("only_a") + F.size("only_b")).alias("d"))
-    found = found.groupBy("row").agg(F.max(F.expr("if(kind = 'e', d, NULL)")).alias("fe"), F.max(F.expr("if(kind = 'n', d, NULL)")).alias("fn"))
+    found = recovered(pairs.select(F.struct("row", "p.kind").alias("id"), "p.a", "p.b"))
+    found = found.select("id.row", "id.kind", F.size("found").alias("d"))
+    found = found.groupBy("row").agg(F.sum(F.expr("if(kind = 'e', d, NULL)")).alias("fe"), F.sum(F.expr("if(kind = 'n', d, NULL)")).alias("fn"))
     out = base.join(found, "row", "left")
     return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                       F.expr(likeness("a", "b", "coalesce(de, fe)")).alias("near_edited"),

@@ -82,3 +82,20 @@ def test_recovered_digests(spark):
 def test_main_path_is_native(spark, sf):
     plan = op3_fingerprints(spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow", plan)
+
+
+def test_only_unfinished_groups_keep_their_digests(spark, monkeypatch):
+    """What is staged of a group that peels is what was found, and the fingerprints' numbers come without the digests."""
+    kept = []
+
+    def staged(df, name, real=fp.staged):
+        out = real(df, name)
+        kept.append((name, out))
+        return out
+
+    monkeypatch.setattr(fp, "staged", staged)
+    monkeypatch.setattr(fp, "differences", None)
+    docs = [(i, "\n".join(f"line {i} {j}" for j in range(40))) for i in range(6)]
+    check(fp.fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
+    peeled = [df for name, df in kept if name == "peeled"]
+    assert peeled and all(df.filter("ok AND (a IS NOT NULL OR b IS NOT NULL)").isEmpty() for df in peeled)
