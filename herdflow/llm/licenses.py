@@ -21,6 +21,7 @@ without notices or documents the result is empty; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -111,7 +112,9 @@ def scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES, least: float
     the largest share, `n_windows` the number of windows that hold enough of it.
     """
     spark = docs.sparkSession
-    given = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(notices)], "notice int, license string, wording string")
+    listed = json.dumps([{"notice": i, "license": a, "wording": b} for i, (a, b) in enumerate(notices)])
+    # rows of the engine's own: rows from the driver's Python would keep Python workers beside each executor
+    given = spark.range(1).select(F.inline(F.from_json(F.lit(listed), "array<struct<notice int, license string, wording string>>")))
     given = given.withColumn("k", F.least(F.lit(SHINGLE), F.size(words(F.col("wording"))))).filter("k > 0")
     own = F.coalesce(*[F.when(F.col("k") == k, F.array_distinct(shingles(F.col("wording"), k))) for k in range(1, SHINGLE + 1)])
     given = given.withColumns({"own": own, "size": F.size(own)})
@@ -121,7 +124,8 @@ def scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES, least: float
     signed = F.coalesce(*[F.when(kind(n), F.expr(signature("own", bands(n, least)))) for n in sizes])
     given = given.withColumn("signature", signed).withColumn("behind", F.expr(
         "flatten(transform(signature, (v, b) -> filter(own, x -> xxhash64(x, b) = v)))"))
-    rows = given.select("notice", "license", "k", "size", "own", "signature", "behind").collect()   # the notices, a parameter
+    given = staged(given.select("notice", "license", "k", "size", "own", "signature", "behind"), "license-notices")
+    rows = given.collect()   # the notices, a parameter
     anchors = {k: {x for r in rows if r.k == k for x in r.behind} for k in {r.k for r in rows}}
     near = F.lit(False)
     for k, xs in anchors.items():
@@ -138,8 +142,7 @@ def scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES, least: float
                    .select("id", "start", F.expr(f"slice(sh, start + 1, {size + step - 1}) AS window"))
                    .filter(f"arrays_overlap(window, {seen})"))
         values = windows.select("*", F.expr(f"posexplode({signature('window', bands(size, least))}) AS (band, value)"))
-        lookup = spark.createDataFrame([(r.notice, r.license, r.own, b, v) for r in mine for b, v in enumerate(r.signature)],
-                                       "notice int, license string, own array<long>, band int, value long")
+        lookup = given.filter((F.col("k") == k) & kind(size)).selectExpr("notice", "license", "own", "posexplode(signature) AS (band, value)")
         met = values.join(F.broadcast(lookup), ["band", "value"])      # the notices' bands, a parameter
         share = met.withColumn("containment", F.expr("size(array_intersect(own, window)) / size(own)")).filter(F.col("containment") >= least)
         out = out.unionAll(share.select("id", "license", "notice", "start", "containment"))

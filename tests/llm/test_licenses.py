@@ -94,3 +94,11 @@ def test_bands_reach_the_stated_chance():
 def test_main_path_is_native(spark, sf):
     plan = op7_license_scan(spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow", plan)
+
+
+def test_notices_need_no_python_workers(spark, monkeypatch):
+    """The notices reach the tasks as the engine's own rows: no table is made from the driver's Python."""
+    docs = spark.createDataFrame([(1, "x All rights reserved"), (2, "nothing")], "doc_id long, text string")
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    assert [(r.doc_id, r.license, r.first_word) for r in scan(docs).collect()] == [(1, "all-rights-reserved", 1)]
+    assert scan(docs, []).collect() == []
