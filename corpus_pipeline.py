@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdflow.llm import line_dedup, mixing, near_dup, packing, toxicity
-from herdflow.llm.common import WORD_SQL, few, staged, table, work_tables
+from herdflow.llm.common import WORD_SQL, bound_batches, few, staged, table, work_tables
 from herdflow.llm.queries import document_pieces
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.3 by the classifier learned from `labels` on this stage's input."""
+    bound_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model, threshold=0.3)
 
@@ -25,6 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that one with a smaller id holds; a document that loses its last word with
     them goes, one that had none stays as it is."""
+    bound_batches(spark)
     has_word = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_SQL)) > 0
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], has_word.alias("__had")).alias("rest")
     kept = line_dedup.dedup_lines(docs.select("doc_id", "text", rest)).filter(has_word | ~F.col("rest.__had"))
@@ -41,20 +43,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by a key of their own, so null, repeated and shared ids are documents like any other. The row with
     the smallest id stays, one with a null id only where there is no other; rows without words are copies of nothing.
     """
+    bound_batches(spark)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = staged(docs.select(row, F.monotonically_increasing_id().alias("key")), "near-rows")
     keys = rows.select("key", F.col("row.doc_id").alias("id"))
     # an entry is a row's text as given (an even number) or its whole text (an odd one)
-    own = rows.select("key", F.col("row.text").alias("text"))
-    entries, linked = own.select((F.col("key") * 2).alias("entry"), "text"), None
+    entries, linked = rows.select((F.col("key") * 2).alias("entry"), F.col("row.text").alias("text")), None
     if sf_dir:
         texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-        ids = staged(keys.join(_single(keys), "id").join(_single(texts), "id").select("id", "key"), "near-ids")
-        mark = F.sha2(F.coalesce("text", F.lit("")), 256)
-        whole = texts.join(few(ids), "id")
-        known = whole.select("key", mark.alias("whole")).join(own.select("key", mark.alias("given")), "key")
-        changed = staged(known.filter("whole <> given").join(ids, "key").select("id", "key"), "near-changed")
-        entries = entries.unionAll(texts.join(few(changed), "id").select(F.col("key") * 2 + 1, "text"))
+        changed = staged(_changed(rows.select(F.col("row.doc_id").alias("id"), "key", F.col("row.text").alias("text")), texts), "near-changed")
+        whole = staged(texts.join(few(changed), "id").select((F.col("key") * 2 + 1).alias("entry"), "text"), "near-whole")
+        entries = entries.unionAll(whole)
         linked = changed.select((F.col("key") * 2).alias("a"), (F.col("key") * 2 + 1).alias("b"))     # a row joins the groups of its two texts
     with work_tables(spark) as keep:
         found = near_dup.near_duplicates(entries, k=5, percent=80, id_col="entry", linked=linked)
@@ -67,9 +66,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.join(few(gone), "key", "left_anti").select("row.*")
 
 
-def _single(df: DataFrame) -> DataFrame:
-    """The ids that stand once in the table."""
-    return df.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select("id")
+def _changed(given: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, key) of the ids that stand once in `given` (id, key, text) and once in `texts` (id, text), with another text."""
+    both = given.unionAll(texts.select("id", F.lit(None).cast("long").alias("key"), "text")).filter("id IS NOT NULL")
+    marks = both.select("id", "key", F.sha2(F.coalesce("text", F.lit("")), 256).alias("mark"))
+    found = marks.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count("key").alias("n_given"), F.max("key").alias("key"),
+                                    F.min("mark").alias("lo"), F.max("mark").alias("hi"))
+    return found.filter("n = 2 AND n_given = 1 AND lo <> hi").select("id", "key")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

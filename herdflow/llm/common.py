@@ -20,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: What a task holds of long texts at once: bytes of a batch that goes to Python, rows of a batch read from Parquet.
+TEXT_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.parquet.columnarReaderBatchSize": "1024"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set `TEXT_BATCHES`; a setting that the session was created with stays as it is."""
+    given = spark.sparkContext.getConf()
+    for k, v in TEXT_BATCHES.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the cluster's shared folder and read back.
 

@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from corpus_pipeline import STAGES, run
 from herdflow.llm import toxicity
+from herdflow.llm.common import TEXT_BATCHES
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 from test_line_dedup import plain as plain_lines  # noqa: E402
@@ -114,6 +115,35 @@ def test_near_copies_by_the_texts_given_and_by_the_whole_texts(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, given[1]), (3, given[3]), (5, given[5])]
 
 
+def test_changed_texts_of_single_ids(spark):
+    given = [(1, 10, "a"), (2, 11, "b"), (3, 12, "c"), (3, 13, "c"), (4, 14, "d"), (5, 15, None), (6, 16, None), (None, 17, "n"), (7, 18, "g")]
+    texts = [(1, "a"), (2, "other"), (3, "other"), (4, "other"), (4, "d"), (5, ""), (6, "whole"), (None, "other"), (8, "h"), (9, "i"), (9, "j")]
+    got = corpus_pipeline._changed(spark.createDataFrame(given, "id long, key long, text string"), spark.createDataFrame(texts, "id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(2, 11), (6, 16)]
+
+
+def test_batches_of_texts_are_bounded_in_bytes(spark, tmp_path):
+    """What a task holds of the texts doesn't grow with their length: no stage gets a batch of all 3000 of them."""
+    import pyarrow as pa
+
+    long = spark.range(3000).selectExpr("id AS doc_id", "concat(id, repeat(' long words', 1000)) AS text", "0L AS n_chars")
+    long.repartition(1).write.parquet(str(tmp_path / "t"))
+    before = {k: spark.conf.get(k) for k in TEXT_BATCHES}
+    docs = spark.read.parquet(str(tmp_path / "t"))
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    for stage in (corpus_pipeline.drop_repeated_lines, corpus_pipeline.drop_near_copies):
+        for k in TEXT_BATCHES:
+            spark.conf.unset(k)
+        stage(spark, docs.limit(0), "")
+        assert docs.mapInArrow(size, "n long").agg({"n": "max"}).first()[0] < 8 << 20
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 def test_mixed_to_targets(steps):
     docs = steps[3].collect()
     size = {r.doc_id: len(WORD.findall(r.text or "")) for r in docs}
